@@ -221,3 +221,102 @@ _stmt("clean_enforcement", "SELECT * FROM clean_enforcement", "clean_enforcement
 _stmt("gold_enforcement_actions", "SELECT * FROM clean_enforcement", "clean_enforcement")
 _stmt("clean_adverse_events", "SELECT * FROM clean_adverse", "clean_adverse")
 _stmt("gold_adverse_events_summary", "SELECT * FROM gold_summary", "gold_summary")
+
+
+# --- dashboard queries ---------------------------------------------------------------
+
+def _lit(term: str) -> str:
+    return "'" + term.replace("'", "''") + "'"
+
+
+def _contains(cols: list[str], term: str) -> str:
+    t = _lit(term.lower())
+    return " OR ".join(f"coalesce(contains(lower({c}), {t}), false)" for c in cols)
+
+
+def _like(cols: list[str], term: str) -> str:
+    pat = _lit("%" + term.lower().replace("\\", "\\\\") + "%")
+    return " OR ".join(f"coalesce(lower({c}) LIKE {pat} ESCAPE '\\', false)" for c in cols)
+
+
+_RECALL_COLS = ["product_description", "recalling_firm", "reason_for_recall"]
+_PRODUCT_COLS = ["brand_name", "generic_name", "labeler_name"]
+_RECALL_VIEW = ("recall_number, classification, status, recall_date, recalling_firm, city, state, "
+                "product_description, reason_for_recall")
+_PRODUCT_VIEW = ("product_ndc, brand_name, generic_name, labeler_name, product_type, dosage_form, "
+                 "primary_route, primary_ingredient, ingredient_count")
+
+
+def recall_search_sql(where: str | None, limit: int = 50) -> str:
+    w = f"WHERE {where}" if where else ""
+    return (f"SELECT {_RECALL_VIEW} FROM clean_enforcement {w} "
+            f"ORDER BY recall_date DESC NULLS LAST, recall_number LIMIT {limit}")
+
+
+def product_search_sql(where: str | None, limit: int = 50) -> str:
+    w = f"WHERE {where}" if where else ""
+    return (f"SELECT {_PRODUCT_VIEW} FROM clean_products {w} "
+            f"ORDER BY brand_name ASC NULLS FIRST, product_ndc LIMIT {limit}")
+
+
+_cte("kpi_products", "SELECT COUNT(*) AS products FROM clean_products", "clean_products")
+_cte("kpi_recalls", """
+SELECT COUNT(*) AS total_recalls,
+  CAST(SUM(CASE WHEN classification = 'Class I' THEN 1 ELSE 0 END) AS BIGINT) AS class_i_recalls,
+  CAST(SUM(CASE WHEN status = 'Ongoing' THEN 1 ELSE 0 END) AS BIGINT) AS active_recalls
+FROM clean_enforcement""", "clean_enforcement")
+_cte("kpi_adverse", """
+SELECT CAST(SUM(event_count) AS BIGINT) AS total_adverse_events,
+  CAST(SUM(serious_count) AS BIGINT) AS serious_events,
+  COUNT(DISTINCT product_name) AS unique_products_with_ae
+FROM gold_summary""", "gold_summary")
+_cte("top_products", """
+SELECT product_name, CAST(SUM(event_count) AS BIGINT) AS total_events,
+  CAST(SUM(serious_count) AS BIGINT) AS serious_events,
+  COUNT(DISTINCT reaction_name) AS unique_reactions
+FROM gold_summary GROUP BY product_name
+ORDER BY total_events DESC, product_name LIMIT 20""", "gold_summary")
+_cte("top_pairs", """
+SELECT product_name, reaction_name, event_count, serious_count, earliest_report, latest_report
+FROM gold_summary ORDER BY event_count DESC, product_name, reaction_name LIMIT 30""", "gold_summary")
+
+_stmt("kpi_products", "SELECT * FROM kpi_products", "kpi_products")
+_stmt("kpi_recalls", "SELECT * FROM kpi_recalls", "kpi_recalls")
+_stmt("kpi_adverse", "SELECT * FROM kpi_adverse", "kpi_adverse")
+_stmt("kpi_stats", """
+SELECT CAST(coalesce(p.products, 0) AS BIGINT) AS products,
+  CAST(coalesce(r.total_recalls, 0) AS BIGINT) AS total_recalls,
+  CAST(coalesce(r.class_i_recalls, 0) AS BIGINT) AS class_i_recalls,
+  CAST(coalesce(r.active_recalls, 0) AS BIGINT) AS active_recalls,
+  CAST(coalesce(a.total_adverse_events, 0) AS BIGINT) AS total_adverse_events,
+  CAST(coalesce(a.serious_events, 0) AS BIGINT) AS serious_events,
+  CAST(coalesce(a.unique_products_with_ae, 0) AS BIGINT) AS unique_products_with_ae
+FROM kpi_products p, kpi_recalls r, kpi_adverse a""", "kpi_products", "kpi_recalls", "kpi_adverse")
+_stmt("top_products", "SELECT * FROM top_products", "top_products")
+_stmt("top_pairs", "SELECT * FROM top_pairs", "top_pairs")
+_stmt("recent_recalls", recall_search_sql(None), "clean_enforcement")
+_stmt("list_products", product_search_sql(None), "clean_products")
+_stmt("search_recalls", recall_search_sql(_contains(_RECALL_COLS, "50%")), "clean_enforcement")
+_stmt("search_recalls_like", recall_search_sql(_like(_RECALL_COLS, "50%")), "clean_enforcement")
+_stmt("search_recalls_count",
+      f"SELECT COUNT(*) AS total_matches FROM clean_enforcement WHERE {_contains(_RECALL_COLS, 'it' + chr(39) + 's')}",
+      "clean_enforcement")
+_stmt("search_products", product_search_sql(_contains(_PRODUCT_COLS, "ring")), "clean_products")
+_stmt("search_products_like", product_search_sql(_like(_PRODUCT_COLS, "r_d")), "clean_products")
+_stmt("top_products_share", """
+SELECT *,
+  CAST(round(total_events / max(total_events) OVER () * 100) AS BIGINT) AS total_pct,
+  CAST(round(serious_events / max(total_events) OVER () * 100) AS BIGINT) AS serious_pct
+FROM top_products""", "top_products")
+_stmt("top_pairs_share", """
+SELECT *,
+  CAST(round(event_count / max(event_count) OVER () * 100) AS BIGINT) AS event_pct,
+  CASE WHEN serious_count > 0 THEN 'serious' ELSE 'total' END AS severity
+FROM top_pairs""", "top_pairs")
+_stmt("recall_badges", """
+SELECT recall_number, classification, status,
+  CASE classification WHEN 'Class I' THEN 'class-i' WHEN 'Class II' THEN 'class-ii'
+       WHEN 'Class III' THEN 'class-iii' END AS class_badge,
+  CASE WHEN status IS NULL OR status = '' THEN NULL WHEN status = 'Ongoing' THEN 'ongoing'
+       ELSE 'terminated' END AS status_badge
+FROM clean_enforcement""", "clean_enforcement")

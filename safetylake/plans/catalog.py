@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from safetylake.operators import clean, gold
+from safetylake.operators import clean, gold, queries
 from safetylake.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +52,41 @@ QUERIES: dict[str, Query] = {
     "clean_adverse_events": silver_adverse,
     "gold_adverse_events_summary": gold_adverse,
 }
+
+
+# ---- dashboard queries -----------------------------------------------------------
+
+# Search terms of the registered search queries (fixed values shared with the
+# oracle): a literal term holding a LIKE wildcard, a quote, and plain words.
+RECALL_TERM = "50%"
+RECALL_COUNT_TERM = "it's"
+PRODUCT_TERM = "ring"
+PRODUCT_LIKE_TERM = "r_d"
+
+
+def _kpi_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return queries.kpi_stats(gold_products(spark, sf_dir), gold_enforcement(spark, sf_dir),
+                             gold_adverse(spark, sf_dir))
+
+
+QUERIES.update({
+    "kpi_products": lambda s, d: queries.kpi_products(gold_products(s, d)),
+    "kpi_recalls": lambda s, d: queries.kpi_recalls(gold_enforcement(s, d)),
+    "kpi_adverse": lambda s, d: queries.kpi_adverse(gold_adverse(s, d)),
+    "kpi_stats": _kpi_stats,
+    "top_products": lambda s, d: queries.top_products(gold_adverse(s, d)),
+    "top_pairs": lambda s, d: queries.top_pairs(gold_adverse(s, d)),
+    "recent_recalls": lambda s, d: queries.recent_recalls(gold_enforcement(s, d)),
+    "list_products": lambda s, d: queries.list_products(gold_products(s, d)),
+    "search_recalls": lambda s, d: queries.search_recalls(gold_enforcement(s, d), RECALL_TERM),
+    "search_recalls_like": lambda s, d: queries.search_recalls(gold_enforcement(s, d), RECALL_TERM,
+                                                               mode="like"),
+    "search_recalls_count": lambda s, d: queries.search_recalls_count(gold_enforcement(s, d),
+                                                                      RECALL_COUNT_TERM),
+    "search_products": lambda s, d: queries.search_products(gold_products(s, d), PRODUCT_TERM),
+    "search_products_like": lambda s, d: queries.search_products(gold_products(s, d), PRODUCT_LIKE_TERM,
+                                                                 mode="like"),
+    "top_products_share": lambda s, d: queries.top_products_share(gold_adverse(s, d)),
+    "top_pairs_share": lambda s, d: queries.top_pairs_share(gold_adverse(s, d)),
+    "recall_badges": lambda s, d: queries.recall_badges(gold_enforcement(s, d)),
+})
