@@ -140,7 +140,7 @@ QUALIFY row_number() OVER (PARTITION BY recall_number
   ORDER BY {', '.join(c + ' ASC NULLS FIRST' for c in _ENF_REST)}) = 1""", "stage_enforcement")
 
 _cte("ae_lines", f"""
-SELECT l_orderkey, l_linenumber,
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
   CASE WHEN l_linenumber = 7 THEN NULL ELSE ' ' || p_name END AS medicinalproduct,
   p_type AS drugindication,
   CASE WHEN l_linenumber = 6 THEN NULL ELSE {_initcap('n_name')} || ' ' END AS reactionmeddrapt
@@ -320,3 +320,186 @@ SELECT recall_number, classification, status,
   CASE WHEN status IS NULL OR status = '' THEN NULL WHEN status = 'Ongoing' THEN 'ongoing'
        ELSE 'terminated' END AS status_badge
 FROM clean_enforcement""", "clean_enforcement")
+
+
+# --- data quality ------------------------------------------------------------------
+
+def _metrics(dataset: str, source: str, rules: list[tuple[str, str, str]]) -> str:
+    parts = []
+    for name, action, pred in rules:
+        parts.append(
+            f"SELECT '{dataset}' AS dataset, '{name}' AS rule, '{action}' AS action, "
+            f"COUNT(*) AS total, CAST(count_if(({pred}) IS TRUE) AS BIGINT) AS passed, "
+            f"CAST(count_if(({pred}) IS FALSE) AS BIGINT) AS failed, "
+            f"CAST(count_if(({pred}) IS NULL) AS BIGINT) AS null_result FROM {source}")
+    return "\nUNION ALL\n".join(parts)
+
+
+# Rule names, actions and predicates (fixed values of the pipeline).
+_stmt("dq_products", _metrics("clean_products", "stage_products", [
+    ("has_ndc", "drop", "product_ndc IS NOT NULL"),
+    ("has_brand", "warn", "brand_name IS NOT NULL"),
+    ("ndc_not_blank", "warn", "product_ndc <> ''"),
+]), "stage_products")
+_stmt("dq_enforcement", _metrics("clean_enforcement", "stage_enforcement", [
+    ("has_recall_number", "drop", "recall_number IS NOT NULL"),
+    ("valid_classification", "warn", "classification IN ('Class I', 'Class II', 'Class III')"),
+    ("recall_number_not_blank", "warn", "recall_number <> ''"),
+    ("recall_date_parsed", "warn", "_src_recall_date IS NULL OR recall_date IS NOT NULL"),
+    ("report_date_parsed", "warn", "_src_report_date IS NULL OR report_date IS NOT NULL"),
+    ("termination_date_parsed", "warn", "_src_termination_date IS NULL OR termination_date IS NOT NULL"),
+]), "stage_enforcement")
+_stmt("dq_adverse", _metrics("clean_adverse_events", "stage_adverse", [
+    ("has_report_id", "drop", "report_id IS NOT NULL"),
+    ("serious_parsed", "warn", "_src_serious IS NULL OR is_serious IS NOT NULL"),
+    ("receive_date_parsed", "warn", "_src_receivedate IS NULL OR receive_date IS NOT NULL"),
+    ("patient_age_parsed", "warn", "_src_age IS NULL OR patient_age IS NOT NULL"),
+]), "stage_adverse")
+
+
+def _pk(table_name: str, source: str, keys: list[str]) -> str:
+    k = ", ".join(keys)
+    nulls = " OR ".join(f"{c} IS NULL" for c in keys)
+    return (f"SELECT '{table_name}' AS table_name, concat_ws(' | ', {k}) AS key, COUNT(*) AS n_rows "
+            f"FROM {source} GROUP BY {k} HAVING COUNT(*) > 1 OR {nulls}")
+
+
+_stmt("pk_violations", "\nUNION ALL\n".join([
+    _pk("gold_product_catalog", "clean_products", ["product_ndc"]),
+    _pk("gold_enforcement_actions", "clean_enforcement", ["recall_number"]),
+    _pk("gold_adverse_events_summary", "gold_summary", ["product_name", "reaction_name"]),
+]), "clean_products", "clean_enforcement", "gold_summary")
+_stmt("pk_violations_raw", "\nUNION ALL\n".join([
+    _pk("raw_ndc_products", "stage_products", ["product_ndc"]),
+    _pk("raw_enforcement_actions", "stage_enforcement", ["recall_number"]),
+]), "stage_products", "stage_enforcement")
+
+
+# --- ingest ----------------------------------------------------------------------------
+
+_cte("ae_nested", """
+SELECT l_orderkey,
+  list({'medicinalproduct': medicinalproduct, 'drugindication': drugindication}
+       ORDER BY l_linenumber, l_partkey, l_suppkey) AS drug,
+  list({'reactionmeddrapt': reactionmeddrapt} ORDER BY l_linenumber, l_partkey, l_suppkey) AS reaction
+FROM ae_lines GROUP BY l_orderkey""", "ae_lines")
+
+_cte("raw_adverse", """
+SELECT r.safetyreportid, r.serious, r.receivedate,
+  {'patientsex': r.patientsex, 'patientonsetage': r.patientonsetage, 'drug': n.drug,
+   'reaction': CASE WHEN r.o_orderkey % 7 = 0 THEN CAST([] AS STRUCT(reactionmeddrapt VARCHAR)[])
+                    ELSE n.reaction END} AS patient,
+  r.o_orderkey AS _seq
+FROM ae_reports r LEFT JOIN ae_nested n ON n.l_orderkey = r.o_orderkey""", "ae_reports", "ae_nested")
+
+# Source tags (fixed values).
+_SOURCE = {
+    "products": "openFDA /drug/ndc.json",
+    "enforcement": "openFDA /food/enforcement.json",
+    "adverse": "openFDA /drug/event.json",
+}
+_RAW = {
+    "products": ("raw_products", "product_ndc",
+                 "product_ndc, brand_name, generic_name, labeler_name, product_type, dosage_form, "
+                 "marketing_category, to_json(route) AS route, "
+                 "to_json(active_ingredients) AS active_ingredients"),
+    "enforcement": ("raw_enforcement", "recall_number",
+                    "recall_number, classification, status, product_description, reason_for_recall, "
+                    "recalling_firm, city, state, country, distribution_pattern, voluntary_mandated, "
+                    "recall_initiation_date, report_date, termination_date"),
+    "adverse": ("raw_adverse", "safetyreportid",
+                "safetyreportid, serious, receivedate, to_json(patient) AS patient"),
+}
+
+for _w, (_src, _key, _cols) in _RAW.items():
+    _stmt(f"bronze_{_w}", f"SELECT {_cols}, '{_SOURCE[_w]}' AS _source FROM {_src}", _src)
+
+
+def landed_sql(which: str, page_size: int = 100, short_page: tuple[int, int] | None = None,
+               select: str | None = None) -> str:
+    src, key, cols = _RAW[which]
+    cut = ""
+    if short_page:
+        p, rows = short_page
+        cut = f"WHERE NOT (_idx // {page_size} = {p} AND _idx - {p * page_size} >= {rows})"
+    return f"""
+WITH numbered AS (
+  SELECT *, row_number() OVER (ORDER BY {key} ASC NULLS FIRST, _seq) - 1 AS _idx FROM {src}),
+paged AS (SELECT *, _idx // {page_size} AS _page FROM numbered {cut}),
+sizes AS (SELECT _page, COUNT(*) AS n FROM paged GROUP BY _page),
+stop AS (SELECT min(_page) AS s FROM sizes WHERE n < {page_size})
+SELECT {select or cols + f", '{_SOURCE[which]}' AS _source"} FROM paged
+WHERE _page <= coalesce((SELECT s FROM stop), 2147483647)"""
+
+
+_stmt("land_pages", f"SELECT * FROM ({landed_sql('products')})", "raw_products")
+_stmt("land_pages_short_page", f"SELECT * FROM ({landed_sql('products', short_page=(5, 40))})",
+      "raw_products")
+_stmt("landing_counts", "\nUNION ALL\n".join(
+    f"SELECT * FROM ({landed_sql(w, select=repr(_SOURCE[w]) + ' AS _source, COUNT(*) AS records')})"
+    for w in ("products", "enforcement", "adverse")), "raw_products", "raw_enforcement", "raw_adverse")
+
+
+# --- change feed and sync --------------------------------------------------------------
+
+_PRODUCT_ALL = ("product_ndc",) + _PRODUCT_REST
+_ENF_ALL = ("recall_number",) + _ENF_REST
+_SUMMARY_ALL = ("product_name", "reaction_name", "event_count", "serious_count", "earliest_report",
+                "latest_report")
+
+
+def _evolve(name: str, source: str, cols: tuple[str, ...], h: str, changed: tuple[str, str],
+            nulled: str, new_key: tuple[str, str]) -> None:
+    def sel(over: dict[str, str]) -> str:
+        return ", ".join(f"{over.get(c, c)} AS {c}" for c in cols)
+    body = f"""
+SELECT {sel({changed[0]: f"CASE WHEN _h = 1 THEN {changed[1]} ELSE {changed[0]} END",
+              nulled: f"CASE WHEN _h = 2 THEN NULL ELSE {nulled} END"})}
+FROM (SELECT *, ({h}) % 10 AS _h FROM {source}) WHERE _h IS NULL OR _h <> 0
+UNION ALL
+SELECT {sel({new_key[0]: new_key[1]})}
+FROM (SELECT *, ({h}) % 10 AS _h FROM {source}) WHERE _h = 3"""
+    _cte(name, body, source)
+
+
+def _digits(c: str) -> str:
+    return f"TRY_CAST(regexp_replace({c}, '[^0-9]', '', 'g') AS BIGINT)"
+
+
+# Snapshot evolution rules (fixed values, see sources.fixtures).
+_evolve("next_products", "clean_products", _PRODUCT_ALL, _digits("product_ndc"),
+        ("labeler_name", "labeler_name || ' (revised)'"), "brand_name",
+        ("product_ndc", "product_ndc || '-R'"))
+_evolve("next_enforcement", "clean_enforcement", _ENF_ALL, _digits("recall_number"),
+        ("product_description", "product_description || ' (revised)'"), "city",
+        ("recall_number", "recall_number || '-R'"))
+_evolve("next_summary", "gold_summary", _SUMMARY_ALL, "length(product_name) + length(reaction_name)",
+        ("event_count", "event_count + 1"), "latest_report",
+        ("reaction_name", "reaction_name || ' (NEW)'"))
+
+
+def _diff(old: str, new: str, cols: tuple[str, ...], keys: tuple[str, ...]) -> str:
+    on = " AND ".join(f"o.{k} = n.{k}" for k in keys)
+    rest = [c for c in cols if c not in keys]
+    same = " AND ".join(f"o.{c} IS NOT DISTINCT FROM n.{c}" for c in rest)
+    oc = ", ".join(f"o.{c}" for c in cols)
+    nc = ", ".join(f"n.{c}" for c in cols)
+    return f"""
+SELECT {nc}, 'insert' AS _change_type FROM {new} n WHERE NOT EXISTS (SELECT 1 FROM {old} o WHERE {on})
+UNION ALL
+SELECT {oc}, 'delete' FROM {old} o WHERE NOT EXISTS (SELECT 1 FROM {new} n WHERE {on})
+UNION ALL
+SELECT {oc}, 'update_preimage' FROM {old} o JOIN {new} n ON {on} WHERE NOT ({same})
+UNION ALL
+SELECT {nc}, 'update_postimage' FROM {old} o JOIN {new} n ON {on} WHERE NOT ({same})"""
+
+
+_stmt("change_feed_products", _diff("clean_products", "next_products", _PRODUCT_ALL, ("product_ndc",)),
+      "clean_products", "next_products")
+_stmt("change_feed_enforcement", _diff("clean_enforcement", "next_enforcement", _ENF_ALL,
+                                       ("recall_number",)), "clean_enforcement", "next_enforcement")
+_stmt("change_feed_adverse", _diff("gold_summary", "next_summary", _SUMMARY_ALL,
+                                   ("product_name", "reaction_name")), "gold_summary", "next_summary")
+_stmt("sync_apply_products", "SELECT * FROM next_products", "next_products")
+_stmt("sync_apply_enforcement", "SELECT * FROM next_enforcement", "next_enforcement")
+_stmt("sync_apply_adverse", "SELECT * FROM next_summary", "next_summary")

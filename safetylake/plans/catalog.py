@@ -12,7 +12,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from safetylake.operators import clean, gold, queries
+from safetylake import schemas
+from safetylake.operators import changes, clean, gold, quality, queries
+from safetylake.sources import ingest
 from safetylake.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +92,111 @@ QUERIES.update({
     "top_pairs_share": lambda s, d: queries.top_pairs_share(gold_adverse(s, d)),
     "recall_badges": lambda s, d: queries.recall_badges(gold_enforcement(s, d)),
 })
+
+
+# ---- data quality and keys ------------------------------------------------------
+
+def _dq_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staged = clean.stage_products(fixtures.raw_products(spark, sf_dir))
+    return quality.rule_metrics(staged, clean.PRODUCT_RULES + clean.PRODUCT_CHECKS, "clean_products")
+
+
+def _dq_enforcement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staged = clean.stage_enforcement(fixtures.raw_enforcement(spark, sf_dir), keep_source=True)
+    return quality.rule_metrics(staged, clean.ENFORCEMENT_RULES + clean.ENFORCEMENT_CHECKS,
+                                "clean_enforcement")
+
+
+def _dq_adverse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staged = clean.stage_adverse_events(fixtures.raw_adverse(spark, sf_dir), keep_source=True)
+    return quality.rule_metrics(staged, clean.ADVERSE_RULES + clean.ADVERSE_CHECKS, "clean_adverse_events")
+
+
+def _pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (changes.pk_violations(gold_products(spark, sf_dir), list(schemas.PK_PRODUCTS),
+                                  "gold_product_catalog")
+            .unionByName(changes.pk_violations(gold_enforcement(spark, sf_dir), list(schemas.PK_ENFORCEMENT),
+                                               "gold_enforcement_actions"))
+            .unionByName(changes.pk_violations(gold_adverse(spark, sf_dir), list(schemas.PK_ADVERSE),
+                                               "gold_adverse_events_summary")))
+
+
+def _raw_pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same key check on the trimmed raw records: what dedupe and drop rules fix."""
+    return (changes.pk_violations(clean.stage_products(fixtures.raw_products(spark, sf_dir)),
+                                  list(schemas.PK_PRODUCTS), "raw_ndc_products")
+            .unionByName(changes.pk_violations(
+                clean.stage_enforcement(fixtures.raw_enforcement(spark, sf_dir)),
+                list(schemas.PK_ENFORCEMENT), "raw_enforcement_actions")))
+
+
+QUERIES.update({
+    "dq_products": _dq_products,
+    "dq_enforcement": _dq_enforcement,
+    "dq_adverse": _dq_adverse,
+    "pk_violations": _pk_violations,
+    "pk_violations_raw": _raw_pk_violations,
+})
+
+
+# ---- ingest -------------------------------------------------------------------------
+
+def _bronze(which: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = fixtures.RAW_BUILDERS[which](spark, sf_dir)
+        return ingest.as_json_text(ingest.land_source(spark, raw, which))
+    return run
+
+
+# A short page in the middle of the product feed (fixed values): page 5 keeps
+# 40 of its 100 records, so a paged reader stops there.
+SHORT_PAGE = (5, 40)
+
+
+def _landed_pages(spark: SparkSession, sf_dir: str, which: str,
+                  short_page: tuple[int, int] | None = None) -> DataFrame:
+    raw = fixtures.RAW_BUILDERS[which](spark, sf_dir, with_seq=True)
+    path = ingest.land_pages_files(spark, raw, which, short_page=short_page)
+    return ingest.land_pages(spark, path, which)
+
+
+def _landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.landing_counts([_landed_pages(spark, sf_dir, w) for w in ("products", "enforcement",
+                                                                             "adverse")])
+
+
+QUERIES.update({
+    "bronze_products": _bronze("products"),
+    "bronze_enforcement": _bronze("enforcement"),
+    "bronze_adverse": _bronze("adverse"),
+    "land_pages": lambda s, d: ingest.as_json_text(_landed_pages(s, d, "products")),
+    "land_pages_short_page": lambda s, d: ingest.as_json_text(_landed_pages(s, d, "products", SHORT_PAGE)),
+    "landing_counts": _landing_counts,
+})
+
+
+# ---- change feed and sync --------------------------------------------------------
+
+def _feed(gold_fn: Callable, evolve: Callable, keys: tuple[str, ...]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        old = gold_fn(spark, sf_dir)
+        return changes.snapshot_diff(old, evolve(old), list(keys))
+    return run
+
+
+def _sync(gold_fn: Callable, evolve: Callable, keys: tuple[str, ...]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        old = gold_fn(spark, sf_dir)
+        feed = changes.snapshot_diff(old, evolve(old), list(keys))
+        return changes.apply_changes(old, feed, list(keys))
+    return run
+
+
+QUERIES.update({
+    "change_feed_products": _feed(gold_products, fixtures.next_products, schemas.PK_PRODUCTS),
+    "change_feed_enforcement": _feed(gold_enforcement, fixtures.next_enforcement, schemas.PK_ENFORCEMENT),
+    "change_feed_adverse": _feed(gold_adverse, fixtures.next_adverse_summary, schemas.PK_ADVERSE),
+    "sync_apply_products": _sync(gold_products, fixtures.next_products, schemas.PK_PRODUCTS),
+    "sync_apply_enforcement": _sync(gold_enforcement, fixtures.next_enforcement, schemas.PK_ENFORCEMENT),
+    "sync_apply_adverse": _sync(gold_adverse, fixtures.next_adverse_summary, schemas.PK_ADVERSE),
+})

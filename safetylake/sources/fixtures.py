@@ -161,7 +161,7 @@ def raw_enforcement(spark: SparkSession, sf_dir: str, with_seq: bool = False) ->
 
 
 def _report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order: the drug and reaction arrays, each ordered by line number."""
+    """Per order: the drug and reaction arrays, each ordered by line."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
@@ -169,14 +169,18 @@ def _report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = (li.join(p, li.l_partkey == p.p_partkey, "left")
                .join(s, F.col("l_suppkey") == s.s_suppkey, "left")
                .join(n, F.col("s_nationkey") == n.n_nationkey, "left"))
+    # Line numbers repeat within an order in the driver data: part and supplier
+    # keys complete the order of array elements.
+    order = [F.col("l_linenumber").alias("ln"), F.col("l_partkey").alias("pk"),
+             F.col("l_suppkey").alias("sk")]
     drug = F.struct(
-        F.col("l_linenumber").alias("ln"),
+        *order,
         F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit(" "), F.col("p_name"))).alias("medicinalproduct"),
         F.col("p_type").alias("drugindication"),
     )
     reaction = F.struct(
-        F.col("l_linenumber").alias("ln"),
+        *order,
         F.when(F.col("l_linenumber") == 6, F.lit(None).cast("string"))
          .otherwise(F.concat(F.initcap("n_name"), F.lit(" "))).alias("reactionmeddrapt"),
     )
@@ -226,3 +230,45 @@ RAW_BUILDERS = {
     "enforcement": raw_enforcement,
     "adverse": raw_adverse,
 }
+
+
+# ---------------------------------------------------------------------------
+# Second snapshot of a published table, for the change feed and the sync.
+# Fixed rules, by h = a stable integer from the key (the digits of the key, or
+# length(product_name) + length(reaction_name) for the pair table):
+#   h % 10 = 0  row removed                     (delete)
+#   h % 10 = 1  one non-key column changed      (update)
+#   h % 10 = 2  one nullable column set to NULL (update)
+#   h % 10 = 3  row kept and a copy added under a new key (insert)
+# ---------------------------------------------------------------------------
+
+def _key_digits(c: str) -> Column:
+    return F.regexp_replace(F.col(c), "[^0-9]", "").try_cast("bigint")
+
+
+def _evolve(old: DataFrame, h: Column, changed: str, new_value: Column, nulled: str,
+            new_key: str, new_key_value: Column) -> DataFrame:
+    hm = F.pmod(h, F.lit(10))
+    kept = (old.filter(hm.isNull() | (hm != 0))
+               .withColumn(changed, F.when(hm == 1, new_value).otherwise(F.col(changed)))
+               .withColumn(nulled, F.when(hm == 2, F.lit(None)).otherwise(F.col(nulled))))
+    added = old.filter(hm == 3).withColumn(new_key, new_key_value)
+    return kept.unionByName(added).select(*old.columns)
+
+
+def next_products(old: DataFrame) -> DataFrame:
+    return _evolve(old, _key_digits("product_ndc"),
+                   "labeler_name", F.concat(F.col("labeler_name"), F.lit(" (revised)")),
+                   "brand_name", "product_ndc", F.concat(F.col("product_ndc"), F.lit("-R")))
+
+
+def next_enforcement(old: DataFrame) -> DataFrame:
+    return _evolve(old, _key_digits("recall_number"),
+                   "product_description", F.concat(F.col("product_description"), F.lit(" (revised)")),
+                   "city", "recall_number", F.concat(F.col("recall_number"), F.lit("-R")))
+
+
+def next_adverse_summary(old: DataFrame) -> DataFrame:
+    return _evolve(old, F.length("product_name") + F.length("reaction_name"),
+                   "event_count", F.col("event_count") + 1,
+                   "latest_report", "reaction_name", F.concat(F.col("reaction_name"), F.lit(" (NEW)")))
