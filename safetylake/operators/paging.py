@@ -52,7 +52,7 @@ def cut_pages(records: DataFrame, order: list[Column | str], page_size: int = 10
         p, rows = short_page
         idx = idx.filter((F.col("_page") != p) | (F.col("_idx") - p * page_size < rows))
     grouped = idx.groupBy("_page").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_idx").alias("_i"),
+        F.sort_array(F.collect_list(F.struct(F.col("_idx").alias("_i"),
                                              *[F.col(c) for c in fields]))).alias("_recs"))
     return grouped.select(
         (F.col("_page") * page_size).cast("int").alias("skip"),
