@@ -473,7 +473,9 @@ _evolve("next_products", "clean_products", _PRODUCT_ALL, _digits("product_ndc"),
 _evolve("next_enforcement", "clean_enforcement", _ENF_ALL, _digits("recall_number"),
         ("product_description", "product_description || ' (revised)'"), "city",
         ("recall_number", "recall_number || '-R'"))
-_evolve("next_summary", "gold_summary", _SUMMARY_ALL, "length(product_name) + length(reaction_name)",
+_evolve("next_summary", "gold_summary", _SUMMARY_ALL,
+        "coalesce(" + _digits("product_name || reaction_name") + ", 0) "
+        "+ length(product_name) + length(reaction_name)",
         ("event_count", "event_count + 1"), "latest_report",
         ("reaction_name", "reaction_name || ' (NEW)'"))
 

@@ -239,8 +239,8 @@ RAW_BUILDERS = {
 
 # ---------------------------------------------------------------------------
 # Second snapshot of a published table, for the change feed and the sync.
-# Fixed rules, by h = a stable integer from the key (the digits of the key, or
-# length(product_name) + length(reaction_name) for the pair table):
+# Fixed rules, by h = a stable integer from the key (the digits of the key; for
+# the pair table, those digits plus length(product_name) + length(reaction_name)):
 #   h % 10 = 0  row removed                     (delete)
 #   h % 10 = 1  one non-key column changed      (update)
 #   h % 10 = 2  one nullable column set to NULL (update)
@@ -273,7 +273,14 @@ def next_enforcement(old: DataFrame) -> DataFrame:
                    "city", "recall_number", F.concat(F.col("recall_number"), F.lit("-R")))
 
 
+def _pair_h() -> Column:
+    # Lengths alone give only a few residues on the driver data (no inserts or
+    # NULL-updates would ever occur), so the digits of the key are added.
+    digits = F.regexp_replace(F.concat("product_name", "reaction_name"), "[^0-9]", "").try_cast("bigint")
+    return F.coalesce(digits, F.lit(0)) + F.length("product_name") + F.length("reaction_name")
+
+
 def next_adverse_summary(old: DataFrame) -> DataFrame:
-    return _evolve(old, F.length("product_name") + F.length("reaction_name"),
+    return _evolve(old, _pair_h(),
                    "event_count", F.col("event_count") + 1,
                    "latest_report", "reaction_name", F.concat(F.col("reaction_name"), F.lit(" (NEW)")))
