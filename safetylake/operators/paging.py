@@ -19,13 +19,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from safetylake.session import checkpoint
+
 _LOW_BITS = 33
 _LOW_MASK = (1 << _LOW_BITS) - 1
 
 
 def row_index(df: DataFrame, order: list[Column | str], name: str = "_idx") -> DataFrame:
     tagged = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
-    tagged = tagged.checkpoint(eager=True)
+    tagged = checkpoint(tagged)
     tagged = tagged.withColumn("_pid", F.shiftright("_mid", _LOW_BITS))
     counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     # One row per input partition: the running sum runs over that small table.

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from safetylake import schemas
 from safetylake.operators import changes, clean, gold, quality, queries
-from safetylake.sources import ingest
-from safetylake.sources import fixtures
+from safetylake.session import checkpoint
+from safetylake.sources import fixtures, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -177,16 +177,20 @@ QUERIES.update({
 
 # ---- change feed and sync --------------------------------------------------------
 
+# Snapshots are stored tables: the old one is checkpointed to the shared
+# folder once, so the new snapshot and the diff read it instead of deriving
+# the gold table again for every branch of the plan.
+
 def _feed(gold_fn: Callable, evolve: Callable, keys: tuple[str, ...]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        old = gold_fn(spark, sf_dir)
+        old = checkpoint(gold_fn(spark, sf_dir))
         return changes.snapshot_diff(old, evolve(old), list(keys))
     return run
 
 
 def _sync(gold_fn: Callable, evolve: Callable, keys: tuple[str, ...]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        old = gold_fn(spark, sf_dir)
+        old = checkpoint(gold_fn(spark, sf_dir))
         feed = changes.snapshot_diff(old, evolve(old), list(keys))
         return changes.apply_changes(old, feed, list(keys))
     return run

@@ -87,3 +87,34 @@ def run(spark: SparkSession, sources: dict[str, str], out_dir: str,
 
 def table(spark: SparkSession, paths: dict[str, str], name: str) -> DataFrame:
     return spark.read.parquet(paths[name])
+
+
+def quoted_name(*parts: str) -> str:
+    """A qualified table name with each part quoted (backticks inside doubled)."""
+    return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
+
+
+def register_tables(spark: SparkSession, paths: dict[str, str], database: str) -> list[str]:
+    """Register written datasets as external tables of ``database`` with their
+    comment and properties (tier, primary key, change feed), so they resolve
+    by name: ``spark.table(quoted_name("spark_catalog", database, name))``."""
+    db = quoted_name(database)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    names = []
+    for ds in DATASETS:
+        if ds.name not in paths:
+            continue
+        props = {"quality": ds.tier}
+        if ds.primary_key:
+            props["primary_key"] = ",".join(ds.primary_key)
+        if ds.change_feed:
+            props["change_feed"] = "true"
+        prop_sql = ", ".join(f"'{k}' = '{v}'" for k, v in props.items())
+        full = quoted_name(database, ds.name)
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        location = paths[ds.name].replace("'", "\\'")
+        comment = ds.comment.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{location}' "
+                  f"COMMENT '{comment}' TBLPROPERTIES ({prop_sql})")
+        names.append(full)
+    return names

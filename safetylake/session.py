@@ -10,7 +10,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -52,3 +52,13 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unique sub-path of the shared folder for one landing or snapshot."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Reliable, eager checkpoint into the shared folder (never a local one).
+
+    Cuts lineage: later stages restart from these files, and a lost executor
+    does not force recomputation of everything upstream.
+    """
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
