@@ -11,12 +11,13 @@ into NULL (and is counted by a parse rule) instead of failing the dataset.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from safetylake.functions.scalar import first_element, parse_date, parse_int, upper_trim
 from safetylake.operators.dedupe import keep_least
-from safetylake.operators.quality import DROP, WARN, Rule, apply_rules
+from safetylake.operators.quality import DROP, WARN, Rule, apply_rules, rule_metrics
 from safetylake.schemas import ADVERSE_SILVER_COLUMNS, ENFORCEMENT_COLUMNS, PRODUCT_COLUMNS
 
 # Rules of the published pipeline (names and predicates are fixed values).
@@ -117,15 +118,10 @@ def clean_enforcement(raw: DataFrame, strict: bool = False) -> DataFrame:
 
 # ---- adverse events ------------------------------------------------------------
 
-def stage_adverse_events(raw: DataFrame, strict: bool = False, keep_source: bool = False) -> DataFrame:
-    """One row per report x drug x reaction (both explodes are outer).
-
-    Only the fields used downstream travel through the explodes: the drug
-    structs are cut to two fields and the reactions to an array of names.
-    Rows whose product is NULL are removed between the two explodes, which
-    gives the same rows as removing them at the end without multiplying them
-    first.
-    """
+def stage_adverse_reports(raw: DataFrame, strict: bool = False, keep_source: bool = False) -> DataFrame:
+    """One row per report: parsed scalars, the drug structs, the reaction names,
+    and ``_pairs``, the number of silver rows the report expands into
+    (drugs with a product name x max(1, reactions))."""
     extra = []
     if keep_source:
         extra = [
@@ -133,7 +129,9 @@ def stage_adverse_events(raw: DataFrame, strict: bool = False, keep_source: bool
             F.col("receivedate").alias("_src_receivedate"),
             F.col("patient.patientonsetage").alias("_src_age"),
         ]
-    reports = raw.select(
+    named = F.size(F.filter(F.col("patient.drug"), lambda d: d["medicinalproduct"].isNotNull()))
+    reactions = F.greatest(F.coalesce(F.size(F.col("patient.reaction")), F.lit(0)), F.lit(1))
+    return raw.select(
         F.col("safetyreportid").alias("report_id"),
         parse_int("serious", strict).alias("is_serious"),
         parse_date("receivedate", strict).alias("receive_date"),
@@ -142,7 +140,20 @@ def stage_adverse_events(raw: DataFrame, strict: bool = False, keep_source: bool
         F.col("patient.drug").alias("drugs"),
         F.col("patient.reaction.reactionmeddrapt").alias("reaction_names"),
         *extra,
+        (F.coalesce(named, F.lit(0)) * reactions).alias("_pairs"),
     )
+
+
+def stage_adverse_events(raw: DataFrame, strict: bool = False, keep_source: bool = False) -> DataFrame:
+    """One row per report x drug x reaction (both explodes are outer).
+
+    Only the fields used downstream travel through the explodes: the drug
+    structs are cut to two fields and the reactions to an array of names.
+    Rows whose product is NULL are removed between the two explodes, which
+    gives the same rows as removing them at the end without multiplying them
+    first.
+    """
+    reports = stage_adverse_reports(raw, strict, keep_source).drop("_pairs")
     keep = [c for c in reports.columns if c not in ("drugs", "reaction_names")]
     per_drug = (reports
                 .select(*keep, "reaction_names", F.explode_outer("drugs").alias("drug"))
@@ -159,6 +170,22 @@ def stage_adverse_events(raw: DataFrame, strict: bool = False, keep_source: bool
                     upper_trim("_reaction").alias("reaction_name"), *sources))
 
 
+def adverse_metrics(raw: DataFrame, rules: list[Rule], dataset: str = "clean_adverse_events") -> DataFrame:
+    """Rule metrics over the pair rows of ``clean_adverse_events``.
+
+    When every rule reads only report-level columns, all pairs of a report
+    share its verdict, so the metrics are sums over reports weighted by the
+    pairs each expands into: the same numbers without exploding anything.
+    Otherwise they are counted over the exploded rows.
+    """
+    reports = stage_adverse_reports(raw, keep_source=True)
+    try:
+        reports.select(*[r.column() for r in rules]).schema
+    except AnalysisException:
+        return rule_metrics(stage_adverse_events(raw, keep_source=True), rules, dataset)
+    return rule_metrics(reports, rules, dataset, weight="_pairs")
+
+
 def clean_adverse_events(raw: DataFrame, strict: bool = False) -> DataFrame:
     """``clean_adverse_events``: drug x reaction pairs; no key and no dedupe."""
     return apply_rules(stage_adverse_events(raw, strict), ADVERSE_RULES).select(*ADVERSE_SILVER_COLUMNS)

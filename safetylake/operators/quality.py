@@ -40,15 +40,25 @@ def apply_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return out
 
 
-def rule_metrics(df: DataFrame, rules: list[Rule], dataset: str) -> DataFrame:
-    """One row per rule: dataset, rule, action, total, passed, failed, null_result."""
-    aggs = [F.count(F.lit(1)).alias("_total")]
+def rule_metrics(df: DataFrame, rules: list[Rule], dataset: str, weight: str | None = None) -> DataFrame:
+    """One row per rule: dataset, rule, action, total, passed, failed, null_result.
+
+    With ``weight``, each row stands for ``weight`` rows (e.g. a report for
+    all the pairs it expands into) and counts become weighted sums.
+    """
+    def count(cond: Column | None) -> Column:
+        if weight is None:
+            return F.count(F.lit(1)) if cond is None else F.count_if(cond)
+        w = F.col(weight).cast("bigint")
+        return F.coalesce(F.sum(w if cond is None else F.when(cond, w)), F.lit(0).cast("bigint"))
+
+    aggs = [count(None).alias("_total")]
     for i, r in enumerate(rules):
         c = r.column()
         aggs += [
-            F.count_if(c).alias(f"_p{i}"),
-            F.count_if(~c).alias(f"_f{i}"),
-            F.count_if(c.isNull()).alias(f"_n{i}"),
+            count(c).alias(f"_p{i}"),
+            count(~c).alias(f"_f{i}"),
+            count(c.isNull()).alias(f"_n{i}"),
         ]
     wide = df.agg(*aggs)
     rows = F.array(*[

@@ -108,8 +108,7 @@ def _dq_enforcement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dq_adverse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = clean.stage_adverse_events(fixtures.raw_adverse(spark, sf_dir), keep_source=True)
-    return quality.rule_metrics(staged, clean.ADVERSE_RULES + clean.ADVERSE_CHECKS, "clean_adverse_events")
+    return clean.adverse_metrics(fixtures.raw_adverse(spark, sf_dir), clean.ADVERSE_RULES + clean.ADVERSE_CHECKS)
 
 
 def _pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ written next to the data.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,8 +30,7 @@ class Dataset:
     build: Callable[..., DataFrame]
     primary_key: tuple[str, ...] = ()
     change_feed: bool = False
-    rules: list[quality.Rule] = field(default_factory=list)
-    staged: Callable[..., DataFrame] | None = None
+    metrics: Callable[..., DataFrame] | None = None
 
 
 DATASETS: list[Dataset] = [
@@ -44,15 +43,17 @@ DATASETS: list[Dataset] = [
             lambda spark, path: ingest.bronze(spark, path, schemas.RAW_ADVERSE, schemas.SOURCE_ADVERSE)),
     Dataset("clean_products", "Cleaned product catalog with flattened ingredients and routes", "silver",
             ("raw_ndc_products",), clean.clean_products,
-            rules=clean.PRODUCT_RULES + clean.PRODUCT_CHECKS, staged=clean.stage_products),
+            metrics=lambda raw: quality.rule_metrics(clean.stage_products(raw),
+                                                     clean.PRODUCT_RULES + clean.PRODUCT_CHECKS,
+                                                     "clean_products")),
     Dataset("clean_enforcement", "Cleaned enforcement actions with parsed dates", "silver",
             ("raw_enforcement_actions",), clean.clean_enforcement,
-            rules=clean.ENFORCEMENT_RULES + clean.ENFORCEMENT_CHECKS,
-            staged=lambda raw: clean.stage_enforcement(raw, keep_source=True)),
+            metrics=lambda raw: quality.rule_metrics(clean.stage_enforcement(raw, keep_source=True),
+                                                     clean.ENFORCEMENT_RULES + clean.ENFORCEMENT_CHECKS,
+                                                     "clean_enforcement")),
     Dataset("clean_adverse_events", "One row per report, drug and reaction", "silver",
             ("raw_adverse_events",), clean.clean_adverse_events,
-            rules=clean.ADVERSE_RULES + clean.ADVERSE_CHECKS,
-            staged=lambda raw: clean.stage_adverse_events(raw, keep_source=True)),
+            metrics=lambda raw: clean.adverse_metrics(raw, clean.ADVERSE_RULES + clean.ADVERSE_CHECKS)),
     Dataset("gold_product_catalog", "Deduplicated product reference table", "gold",
             ("clean_products",), gold.publish_products, schemas.PK_PRODUCTS, True),
     Dataset("gold_enforcement_actions", "Enforcement and recall table", "gold",
@@ -76,8 +77,8 @@ def run(spark: SparkSession, sources: dict[str, str], out_dir: str,
         else:
             inputs = [spark.read.parquet(written[i]) for i in ds.inputs]
             df = ds.build(*inputs)
-            if with_metrics and ds.rules:
-                metrics = quality.rule_metrics(ds.staged(*inputs), ds.rules, ds.name)
+            if with_metrics and ds.metrics is not None:
+                metrics = ds.metrics(*inputs)
                 metrics.write.mode("overwrite").parquet(f"{out_dir}/_quality/{ds.name}")
         path = f"{out_dir}/{ds.name}"
         df.write.mode("overwrite").parquet(path)

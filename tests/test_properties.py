@@ -57,3 +57,15 @@ def test_all_four_change_kinds_occur(spark):
                  .collect()}
         assert kinds == {"insert", "delete", "update_preimage", "update_postimage"}, key
     assert changes.INSERT == "insert"
+
+
+def test_weighted_adverse_metrics_equal_exploded_counts(spark):
+    from safetylake.operators.quality import WARN, Rule, rule_metrics
+    raw = fixtures.raw_adverse(spark, SF_SMALL)
+    rules = clean.ADVERSE_RULES + clean.ADVERSE_CHECKS
+    exploded = rule_metrics(clean.stage_adverse_events(raw, keep_source=True), rules, "clean_adverse_events")
+    assert as_set(clean.adverse_metrics(raw, rules)) == as_set(exploded)
+    # A rule on a pair-level column falls back to counting exploded rows.
+    pair_rule = rules + [Rule("has_reaction", "reaction_name IS NOT NULL", WARN)]
+    exploded = rule_metrics(clean.stage_adverse_events(raw, keep_source=True), pair_rule, "clean_adverse_events")
+    assert as_set(clean.adverse_metrics(raw, pair_rule)) == as_set(exploded)
