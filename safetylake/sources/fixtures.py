@@ -67,6 +67,19 @@ def _yyyymmdd(c: str) -> Column:
 #                  NULL on line 6, else initcap(supplier nation) + ' '
 # ---------------------------------------------------------------------------
 
+def _with_copies(base: DataFrame, with_seq: bool) -> DataFrame:
+    """Emit each record once, or twice (an exact copy) where ``_dup`` holds.
+
+    One scan: each row explodes into one or two copy indexes instead of a
+    union that would read the source again.
+    """
+    copy = F.explode(F.when(F.col("_dup"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    cols = [c for c in base.columns if c not in ("_seq", "_dup")]
+    out = base.select(*cols, "_seq", copy.alias("_copy"))
+    out = out.select(*cols, (F.col("_seq") + F.col("_copy")).alias("_seq"))
+    return out if with_seq else out.drop("_seq")
+
+
 CLASS_BY_PRIORITY = {
     "1-URGENT": "Class I",
     "2-HIGH": "Class II",
@@ -115,9 +128,7 @@ def raw_products(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> Da
         (F.col("p_partkey") * 2).alias("_seq"),
         ((_mod("p_partkey", 50) == 1) & (_mod("p_partkey", 97) != 0)).alias("_dup"),
     )
-    copies = base.filter("_dup").withColumn("_seq", F.col("_seq") + 1)
-    out = base.unionByName(copies).drop("_dup")
-    return out if with_seq else out.drop("_seq")
+    return _with_copies(base, with_seq)
 
 
 def raw_enforcement(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> DataFrame:
@@ -155,9 +166,7 @@ def raw_enforcement(spark: SparkSession, sf_dir: str, with_seq: bool = False) ->
         (F.col(k) * 2).alias("_seq"),
         (_mod(k, 40) == 1).alias("_dup"),
     )
-    copies = base.filter("_dup").withColumn("_seq", F.col("_seq") + 1)
-    out = base.unionByName(copies).drop("_dup")
-    return out if with_seq else out.drop("_seq")
+    return _with_copies(base, with_seq)
 
 
 def _report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,11 +263,23 @@ def _key_digits(c: str) -> Column:
 def _evolve(old: DataFrame, h: Column, changed: str, new_value: Column, nulled: str,
             new_key: str, new_key_value: Column) -> DataFrame:
     hm = F.pmod(h, F.lit(10))
-    kept = (old.filter(hm.isNull() | (hm != 0))
-               .withColumn(changed, F.when(hm == 1, new_value).otherwise(F.col(changed)))
-               .withColumn(nulled, F.when(hm == 2, F.lit(None)).otherwise(F.col(nulled))))
-    added = old.filter(hm == 3).withColumn(new_key, new_key_value)
-    return kept.unionByName(added).select(*old.columns)
+    # One scan of the old snapshot: each row becomes no row (removed), itself,
+    # or itself plus a copy under a new key (variant 1).
+    variants = (F.when(hm == 0, F.array().cast("array<int>"))
+                 .when(hm == 3, F.array(F.lit(0), F.lit(1)))
+                 .otherwise(F.array(F.lit(0))))
+    v = old.select("*", F.explode(variants).alias("_v"))
+    out = []
+    for c in old.columns:
+        col = F.col(c)
+        if c == changed:
+            col = F.when((F.col("_v") == 0) & (hm == 1), new_value).otherwise(col)
+        elif c == nulled:
+            col = F.when((F.col("_v") == 0) & (hm == 2), F.lit(None)).otherwise(col)
+        if c == new_key:
+            col = F.when(F.col("_v") == 1, new_key_value).otherwise(col)
+        out.append(col.alias(c))
+    return v.select(*out)
 
 
 def next_products(old: DataFrame) -> DataFrame:
