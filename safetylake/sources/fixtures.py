@@ -23,112 +23,115 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def _mod(c: str, n: int) -> Column:
-    return F.pmod(F.col(c), F.lit(n))
 
-
-def _yyyymmdd(c: str) -> Column:
-    return F.date_format(F.col(c), "yyyyMMdd")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table. The DataFrame (file listing and footer schema) is reused
+    within one Spark application: the inputs are immutable."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 # ---------------------------------------------------------------------------
-# Fixed derivation rules (must equal the oracle's; see FIXTURES.md):
-#   products     key NULL when partkey % 97 = 0, else '  ' + lpad(partkey, 6, '0') + ' '
-#                brand NULL when % 11 = 0, else ' ' + lower(p_brand)
-#                route NULL when % 7 = 0, [] when % 5 = 0, else ['R' + size % 4, 'ORAL']
-#                ingredients NULL when % 13 = 0, [] when % 17 = 0,
-#                  else one (word, size + ' mg') per space-separated word of p_name
-#                exact copies appended for keys with partkey % 50 = 1
-#   enforcement  key NULL when orderkey % 101 = 0, else ' F-' + orderkey
-#                class by priority: 1-URGENT Class I, 2-HIGH Class II,
-#                  3-MEDIUM Class III, 4-NOT SPECIFIED Not Yet Classified, else NULL
-#                status O Ongoing, F Terminated, P Completed
-#                reason: % 23 = 0 segment + ' 50%_off'; % 29 = 0 "It's mislabeled";
-#                  else segment + ' defect'
-#                state NULL when % 9 = 0, else first two letters of the nation
-#                pattern Nationwide when % 2 = 0 else Regional
-#                voluntary Mandated when % 3 = 0 else Voluntary
-#                initiation '' when % 31 = 0, '20241399' when % 37 = 0, else order date
-#                termination NULL when Ongoing, else order date
-#                exact copies appended for orderkey % 40 = 1
-#   adverse      report id NULL when orderkey % 103 = 0
-#                serious NULL when % 29 = 0, 'x' when % 31 = 0,
-#                  '1' for 1-URGENT / 2-HIGH, else '2'
-#                receivedate '' when % 37 = 0, else order date
-#                sex = custkey % 3; onset age '1.5' when orderkey % 19 = 0, else custkey % 90
-#                drugs: one per line item, product NULL on line 7, else ' ' + p_name;
-#                  indication p_type; NULL array for an order without lines
-#                reactions: [] when orderkey % 7 = 0, else one per line item,
-#                  NULL on line 6, else initcap(supplier nation) + ' '
+# Fixed derivation rules (must equal the oracle's; see FIXTURES.md), written
+# as Spark SQL expressions over the driver tables.
 # ---------------------------------------------------------------------------
 
+PRODUCT_EXPRS = [
+    "CASE WHEN pmod(p_partkey, 97) = 0 THEN NULL "
+    "ELSE concat('  ', lpad(CAST(p_partkey AS STRING), 6, '0'), ' ') END AS product_ndc",
+    "CASE WHEN pmod(p_partkey, 11) = 0 THEN NULL ELSE concat(' ', lower(p_brand)) END AS brand_name",
+    "p_name AS generic_name",
+    "concat('Labeler ', CAST(pmod(p_partkey, 10) AS STRING), ' ') AS labeler_name",
+    "p_type AS product_type",
+    "concat('FORM ', CAST(pmod(p_size, 5) AS STRING)) AS dosage_form",
+    "concat('CAT ', CAST(pmod(p_partkey, 3) AS STRING)) AS marketing_category",
+    "CASE WHEN pmod(p_partkey, 7) = 0 THEN NULL "
+    "WHEN pmod(p_partkey, 5) = 0 THEN CAST(array() AS ARRAY<STRING>) "
+    "ELSE array(concat('R', CAST(pmod(p_size, 4) AS STRING)), 'ORAL') END AS route",
+    "CASE WHEN pmod(p_partkey, 13) = 0 THEN NULL "
+    "WHEN pmod(p_partkey, 17) = 0 THEN CAST(array() AS ARRAY<STRUCT<name: STRING, strength: STRING>>) "
+    "ELSE transform(split(p_name, ' '), w -> named_struct('name', w, "
+    "'strength', concat(CAST(p_size AS STRING), ' mg'))) END AS active_ingredients",
+    "p_partkey * 2 AS _seq",
+    "pmod(p_partkey, 50) = 1 AND pmod(p_partkey, 97) <> 0 AS _dup",
+]
+
+_ORDER_DATE = "date_format(o_orderdate, 'yyyyMMdd')"
+
+ENFORCEMENT_EXPRS = [
+    "CASE WHEN pmod(o_orderkey, 101) = 0 THEN NULL "
+    "ELSE concat(' F-', CAST(o_orderkey AS STRING)) END AS recall_number",
+    "CASE o_orderpriority WHEN '1-URGENT' THEN 'Class I' WHEN '2-HIGH' THEN 'Class II' "
+    "WHEN '3-MEDIUM' THEN 'Class III' WHEN '4-NOT SPECIFIED' THEN 'Not Yet Classified' END AS classification",
+    "CASE o_orderstatus WHEN 'O' THEN 'Ongoing' WHEN 'F' THEN 'Terminated' WHEN 'P' THEN 'Completed' END "
+    "AS status",
+    "concat('Lot ', CAST(o_orderkey AS STRING), ' ', o_orderpriority) AS product_description",
+    "CASE WHEN pmod(o_orderkey, 23) = 0 THEN concat(c_mktsegment, ' 50%_off') "
+    "WHEN pmod(o_orderkey, 29) = 0 THEN 'It''s mislabeled' "
+    "ELSE concat(c_mktsegment, ' defect') END AS reason_for_recall",
+    "concat(c_name, ' ') AS recalling_firm",
+    "n_name AS city",
+    "CASE WHEN pmod(o_orderkey, 9) = 0 THEN NULL ELSE substring(n_name, 1, 2) END AS state",
+    "n_name AS country",
+    "CASE WHEN pmod(o_orderkey, 2) = 0 THEN 'Nationwide' ELSE 'Regional' END AS distribution_pattern",
+    "CASE WHEN pmod(o_orderkey, 3) = 0 THEN 'Mandated' ELSE 'Voluntary' END AS voluntary_mandated",
+    f"CASE WHEN pmod(o_orderkey, 31) = 0 THEN '' WHEN pmod(o_orderkey, 37) = 0 THEN '20241399' "
+    f"ELSE {_ORDER_DATE} END AS recall_initiation_date",
+    f"{_ORDER_DATE} AS report_date",
+    f"CASE WHEN o_orderstatus = 'O' THEN NULL ELSE {_ORDER_DATE} END AS termination_date",
+    "o_orderkey * 2 AS _seq",
+    "pmod(o_orderkey, 40) = 1 AS _dup",
+]
+
+# One struct per line item; line number, part key and supplier key lead so
+# that sorting the collected list orders it by line (line numbers repeat
+# within an order in the driver data).
+DRUG_EXPR = ("named_struct('ln', l_linenumber, 'pk', l_partkey, 'sk', l_suppkey, "
+             "'medicinalproduct', CASE WHEN l_linenumber = 7 THEN NULL ELSE concat(' ', p_name) END, "
+             "'drugindication', p_type)")
+REACTION_EXPR = ("named_struct('ln', l_linenumber, 'pk', l_partkey, 'sk', l_suppkey, "
+                 "'reactionmeddrapt', CASE WHEN l_linenumber = 6 THEN NULL ELSE concat(initcap(n_name), ' ') END)")
+
+REPORT_EXPRS = [
+    "CASE WHEN pmod(o_orderkey, 103) = 0 THEN NULL ELSE CAST(o_orderkey AS STRING) END AS safetyreportid",
+    "CASE WHEN pmod(o_orderkey, 29) = 0 THEN NULL WHEN pmod(o_orderkey, 31) = 0 THEN 'x' "
+    "WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN '1' ELSE '2' END AS serious",
+    f"CASE WHEN pmod(o_orderkey, 37) = 0 THEN '' ELSE {_ORDER_DATE} END AS receivedate",
+    "named_struct("
+    "'patientsex', CAST(pmod(o_custkey, 3) AS STRING), "
+    "'patientonsetage', CASE WHEN pmod(o_orderkey, 19) = 0 THEN '1.5' "
+    "ELSE CAST(pmod(o_custkey, 90) AS STRING) END, "
+    "'drug', drugs, "
+    "'reaction', CASE WHEN pmod(o_orderkey, 7) = 0 "
+    "THEN CAST(array() AS ARRAY<STRUCT<reactionmeddrapt: STRING>>) ELSE reactions END) AS patient",
+    "o_orderkey AS _seq",
+]
+
+
 def _with_copies(base: DataFrame, with_seq: bool) -> DataFrame:
     """Emit each record once, or twice (an exact copy) where ``_dup`` holds.
 
     One scan: each row explodes into one or two copy indexes instead of a
     union that would read the source again.
     """
-    copy = F.explode(F.when(F.col("_dup"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     cols = [c for c in base.columns if c not in ("_seq", "_dup")]
-    out = base.select(*cols, "_seq", copy.alias("_copy"))
-    out = out.select(*cols, (F.col("_seq") + F.col("_copy")).alias("_seq"))
+    out = (base.selectExpr(*cols, "_seq", "explode(IF(_dup, array(0, 1), array(0))) AS _copy")
+               .selectExpr(*cols, "_seq + _copy AS _seq"))
     return out if with_seq else out.drop("_seq")
 
 
-CLASS_BY_PRIORITY = {
-    "1-URGENT": "Class I",
-    "2-HIGH": "Class II",
-    "3-MEDIUM": "Class III",
-    "4-NOT SPECIFIED": "Not Yet Classified",
-}
-
-STATUS_BY_ORDER_STATUS = {"O": "Ongoing", "F": "Terminated", "P": "Completed"}
-
-
-def _lookup(c: str, mapping: dict[str, str]) -> Column:
-    expr = None
-    for k, v in mapping.items():
-        expr = (F.when(F.col(c) == k, v) if expr is None else expr.when(F.col(c) == k, v))
-    return expr
-
-
 def raw_products(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> DataFrame:
     """``raw_ndc_products`` records, one per part plus planted duplicates.
 
     ``with_seq`` keeps a hidden ``_seq`` column (source row id, copy flag)
     used only to cut records into pages in a stable order.
     """
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
-    words = F.split(F.col("p_name"), " ")
-    strength = F.concat(F.col("p_size").cast("string"), F.lit(" mg"))
-    base = p.select(
-        F.when(_mod("p_partkey", 97) == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("  "), F.lpad(F.col("p_partkey").cast("string"), 6, "0"), F.lit(" ")))
-         .alias("product_ndc"),
-        F.when(_mod("p_partkey", 11) == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit(" "), F.lower("p_brand"))).alias("brand_name"),
-        F.col("p_name").alias("generic_name"),
-        F.concat(F.lit("Labeler "), _mod("p_partkey", 10).cast("string"), F.lit(" ")).alias("labeler_name"),
-        F.col("p_type").alias("product_type"),
-        F.concat(F.lit("FORM "), _mod("p_size", 5).cast("string")).alias("dosage_form"),
-        F.concat(F.lit("CAT "), _mod("p_partkey", 3).cast("string")).alias("marketing_category"),
-        F.when(_mod("p_partkey", 7) == 0, F.lit(None).cast("array<string>"))
-         .when(_mod("p_partkey", 5) == 0, F.array().cast("array<string>"))
-         .otherwise(F.array(F.concat(F.lit("R"), _mod("p_size", 4).cast("string")), F.lit("ORAL")))
-         .alias("route"),
-        F.when(_mod("p_partkey", 13) == 0, F.lit(None).cast("array<struct<name:string,strength:string>>"))
-         .when(_mod("p_partkey", 17) == 0, F.array().cast("array<struct<name:string,strength:string>>"))
-         .otherwise(F.transform(words, lambda w: F.struct(w.alias("name"), strength.alias("strength"))))
-         .alias("active_ingredients"),
-        (F.col("p_partkey") * 2).alias("_seq"),
-        ((_mod("p_partkey", 50) == 1) & (_mod("p_partkey", 97) != 0)).alias("_dup"),
-    )
-    return _with_copies(base, with_seq)
+    return _with_copies(table(spark, sf_dir, "part").selectExpr(*PRODUCT_EXPRS), with_seq)
 
 
 def raw_enforcement(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> DataFrame:
@@ -139,34 +142,7 @@ def raw_enforcement(spark: SparkSession, sf_dir: str, with_seq: bool = False) ->
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = (o.join(c, o.o_custkey == c.c_custkey, "left")
           .join(n, F.col("c_nationkey") == n.n_nationkey, "left"))
-    k = "o_orderkey"
-    date = _yyyymmdd("o_orderdate")
-    status = _lookup("o_orderstatus", STATUS_BY_ORDER_STATUS)
-    base = j.select(
-        F.when(_mod(k, 101) == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit(" F-"), F.col(k).cast("string"))).alias("recall_number"),
-        _lookup("o_orderpriority", CLASS_BY_PRIORITY).alias("classification"),
-        status.alias("status"),
-        F.concat(F.lit("Lot "), F.col(k).cast("string"), F.lit(" "), F.col("o_orderpriority"))
-         .alias("product_description"),
-        F.when(_mod(k, 23) == 0, F.concat(F.col("c_mktsegment"), F.lit(" 50%_off")))
-         .when(_mod(k, 29) == 0, F.lit("It's mislabeled"))
-         .otherwise(F.concat(F.col("c_mktsegment"), F.lit(" defect"))).alias("reason_for_recall"),
-        F.concat(F.col("c_name"), F.lit(" ")).alias("recalling_firm"),
-        F.col("n_name").alias("city"),
-        F.when(_mod(k, 9) == 0, F.lit(None).cast("string"))
-         .otherwise(F.substring("n_name", 1, 2)).alias("state"),
-        F.col("n_name").alias("country"),
-        F.when(_mod(k, 2) == 0, "Nationwide").otherwise("Regional").alias("distribution_pattern"),
-        F.when(_mod(k, 3) == 0, "Mandated").otherwise("Voluntary").alias("voluntary_mandated"),
-        F.when(_mod(k, 31) == 0, F.lit("")).when(_mod(k, 37) == 0, F.lit("20241399"))
-         .otherwise(date).alias("recall_initiation_date"),
-        date.alias("report_date"),
-        F.when(status == "Ongoing", F.lit(None).cast("string")).otherwise(date).alias("termination_date"),
-        (F.col(k) * 2).alias("_seq"),
-        (_mod(k, 40) == 1).alias("_dup"),
-    )
-    return _with_copies(base, with_seq)
+    return _with_copies(j.selectExpr(*ENFORCEMENT_EXPRS), with_seq)
 
 
 def _report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,31 +159,15 @@ def _report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = (li.join(p, li.l_partkey == p.p_partkey, "left")
                .join(s, F.col("l_suppkey") == s.s_suppkey, "left")
                .join(n, F.col("s_nationkey") == n.n_nationkey, "left"))
-    # Line numbers repeat within an order in the driver data: part and supplier
-    # keys complete the order of array elements.
-    order = [F.col("l_linenumber").alias("ln"), F.col("l_partkey").alias("pk"),
-             F.col("l_suppkey").alias("sk")]
-    drug = F.struct(
-        *order,
-        F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit(" "), F.col("p_name"))).alias("medicinalproduct"),
-        F.col("p_type").alias("drugindication"),
-    )
-    reaction = F.struct(
-        *order,
-        F.when(F.col("l_linenumber") == 6, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.initcap("n_name"), F.lit(" "))).alias("reactionmeddrapt"),
-    )
     grouped = lines.groupBy("l_orderkey").agg(
-        F.sort_array(F.collect_list(drug)).alias("_drugs"),
-        F.sort_array(F.collect_list(reaction)).alias("_reactions"),
+        F.expr(f"sort_array(collect_list({DRUG_EXPR}))").alias("_drugs"),
+        F.expr(f"sort_array(collect_list({REACTION_EXPR}))").alias("_reactions"),
     )
-    return grouped.select(
+    return grouped.selectExpr(
         "l_orderkey",
-        F.transform("_drugs", lambda d: F.struct(d["medicinalproduct"].alias("medicinalproduct"),
-                                                 d["drugindication"].alias("drugindication"))).alias("drugs"),
-        F.transform("_reactions", lambda r: F.struct(r["reactionmeddrapt"].alias("reactionmeddrapt")))
-         .alias("reactions"),
+        "transform(_drugs, d -> named_struct('medicinalproduct', d.medicinalproduct, "
+        "'drugindication', d.drugindication)) AS drugs",
+        "transform(_reactions, r -> named_struct('reactionmeddrapt', r.reactionmeddrapt)) AS reactions",
     )
 
 
@@ -215,27 +175,7 @@ def raw_adverse(spark: SparkSession, sf_dir: str, with_seq: bool = False) -> Dat
     """``raw_adverse_events`` reports, one per order, with nested patient data."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     lines = _report_lines(spark, sf_dir)
-    j = o.join(lines, o.o_orderkey == lines.l_orderkey, "left")
-    k = "o_orderkey"
-    reactions = (F.when(_mod(k, 7) == 0, F.array().cast("array<struct<reactionmeddrapt:string>>"))
-                  .otherwise(F.col("reactions")))
-    out = j.select(
-        F.when(_mod(k, 103) == 0, F.lit(None).cast("string"))
-         .otherwise(F.col(k).cast("string")).alias("safetyreportid"),
-        F.when(_mod(k, 29) == 0, F.lit(None).cast("string"))
-         .when(_mod(k, 31) == 0, F.lit("x"))
-         .when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), F.lit("1"))
-         .otherwise(F.lit("2")).alias("serious"),
-        F.when(_mod(k, 37) == 0, F.lit("")).otherwise(_yyyymmdd("o_orderdate")).alias("receivedate"),
-        F.struct(
-            _mod("o_custkey", 3).cast("string").alias("patientsex"),
-            F.when(_mod(k, 19) == 0, F.lit("1.5"))
-             .otherwise(_mod("o_custkey", 90).cast("string")).alias("patientonsetage"),
-            F.col("drugs").alias("drug"),
-            reactions.alias("reaction"),
-        ).alias("patient"),
-        F.col(k).alias("_seq"),
-    )
+    out = o.join(lines, o.o_orderkey == lines.l_orderkey, "left").selectExpr(*REPORT_EXPRS)
     return out if with_seq else out.drop("_seq")
 
 
