@@ -144,7 +144,52 @@ def stage_adverse_reports(raw: DataFrame, strict: bool = False, keep_source: boo
     )
 
 
-def stage_adverse_events(raw: DataFrame, strict: bool = False, keep_source: bool = False) -> DataFrame:
+# A report expanding into more pairs than this is cut into tiles (slices of
+# its drug and reaction arrays) that are spread over tasks before expanding.
+TILE_SIDE = 1000
+LARGE_REPORT_PAIRS = TILE_SIDE * TILE_SIDE
+
+
+def _expand_pairs(reports: DataFrame, keep: list[str]) -> DataFrame:
+    """drugs x reaction_names for each row (both outer), NULL products removed
+    between the two explodes so they are never multiplied."""
+    per_drug = (reports
+                .select(*keep, "reaction_names", F.explode_outer("drugs").alias("drug"))
+                .select(*keep, "reaction_names",
+                        upper_trim(F.col("drug.medicinalproduct")).alias("product_name"),
+                        F.col("drug.drugindication").alias("drug_indication"))
+                .filter(F.col("product_name").isNotNull()))
+    return per_drug.select(*keep, "product_name", "drug_indication",
+                           F.explode_outer("reaction_names").alias("_reaction"))
+
+
+def _tiles(large: DataFrame, keep: list[str], side: int) -> DataFrame:
+    """Cut each report into tiles of at most ``side`` drugs x ``side`` reactions.
+
+    Every tile is a row holding two array slices; together the tiles expand
+    into exactly the report's pairs. Tiles are hash-partitioned so one hot
+    report's pairs are produced by many tasks.
+    """
+    nd = F.size("drugs")
+    nr = F.greatest(F.coalesce(F.size("reaction_names"), F.lit(0)), F.lit(1))
+    td = F.ceil(nd / side).cast("int")
+    tr = F.ceil(nr / side).cast("int")
+    t = large.select(*keep, "drugs", "reaction_names", td.alias("_td"), tr.alias("_tr"),
+                     F.explode(F.sequence(F.lit(0), td * tr - 1)).alias("_t"))
+    has_reactions = F.coalesce(F.size("reaction_names"), F.lit(0)) > 0
+    tiles = t.select(
+        *keep,
+        F.slice("drugs", F.floor(F.col("_t") / F.col("_tr")).cast("int") * side + 1, side).alias("drugs"),
+        F.when(has_reactions, F.slice("reaction_names", F.pmod(F.col("_t"), F.col("_tr")) * side + 1, side))
+         .otherwise(F.col("reaction_names")).alias("reaction_names"),
+        F.col("_t"),
+    )
+    return tiles.repartition(F.xxhash64(*[F.col(c) for c in keep], F.col("_t"))).drop("_t")
+
+
+def stage_adverse_events(raw: DataFrame, strict: bool = False, keep_source: bool = False,
+                         large_report_pairs: int | None = LARGE_REPORT_PAIRS,
+                         tile_side: int = TILE_SIDE) -> DataFrame:
     """One row per report x drug x reaction (both explodes are outer).
 
     Only the fields used downstream travel through the explodes: the drug
@@ -152,22 +197,26 @@ def stage_adverse_events(raw: DataFrame, strict: bool = False, keep_source: bool
     Rows whose product is NULL are removed between the two explodes, which
     gives the same rows as removing them at the end without multiplying them
     first.
+
+    Reports expanding into at most ``large_report_pairs`` pairs (all of them
+    in practice) expand in place, with no shuffle. Larger ones are split into
+    tiles spread over tasks first, so a single report holding a large share
+    of all drug entries never produces its pairs in one task.
     """
-    reports = stage_adverse_reports(raw, strict, keep_source).drop("_pairs")
-    keep = [c for c in reports.columns if c not in ("drugs", "reaction_names")]
-    per_drug = (reports
-                .select(*keep, "reaction_names", F.explode_outer("drugs").alias("drug"))
-                .select(*keep, "reaction_names",
-                        upper_trim(F.col("drug.medicinalproduct")).alias("product_name"),
-                        F.col("drug.drugindication").alias("drug_indication"))
-                .filter(F.col("product_name").isNotNull()))
+    reports = stage_adverse_reports(raw, strict, keep_source)
+    keep = [c for c in reports.columns if c not in ("drugs", "reaction_names", "_pairs")]
+    if large_report_pairs is None:
+        pairs = _expand_pairs(reports, keep)
+    else:
+        size = (F.coalesce(F.size("drugs"), F.lit(0)).cast("bigint")
+                * F.greatest(F.coalesce(F.size("reaction_names"), F.lit(0)), F.lit(1)))
+        small = reports.filter(size <= large_report_pairs)
+        large = _tiles(reports.filter(size > large_report_pairs), keep, tile_side)
+        pairs = _expand_pairs(small, keep).unionByName(_expand_pairs(large, keep))
     scalars = [c for c in keep if not c.startswith("_src")]
     sources = [c for c in keep if c.startswith("_src")]
-    return (per_drug
-            .select(*keep, "product_name", "drug_indication",
-                    F.explode_outer("reaction_names").alias("_reaction"))
-            .select(*scalars, "product_name", "drug_indication",
-                    upper_trim("_reaction").alias("reaction_name"), *sources))
+    return pairs.select(*scalars, "product_name", "drug_indication",
+                        upper_trim("_reaction").alias("reaction_name"), *sources)
 
 
 def adverse_metrics(raw: DataFrame, rules: list[Rule], dataset: str = "clean_adverse_events") -> DataFrame:

@@ -123,3 +123,18 @@ def test_json_array_file_round_trip(spark, scratch):
                        multiline=True)
     summary = gold.adverse_events_summary(clean.clean_adverse_events(df)).collect()
     assert sorted((r.product_name, r.event_count) for r in summary) == [("A", 1), ("B", 1)]
+
+
+def test_hot_report_is_tiled_with_identical_pairs(spark):
+    drugs = [f"P{i % 7}" if i % 11 else None for i in range(40)]
+    reactions = [f"R{j % 5}" for j in range(30)] + [None]
+    rows = [report("hot", drugs, reactions), report("hot", drugs, reactions),
+            report("small", ["A", "B"], ["X"]), report("none", ["A"], []), report("nul", ["A"], None)]
+    raw = adverse_df(spark, rows)
+    direct = clean.stage_adverse_events(raw, large_report_pairs=None)
+    tiled = clean.stage_adverse_events(raw, large_report_pairs=50, tile_side=4)
+    a = sorted(map(tuple, direct.collect()), key=repr)
+    b = sorted(map(tuple, tiled.collect()), key=repr)
+    assert a == b and len(a) == 2 * 36 * 31 + 2 + 1 + 1
+    plan = tiled._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(xxhash64" in plan
