@@ -6,5 +6,6 @@ from safetylake.functions.scalar import (  # noqa: F401
     like_pattern,
     parse_date,
     parse_int,
+    size0,
     upper_trim,
 )

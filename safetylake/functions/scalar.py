@@ -34,6 +34,13 @@ def parse_int(c: str | Column, strict: bool = False) -> Column:
     return _col(c).cast("int") if strict else _col(c).try_cast("int")
 
 
+def size0(c: str | Column) -> Column:
+    """Array length with NULL counted as 0, whatever the session's ANSI or
+    legacy ``sizeOfNull`` settings (which would otherwise give NULL or -1)."""
+    c = _col(c)
+    return F.coalesce(F.when(c.isNotNull(), F.size(c)), F.lit(0))
+
+
 def first_element(c: str | Column) -> Column:
     """Element 0 of an array; NULL for both a NULL and an empty array."""
     return F.get(_col(c), 0)

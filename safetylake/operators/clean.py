@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from safetylake.functions.scalar import first_element, parse_date, parse_int, upper_trim
+from safetylake.functions.scalar import first_element, parse_date, parse_int, size0, upper_trim
 from safetylake.operators.dedupe import keep_least
 from safetylake.operators.quality import DROP, WARN, Rule, apply_rules, rule_metrics
 from safetylake.schemas import ADVERSE_SILVER_COLUMNS, ENFORCEMENT_COLUMNS, PRODUCT_COLUMNS
@@ -129,8 +129,8 @@ def stage_adverse_reports(raw: DataFrame, strict: bool = False, keep_source: boo
             F.col("receivedate").alias("_src_receivedate"),
             F.col("patient.patientonsetage").alias("_src_age"),
         ]
-    named = F.size(F.filter(F.col("patient.drug"), lambda d: d["medicinalproduct"].isNotNull()))
-    reactions = F.greatest(F.coalesce(F.size(F.col("patient.reaction")), F.lit(0)), F.lit(1))
+    named = size0(F.filter(F.col("patient.drug"), lambda d: d["medicinalproduct"].isNotNull()))
+    reactions = F.greatest(size0("patient.reaction"), F.lit(1))
     return raw.select(
         F.col("safetyreportid").alias("report_id"),
         parse_int("serious", strict).alias("is_serious"),
@@ -140,7 +140,7 @@ def stage_adverse_reports(raw: DataFrame, strict: bool = False, keep_source: boo
         F.col("patient.drug").alias("drugs"),
         F.col("patient.reaction.reactionmeddrapt").alias("reaction_names"),
         *extra,
-        (F.coalesce(named, F.lit(0)) * reactions).alias("_pairs"),
+        (named * reactions).alias("_pairs"),
     )
 
 
@@ -170,13 +170,13 @@ def _tiles(large: DataFrame, keep: list[str], side: int) -> DataFrame:
     into exactly the report's pairs. Tiles are hash-partitioned so one hot
     report's pairs are produced by many tasks.
     """
-    nd = F.size("drugs")
-    nr = F.greatest(F.coalesce(F.size("reaction_names"), F.lit(0)), F.lit(1))
+    nd = size0("drugs")
+    nr = F.greatest(size0("reaction_names"), F.lit(1))
     td = F.ceil(nd / side).cast("int")
     tr = F.ceil(nr / side).cast("int")
     t = large.select(*keep, "drugs", "reaction_names", td.alias("_td"), tr.alias("_tr"),
                      F.explode(F.sequence(F.lit(0), td * tr - 1)).alias("_t"))
-    has_reactions = F.coalesce(F.size("reaction_names"), F.lit(0)) > 0
+    has_reactions = size0("reaction_names") > 0
     tiles = t.select(
         *keep,
         F.slice("drugs", F.floor(F.col("_t") / F.col("_tr")).cast("int") * side + 1, side).alias("drugs"),
@@ -208,8 +208,7 @@ def stage_adverse_events(raw: DataFrame, strict: bool = False, keep_source: bool
     if large_report_pairs is None:
         pairs = _expand_pairs(reports, keep)
     else:
-        size = (F.coalesce(F.size("drugs"), F.lit(0)).cast("bigint")
-                * F.greatest(F.coalesce(F.size("reaction_names"), F.lit(0)), F.lit(1)))
+        size = size0("drugs").cast("bigint") * F.greatest(size0("reaction_names"), F.lit(1))
         small = reports.filter(size <= large_report_pairs)
         large = _tiles(reports.filter(size > large_report_pairs), keep, tile_side)
         pairs = _expand_pairs(small, keep).unionByName(_expand_pairs(large, keep))

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from safetylake.functions.scalar import size0
 from safetylake.session import checkpoint
 
 _LOW_BITS = 33
@@ -73,7 +74,6 @@ def pages_to_read(envelopes: DataFrame, limit: int | None = None, page_size: int
     and no ordering of the pages is needed.
     """
     pages = envelopes if limit is None else envelopes.filter(F.col("skip") < F.lit(limit))
-    n = F.coalesce(F.size("results"), F.lit(0))
-    short = F.col("results").isNull() | (n < page_size)
+    short = size0("results") < page_size
     stop = pages.agg(F.min(F.when(short, F.col("skip")))).scalar()
     return pages.filter(F.col("skip") <= F.coalesce(stop, F.lit(2**31 - 1)))
