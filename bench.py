@@ -17,7 +17,6 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -50,8 +49,6 @@ def timed(results: dict, name: str, fn) -> None:
 def main() -> None:
     spark = local_session(CPUS, CPUS)
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="safetylake-bench-"))
     root = shared_dir(spark)
     res: dict[str, float] = {}
 

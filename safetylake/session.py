@@ -37,16 +37,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and landed files.
 
-    Read from ``spark.checkpoint.dir``. Only when the session has none (a
-    local test run) is a fresh temporary folder created and registered, so a
-    cluster job always writes where every executor can read.
+    Read from ``spark.checkpoint.dir`` (a startup setting of the cluster; it
+    cannot be changed at runtime). Only when the session has none (a bare
+    local test session) is a fresh temporary folder created and registered
+    with the SparkContext, so a cluster job always writes where every
+    executor can read.
     """
+    sc = spark.sparkContext
     path = spark.conf.get(CHECKPOINT_CONF, None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="safetylake-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/")
+    if path:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(path)
+        return path.rstrip("/")
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="safetylake-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

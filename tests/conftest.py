@@ -8,6 +8,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
+from safetylake.session import shared_dir  # noqa: E402
+
 SF_SMALL = "/root/testdata/sf0.001"
 
 
@@ -21,8 +23,7 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="safetylake-test-ckpt-"))
+    shared_dir(s)           # the configured checkpoint folder, or a temporary one if unset
     yield s
 
 
