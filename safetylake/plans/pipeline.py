@@ -35,12 +35,12 @@ class Dataset:
 
 DATASETS: list[Dataset] = [
     Dataset("raw_ndc_products", "Raw product directory records", "bronze", ("@products",),
-            lambda spark, path: ingest.bronze(spark, path, schemas.RAW_PRODUCTS, schemas.SOURCE_PRODUCTS)),
+            lambda spark, path, ml: ingest.bronze(spark, path, schemas.RAW_PRODUCTS, schemas.SOURCE_PRODUCTS, ml)),
     Dataset("raw_enforcement_actions", "Raw enforcement and recall records", "bronze", ("@enforcement",),
-            lambda spark, path: ingest.bronze(spark, path, schemas.RAW_ENFORCEMENT,
-                                              schemas.SOURCE_ENFORCEMENT)),
+            lambda spark, path, ml: ingest.bronze(spark, path, schemas.RAW_ENFORCEMENT,
+                                                  schemas.SOURCE_ENFORCEMENT, ml)),
     Dataset("raw_adverse_events", "Raw adverse event reports", "bronze", ("@adverse",),
-            lambda spark, path: ingest.bronze(spark, path, schemas.RAW_ADVERSE, schemas.SOURCE_ADVERSE)),
+            lambda spark, path, ml: ingest.bronze(spark, path, schemas.RAW_ADVERSE, schemas.SOURCE_ADVERSE, ml)),
     Dataset("clean_products", "Cleaned product catalog with flattened ingredients and routes", "silver",
             ("raw_ndc_products",), clean.clean_products,
             metrics=lambda raw: quality.rule_metrics(clean.stage_products(raw),
@@ -66,14 +66,17 @@ BY_NAME = {d.name: d for d in DATASETS}
 
 
 def run(spark: SparkSession, sources: dict[str, str], out_dir: str,
-        with_metrics: bool = True) -> dict[str, str]:
+        with_metrics: bool = True, multiline: bool = False) -> dict[str, str]:
     """Build every dataset in order; ``sources`` maps products / enforcement /
-    adverse to raw JSON Lines folders. Returns dataset name -> Parquet path."""
+    adverse to raw JSON Lines folders (a single-line JSON array also reads
+    as one record per element); ``multiline=True`` reads pretty-printed
+    whole-file JSON arrays (one task per file). Returns dataset name ->
+    Parquet path."""
     out_dir = out_dir.rstrip("/")
     written: dict[str, str] = {}
     for ds in DATASETS:
         if ds.tier == "bronze":
-            df = ds.build(spark, sources[ds.inputs[0][1:]])
+            df = ds.build(spark, sources[ds.inputs[0][1:]], multiline)
         else:
             inputs = [spark.read.parquet(written[i]) for i in ds.inputs]
             df = ds.build(*inputs)
