@@ -43,8 +43,13 @@ def shared_dir(spark: SparkSession) -> str:
     with the SparkContext, so a cluster job always writes where every
     executor can read.
     """
-    sc = spark.sparkContext
     path = spark.conf.get(CHECKPOINT_CONF, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:        # Spark Connect: the server owns the context and its folder
+        if not path:
+            raise RuntimeError(f"{CHECKPOINT_CONF} is not set on the server") from None
+        return path.rstrip("/")
     if path:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(path)

@@ -30,7 +30,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table. The DataFrame (file listing and footer schema) is reused
     within one Spark application: the inputs are immutable."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:        # Spark Connect: no local context; key by the session
+        app = f"session-{id(spark)}"
+    key = (app, path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
