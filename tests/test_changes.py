@@ -67,3 +67,19 @@ def test_latest_changes_prefers_later_commit(spark):
     got = {r.k: r._change_type for r in sync.latest_changes(feed, ["k"]).collect()}
     assert got == {"1": "delete", "2": "insert"}
     assert F is not None
+
+
+def test_bucketed_snapshots_diff_without_exchange(spark, scratch):
+    from safetylake.plans.pipeline import publish_bucketed
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS snapdb LOCATION '{scratch}/snapdb'")
+    old = spark.range(0, 200).selectExpr("CAST(id AS STRING) AS k", "CAST(id % 7 AS STRING) AS a",
+                                         "CAST(id AS INT) AS b")
+    new = (old.filter("b % 10 <> 0")
+              .selectExpr("k", "IF(b % 10 = 1, 'changed', a) AS a", "b")
+              .union(spark.range(500, 510).selectExpr("CAST(id AS STRING)", "'n'", "CAST(id AS INT)")))
+    publish_bucketed(old, "snapdb.v1", ["k"], 8)
+    publish_bucketed(new, "snapdb.v2", ["k"], 8)
+    diff = changes.snapshot_diff(spark.table("snapdb.v1"), spark.table("snapdb.v2"), ["k"])
+    plan = diff._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+    assert as_set(diff) == as_set(changes.snapshot_diff(old, new, ["k"]))
