@@ -144,10 +144,9 @@ def stage_adverse_reports(raw: DataFrame, strict: bool = False, keep_source: boo
     )
 
 
-# A report expanding into more pairs than this is cut into tiles (slices of
-# its drug and reaction arrays) that are spread over tasks before expanding.
-TILE_SIDE = 1000
-LARGE_REPORT_PAIRS = TILE_SIDE * TILE_SIDE
+# Reports are expanded in tiles of at most TILE_SIDE drugs x TILE_SIDE
+# reactions (an ordinary report is one tile).
+TILE_SIDE = 3000
 
 
 def _expand_pairs(reports: DataFrame, keep: list[str]) -> DataFrame:
@@ -163,19 +162,22 @@ def _expand_pairs(reports: DataFrame, keep: list[str]) -> DataFrame:
                            F.explode_outer("reaction_names").alias("_reaction"))
 
 
-def _tiles(large: DataFrame, keep: list[str], side: int) -> DataFrame:
-    """Cut each report into tiles of at most ``side`` drugs x ``side`` reactions.
+def _tiles(reports: DataFrame, keep: list[str], side: int) -> DataFrame:
+    """Cut each report into tiles of at most ``side`` drugs x ``side`` reactions
+    and spread the tiles over partitions.
 
-    Every tile is a row holding two array slices; together the tiles expand
-    into exactly the report's pairs. Tiles are hash-partitioned so one hot
-    report's pairs are produced by many tasks.
+    Every tile is a row holding two array slices; together a report's tiles
+    expand into exactly its pairs. An ordinary report is a single tile. The
+    shuffle has an explicit partition count: tiles are few bytes but can be
+    much work, so AQE must not coalesce them; each (report, tile) hashes to
+    its own partition, so one hot report is expanded by many tasks.
     """
     nd = size0("drugs")
     nr = F.greatest(size0("reaction_names"), F.lit(1))
-    td = F.ceil(nd / side).cast("int")
+    td = F.greatest(F.ceil(nd / side).cast("int"), F.lit(1))
     tr = F.ceil(nr / side).cast("int")
-    t = large.select(*keep, "drugs", "reaction_names", td.alias("_td"), tr.alias("_tr"),
-                     F.explode(F.sequence(F.lit(0), td * tr - 1)).alias("_t"))
+    t = reports.select(*keep, "drugs", "reaction_names", tr.alias("_tr"),
+                       F.explode(F.sequence(F.lit(0), td * tr - 1)).alias("_t"))
     has_reactions = size0("reaction_names") > 0
     tiles = t.select(
         *keep,
@@ -184,12 +186,12 @@ def _tiles(large: DataFrame, keep: list[str], side: int) -> DataFrame:
          .otherwise(F.col("reaction_names")).alias("reaction_names"),
         F.col("_t"),
     )
-    return tiles.repartition(F.xxhash64(*[F.col(c) for c in keep], F.col("_t"))).drop("_t")
+    n = int(reports.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return tiles.repartition(n, F.xxhash64(*[F.col(c) for c in keep], F.col("_t"))).drop("_t")
 
 
 def stage_adverse_events(raw: DataFrame, strict: bool = False, keep_source: bool = False,
-                         large_report_pairs: int | None = LARGE_REPORT_PAIRS,
-                         tile_side: int = TILE_SIDE) -> DataFrame:
+                         tile_side: int | None = TILE_SIDE) -> DataFrame:
     """One row per report x drug x reaction (both explodes are outer).
 
     Only the fields used downstream travel through the explodes: the drug
@@ -198,20 +200,18 @@ def stage_adverse_events(raw: DataFrame, strict: bool = False, keep_source: bool
     gives the same rows as removing them at the end without multiplying them
     first.
 
-    Reports expanding into at most ``large_report_pairs`` pairs (all of them
-    in practice) expand in place, with no shuffle. Larger ones are split into
-    tiles spread over tasks first, so a single report holding a large share
-    of all drug entries never produces its pairs in one task.
+    Reports are first cut into tiles of at most ``tile_side`` x ``tile_side``
+    pairs (one tile for an ordinary report) and the tiles are spread over
+    partitions, so a report holding a large share of all drug entries is
+    expanded by many tasks, and the expansion and the aggregation after it
+    run in parallel whatever the input's file layout. ``tile_side=None``
+    expands every report where it is read, with no shuffle.
     """
     reports = stage_adverse_reports(raw, strict, keep_source)
     keep = [c for c in reports.columns if c not in ("drugs", "reaction_names", "_pairs")]
-    if large_report_pairs is None:
-        pairs = _expand_pairs(reports, keep)
-    else:
-        size = size0("drugs").cast("bigint") * F.greatest(size0("reaction_names"), F.lit(1))
-        small = reports.filter(size <= large_report_pairs)
-        large = _tiles(reports.filter(size > large_report_pairs), keep, tile_side)
-        pairs = _expand_pairs(small, keep).unionByName(_expand_pairs(large, keep))
+    if tile_side is not None:
+        reports = _tiles(reports, keep, tile_side)
+    pairs = _expand_pairs(reports, keep)
     scalars = [c for c in keep if not c.startswith("_src")]
     sources = [c for c in keep if c.startswith("_src")]
     return pairs.select(*scalars, "product_name", "drug_indication",

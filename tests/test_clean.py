@@ -131,10 +131,14 @@ def test_hot_report_is_tiled_with_identical_pairs(spark):
     rows = [report("hot", drugs, reactions), report("hot", drugs, reactions),
             report("small", ["A", "B"], ["X"]), report("none", ["A"], []), report("nul", ["A"], None)]
     raw = adverse_df(spark, rows)
-    direct = clean.stage_adverse_events(raw, large_report_pairs=None)
-    tiled = clean.stage_adverse_events(raw, large_report_pairs=50, tile_side=4)
+    direct = clean.stage_adverse_events(raw, tile_side=None)
+    tiled = clean.stage_adverse_events(raw, tile_side=4)
     a = sorted(map(tuple, direct.collect()), key=repr)
     b = sorted(map(tuple, tiled.collect()), key=repr)
     assert a == b and len(a) == 2 * 36 * 31 + 2 + 1 + 1
     plan = tiled._jdf.queryExecution().executedPlan().toString()
-    assert "Exchange hashpartitioning(xxhash64" in plan
+    assert "REPARTITION_BY_NUM" in plan and "Union" not in plan
+    # The hot report's tiles land on many partitions.
+    tiles = clean._tiles(clean.stage_adverse_reports(raw), ["report_id"], 4)
+    used = {r[0] for r in tiles.filter("report_id = 'hot'").selectExpr("spark_partition_id()").collect()}
+    assert len(used) >= 6          # 80 tiles hashed over 8 partitions
