@@ -60,10 +60,9 @@ def main() -> None:
     res: dict[str, float] = {}
 
     def land(sf_dir: str, label: str, srcs: dict[str, str]) -> None:
-        for which, build in fixtures.RAW_BUILDERS.items():
-            path = f"{root}/{label}-landing/{which}"
-            ingest.land_json(build(spark, sf_dir), path)
-            srcs[which] = path
+        srcs.update(ingest.land_all({
+            which: (lambda w=which, b=build: ingest.land_json(b(spark, sf_dir), f"{root}/{label}-landing/{w}"))
+            for which, build in fixtures.RAW_BUILDERS.items()}))
 
     # Warm-up on the smallest tables, through every timed code path (JVM
     # start, class loading, codegen caches); not timed.

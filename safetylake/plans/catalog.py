@@ -160,8 +160,9 @@ def _landed_pages(spark: SparkSession, sf_dir: str, which: str,
 
 
 def _landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.landing_counts([_landed_pages(spark, sf_dir, w) for w in ("products", "enforcement",
-                                                                             "adverse")])
+    landed = ingest.land_all({w: (lambda w=w: _landed_pages(spark, sf_dir, w))
+                              for w in ("products", "enforcement", "adverse")})
+    return ingest.landing_counts(list(landed.values()))
 
 
 QUERIES.update({

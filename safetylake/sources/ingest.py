@@ -11,6 +11,9 @@ Landed files go under the session's shared checkpoint folder
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +53,14 @@ def land_json(df: DataFrame, path: str) -> str:
     return path
 
 
+def land_all(jobs: dict[str, Callable[[], object]]) -> dict[str, object]:
+    """Run independent landing jobs from driver threads so Spark executes them
+    side by side; returns each job's result by name."""
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        futures = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: f.result() for name, f in futures.items()}
+
+
 def land_source(spark: SparkSession, raw: DataFrame, which: str) -> DataFrame:
     """Write ``raw`` records as JSON Lines to the shared folder and read them back as bronze."""
     schema, source, _ = SOURCES[which]
