@@ -186,8 +186,16 @@ def _tiles(reports: DataFrame, keep: list[str], side: int) -> DataFrame:
          .otherwise(F.col("reaction_names")).alias("reaction_names"),
         F.col("_t"),
     )
-    n = int(reports.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return tiles.repartition(n, F.xxhash64(*[F.col(c) for c in keep], F.col("_t"))).drop("_t")
+    return tiles.repartition(_spread(reports.sparkSession),
+                             F.xxhash64(*[F.col(c) for c in keep], F.col("_t"))).drop("_t")
+
+
+def _spread(spark) -> int:
+    """Partitions to spread tiles over: every core of the cluster."""
+    try:
+        return max(1, spark.sparkContext.defaultParallelism)
+    except Exception:        # Spark Connect: no local context
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def stage_adverse_events(raw: DataFrame, strict: bool = False, keep_source: bool = False,
