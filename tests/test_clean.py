@@ -142,3 +142,16 @@ def test_hot_report_is_tiled_with_identical_pairs(spark):
     tiles = clean._tiles(clean.stage_adverse_reports(raw), ["report_id"], 4)
     used = {r[0] for r in tiles.filter("report_id = 'hot'").selectExpr("spark_partition_id()").collect()}
     assert len(used) == spark.sparkContext.defaultParallelism      # 80 tiles reach every core
+
+
+def test_strict_mode_raises_on_bad_input(spark):
+    import pytest
+    base = {f: None for f in schemas.RAW_ENFORCEMENT.fieldNames()}
+    bad = spark.createDataFrame([Row(**dict(base, recall_number="F-1", recall_initiation_date="20241399"))],
+                                schemas.RAW_ENFORCEMENT)
+    assert clean.clean_enforcement(bad).collect()[0].recall_date is None
+    with pytest.raises(Exception):
+        clean.clean_enforcement(bad, strict=True).collect()
+    rows = [report("r1", ["P"], ["R"], age="1.5")]
+    with pytest.raises(Exception):
+        clean.clean_adverse_events(adverse_df(spark, rows), strict=True).collect()

@@ -54,3 +54,15 @@ def test_single_line_json_array_reads_as_records(spark, tmp_path):
     from safetylake import schemas
     df = ingest.bronze(spark, str(path), schemas.RAW_ENFORCEMENT, schemas.SOURCE_ENFORCEMENT)
     assert sorted(r.recall_number for r in df.collect()) == ["F-1", "F-2"]
+
+
+def test_cli_pipeline(spark, tmp_path, capsys):
+    srcs = {w: ingest.land_json(b(spark, SF_SMALL), str(tmp_path / "land" / w))
+            for w, b in fixtures.RAW_BUILDERS.items()}
+    args = ["pipeline", "--products", srcs["products"], "--enforcement", srcs["enforcement"],
+            "--adverse", srcs["adverse"], "--out", str(tmp_path / "out"), "--database", "cli_db"]
+    assert cli.main(args) == 0
+    out = json.loads(capsys.readouterr().out)
+    assert len(out["tables"]) == 9 and len(out["registered"]) == 9
+    assert spark.table("cli_db.gold_adverse_events_summary").count() == \
+        catalog.gold_adverse(spark, SF_SMALL).count()
