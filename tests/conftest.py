@@ -21,6 +21,7 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="safetylake-test-warehouse-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     shared_dir(s)           # the configured checkpoint folder, or a temporary one if unset
