@@ -84,18 +84,25 @@ def _chains() -> list[list[Dataset]]:
 
 def _build_chain(spark: SparkSession, chain: list[Dataset], sources: dict[str, str], out_dir: str,
                  with_metrics: bool, multiline: bool, written: dict[str, str]) -> None:
-    for ds in chain:
-        if ds.tier == "bronze":
-            df = ds.build(spark, sources[ds.inputs[0][1:]], multiline)
-        else:
-            inputs = [spark.read.parquet(written[i]) for i in ds.inputs]
-            df = ds.build(*inputs)
-            if with_metrics and ds.metrics is not None:
-                metrics = ds.metrics(*inputs)
-                metrics.write.mode("overwrite").parquet(f"{out_dir}/_quality/{ds.name}")
-        path = f"{out_dir}/{ds.name}"
-        df.write.mode("overwrite").parquet(path)
-        written[ds.name] = path
+    # A dataset's quality metrics read only its inputs, so they are computed
+    # alongside the dataset itself rather than before it.
+    with ThreadPoolExecutor(max_workers=1) as side:
+        pending: list = []
+        for ds in chain:
+            if ds.tier == "bronze":
+                df = ds.build(spark, sources[ds.inputs[0][1:]], multiline)
+            else:
+                inputs = [spark.read.parquet(written[i]) for i in ds.inputs]
+                df = ds.build(*inputs)
+                if with_metrics and ds.metrics is not None:
+                    metrics = ds.metrics(*inputs)
+                    pending.append(side.submit(
+                        metrics.write.mode("overwrite").parquet, f"{out_dir}/_quality/{ds.name}"))
+            path = f"{out_dir}/{ds.name}"
+            df.write.mode("overwrite").parquet(path)
+            written[ds.name] = path
+        for f in pending:
+            f.result()
 
 
 def run(spark: SparkSession, sources: dict[str, str], out_dir: str,
