@@ -50,9 +50,30 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return j.filter(kind.isNotNull()).select(F.inline(rows))
 
 
+COMMIT_VERSION = "_commit_version"
+
+
+def latest_changes(feed: DataFrame, keys: list[str]) -> DataFrame:
+    """Collapse a multi-commit feed to the last change per key.
+
+    Pre-images carry no new state and are dropped; among the rest the highest
+    commit version wins. ``max_by`` aggregates with map-side partials, so a
+    key changed in many commits never gathers its history in one place.
+    """
+    data = [c for c in feed.columns if c not in keys and c != COMMIT_VERSION]
+    last = (feed.filter(F.col(CHANGE_TYPE) != PRE)
+                .groupBy(*keys)
+                .agg(F.max_by(F.struct(*data), F.col(COMMIT_VERSION)).alias("_last")))
+    return last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in data])
+
+
 def apply_changes(target: DataFrame, feed: DataFrame, keys: list[str]) -> DataFrame:
     """New state of ``target`` after ``feed``: untouched rows, then inserts and
-    post-images. Replaying the same feed leaves the result unchanged."""
+    post-images. Replaying the same feed leaves the result unchanged. A feed
+    spanning several commits (``_commit_version``) is first collapsed to the
+    last change per key."""
+    if COMMIT_VERSION in feed.columns:
+        feed = latest_changes(feed, keys)
     touched = feed.select(*keys)
     kept = target.join(touched, keys, "left_anti")
     upserts = feed.filter(F.col(CHANGE_TYPE).isin(INSERT, POST)).drop(CHANGE_TYPE)

@@ -21,9 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from safetylake.operators.changes import CHANGE_TYPE, PRE, apply_changes, snapshot_diff
+from safetylake.operators.changes import COMMIT_VERSION, apply_changes, latest_changes, snapshot_diff
 
-COMMIT_VERSION = "_commit_version"
+__all__ = ["COMMIT_VERSION", "latest_changes", "publish_changes", "start_sync", "version_path"]
 
 
 def publish_changes(old: DataFrame, new: DataFrame, keys: list[str], version: int, feed_dir: str) -> None:
@@ -32,20 +32,6 @@ def publish_changes(old: DataFrame, new: DataFrame, keys: list[str], version: in
     feed.write.mode("append").parquet(feed_dir)
 
 
-def latest_changes(feed: DataFrame, keys: list[str]) -> DataFrame:
-    """Collapse a multi-commit feed to the last change per key.
-
-    Pre-images carry no new state and are dropped; among the rest the highest
-    commit version wins. ``max_by`` aggregates with map-side partials, so a
-    key changed in many commits never gathers its history in one place.
-    """
-    data = [c for c in feed.columns if c not in keys and c != COMMIT_VERSION]
-    last = (feed.filter(F.col(CHANGE_TYPE) != PRE)
-                .groupBy(*keys)
-                .agg(F.max_by(F.struct(*data), F.col(COMMIT_VERSION)).alias("_last")))
-    return last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in data])
-
-
 def version_path(target_dir: str, batch_id: int) -> str:
     return f"{target_dir.rstrip('/')}/v{batch_id:012d}"
 
@@ -60,8 +46,7 @@ def start_sync(spark: SparkSession, feed_dir: str, feed_schema, base_path: str,
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         prev = base_path if batch_id == 0 else version_path(target_dir, batch_id - 1)
         current = spark.read.parquet(prev)
-        changes = latest_changes(batch, keys)
-        out = apply_changes(current, changes, keys)
+        out = apply_changes(current, batch, keys)     # collapses the batch's commits per key
         out.write.mode("overwrite").parquet(version_path(target_dir, batch_id))
 
     return (spark.readStream.schema(feed_schema).parquet(feed_dir)

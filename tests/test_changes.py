@@ -83,3 +83,14 @@ def test_bucketed_snapshots_diff_without_exchange(spark, scratch):
     plan = diff._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "SortMergeJoin" in plan
     assert as_set(diff) == as_set(changes.snapshot_diff(old, new, ["k"]))
+
+
+def test_batch_apply_of_multi_commit_feed(spark, scratch):
+    v0 = spark.createDataFrame([("1", "x", 1), ("2", "y", 2)], SCHEMA)
+    v1 = spark.createDataFrame([("1", "x", 10), ("3", "z", 3)], SCHEMA)
+    v2 = spark.createDataFrame([("3", "z", 30), ("4", "q", 4)], SCHEMA)
+    feed = f"{scratch}/feed"
+    sync.publish_changes(v0, v1, ["k"], 1, feed)
+    sync.publish_changes(v1, v2, ["k"], 2, feed)
+    got = changes.apply_changes(v0, spark.read.parquet(feed), ["k"])
+    assert as_set(got) == as_set(v2)
