@@ -5,8 +5,9 @@ key and whether a change feed is kept. A run builds them in declared order
 (inputs always come first; the three source chains concurrently), writes
 each as Parquet under an output folder and reads the next stage from what
 was written, so every stage starts from durable files: lineage is cut
-between stages and a lost executor only recomputes its own stage. Quality metrics for every dataset with rules are
-written next to the data.
+between stages and a lost executor only recomputes its own stage. Quality
+metrics for every dataset with rules, and primary-key violations of every
+keyed gold table, are written next to the data.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from safetylake import schemas
-from safetylake.operators import clean, gold, quality
+from safetylake.operators import changes, clean, gold, quality
 from safetylake.sources import ingest
 
 
@@ -101,6 +102,11 @@ def _build_chain(spark: SparkSession, chain: list[Dataset], sources: dict[str, s
             path = f"{out_dir}/{ds.name}"
             df.write.mode("overwrite").parquet(path)
             written[ds.name] = path
+            if with_metrics and ds.primary_key:
+                # The key contract the keyed sync relies on, checked on what was written.
+                violations = changes.pk_violations(spark.read.parquet(path), list(ds.primary_key), ds.name)
+                pending.append(side.submit(
+                    violations.write.mode("overwrite").parquet, f"{out_dir}/_quality/{ds.name}_key_violations"))
         for f in pending:
             f.result()
 

@@ -38,3 +38,12 @@ def test_pipeline_run_equals_inline_queries(spark, scratch):
                                gold).collect()
     assert row.products == t.count()
     assert F is not None
+
+
+def test_pipeline_writes_key_violations(spark, scratch):
+    sources = {w: ingest.land_json(b(spark, SF_SMALL), f"{scratch}/land/{w}")
+               for w, b in fixtures.RAW_BUILDERS.items()}
+    pipeline.run(spark, sources, f"{scratch}/out")
+    for name in ("gold_product_catalog", "gold_enforcement_actions", "gold_adverse_events_summary"):
+        v = spark.read.parquet(f"{scratch}/out/_quality/{name}_key_violations")
+        assert v.count() == 0 and v.columns == ["table_name", "key", "n_rows"]
