@@ -505,3 +505,4 @@ _stmt("change_feed_adverse", _diff("gold_summary", "next_summary", _SUMMARY_ALL,
 _stmt("sync_apply_products", "SELECT * FROM next_products", "next_products")
 _stmt("sync_apply_enforcement", "SELECT * FROM next_enforcement", "next_enforcement")
 _stmt("sync_apply_adverse", "SELECT * FROM next_summary", "next_summary")
+_stmt("sync_stream_adverse", "SELECT * FROM next_summary", "next_summary")

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from safetylake import schemas
 from safetylake.operators import changes, clean, gold, quality, queries
-from safetylake.session import checkpoint
+from safetylake.session import checkpoint, scratch_path
 from safetylake.sources import fixtures, ingest
+from safetylake.streaming import sync
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -204,3 +205,22 @@ QUERIES.update({
     "sync_apply_enforcement": _sync(gold_enforcement, fixtures.next_enforcement, schemas.PK_ENFORCEMENT),
     "sync_apply_adverse": _sync(gold_adverse, fixtures.next_adverse_summary, schemas.PK_ADVERSE),
 })
+
+
+def _sync_stream_adverse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The triggered streaming sync: publish the snapshot diff as one commit of
+    the feed, run an ``availableNow`` sync over it, return the synced copy."""
+    keys = list(schemas.PK_ADVERSE)
+    base = scratch_path(spark, "sync-base")
+    gold.adverse_events_summary(silver_adverse(spark, sf_dir)).write.parquet(base)
+    old = spark.read.parquet(base)
+    feed_dir = scratch_path(spark, "sync-feed")
+    sync.publish_changes(old, fixtures.next_adverse_summary(old), keys, 1, feed_dir)
+    target = scratch_path(spark, "sync-target")
+    q = sync.start_sync(spark, feed_dir, spark.read.parquet(feed_dir).schema, base, target, keys,
+                        scratch_path(spark, "sync-checkpoint"))
+    q.awaitTermination()
+    return spark.read.parquet(sync.version_path(target, q.lastProgress["batchId"]))
+
+
+QUERIES["sync_stream_adverse"] = _sync_stream_adverse
