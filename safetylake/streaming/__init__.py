@@ -1,0 +1 @@
+"""Structured Streaming: the triggered keyed sync from a change feed."""
