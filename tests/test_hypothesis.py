@@ -47,3 +47,16 @@ def test_stop_rule_matches_sequential_reader(spark, sizes, limit):
             break
         skip += page_size
     assert got == sorted(expect)
+
+
+ALPHABET = "aAbB%_'\\ -"
+texts = st.lists(st.one_of(st.none(), st.text(alphabet=ALPHABET, max_size=8)), min_size=1, max_size=12)
+
+
+@FAST
+@given(rows=texts, term=st.text(alphabet=ALPHABET, min_size=1, max_size=3))
+def test_literal_search_equals_python_substring(spark, rows, term):
+    from safetylake.functions import literal_contains
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "i int, t string")
+    got = sorted(r.i for r in df.filter(literal_contains(["t"], term)).collect())
+    assert got == [i for i, t in enumerate(rows) if t is not None and term.lower() in t.lower()]
