@@ -60,3 +60,15 @@ def test_literal_search_equals_python_substring(spark, rows, term):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "i int, t string")
     got = sorted(r.i for r in df.filter(literal_contains(["t"], term)).collect())
     assert got == [i for i, t in enumerate(rows) if t is not None and term.lower() in t.lower()]
+
+
+@FAST
+@given(rows=texts, term=st.text(alphabet=ALPHABET, min_size=1, max_size=3))
+def test_like_search_equals_python_wildcards(spark, rows, term):
+    import re
+    from safetylake.functions import like_pattern
+    rx = re.compile("".join(".*" if c == "%" else "." if c == "_" else re.escape(c) for c in term.lower()),
+                    re.DOTALL)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "i int, t string")
+    got = sorted(r.i for r in df.filter(F.lower("t").like(like_pattern(term))).collect())
+    assert got == [i for i, t in enumerate(rows) if t is not None and rx.search(t.lower())]
