@@ -30,8 +30,20 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def stored(df: DataFrame, label: str = "input") -> DataFrame:
+    """The frame itself if it only projects or filters one stored table, else a written copy."""
+    node = df._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() in ("Project", "Filter"):
+        node = node.children().head()
+    return df if node.nodeName() == "LogicalRelation" else staged(df, label)
+
+
 def with_uid(df: DataFrame, name: str = "_uid") -> DataFrame:
-    """A row number that is stable for one scan layout; tells repeated rows apart."""
+    """A row number that tells repeated rows apart.
+
+    Stable over repeated scans of one stored table, so a frame that is computed
+    (its order may change from run to run) must come from ``stored`` first.
+    """
     return df.withColumn(name, F.monotonically_increasing_id())
 
 

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, with_uid
+from .common import staged, stored, with_uid
 
 N_STATS = 16
 _PUNCT = bytes(set(range(0x21, 0x7F)) - set(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"))
@@ -66,7 +66,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         for b in batches:
             yield pd.DataFrame({"_uid": b["_uid"], "id": b["id"], "x": [statistics(t) for t in b["t"]]})
 
-    rows = with_uid(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")))
+    rows = with_uid(stored(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("t")))
     return staged(rows.mapInPandas(run, f"_uid bigint, id {kind}, x array<double>"), "quality-x")
 
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, staged
+from .common import components, staged, stored, with_uid
 
 LANES = np.uint64(0x0101010101010101)
 
@@ -47,16 +47,16 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                  seed: int = 42) -> DataFrame:
-    """``(id, fp)``: one row per input row, ``fp`` the 64 bits as BIGINT."""
+    """``(_uid, id, fp)``: one row per input row, ``fp`` the 64 bits as BIGINT."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             fp = np.fromiter((fingerprint(t, shingle, seed) for t in b["t"]), dtype=np.uint64, count=len(b))
-            yield pd.DataFrame({"id": b["id"], "fp": fp.view(np.int64)})
+            yield pd.DataFrame({"_uid": b["_uid"], "id": b["id"], "fp": fp.view(np.int64)})
 
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-            .mapInPandas(run, f"id {kind}, fp bigint"))
+    return (with_uid(stored(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("t")))
+            .mapInPandas(run, f"_uid bigint, id {kind}, fp bigint"))
 
 
 def segments(distance: int) -> list[tuple[int, int]]:
@@ -105,21 +105,25 @@ def links(distinct: DataFrame, distance: int = 3) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     distance: int = 3, seed: int = 42) -> DataFrame:
-    """One row per input row: ``id_col``, ``fingerprint`` (16 hex digits), ``component_id``.
+    """One row per input row: ``_uid``, ``id_col``, ``fingerprint`` (16 hex digits), ``component_id``, ``kept``.
 
     ``component_id`` is the smallest id reachable over links of ``distance`` or
-    fewer bits, the row's own included. Null and empty texts have fingerprint 0
-    and are linked like any other; rows with the same id and text are copies; a
-    null id is never a component's smallest id unless all ids there are null.
-    An empty table gives no rows. Other columns are not read.
+    fewer bits, the row's own included; ``kept`` marks one row of each component,
+    the first with that id. Null and empty texts have fingerprint 0 and are
+    linked like any other; rows with the same id and text are copies; a null id
+    is smallest only where all ids are null. An empty table gives no rows. Other
+    columns are not read.
     """
     fps = staged(fingerprints(docs, id_col, text_col, shingle, seed), "simhash-fp")
-    groups = staged(fps.groupBy("fp").agg(F.min("id").alias("low")), "simhash-groups")
-    comp = components(links(groups, distance), "simhash-cc")
-    known = groups.join(comp.withColumnRenamed("id", "fp"), "fp", "left")
-    root = F.coalesce("component", "fp")
-    least = staged(known.groupBy(root.alias("component")).agg(F.min("low").alias("component_id")), "simhash-least")
-    member = staged(known.select("fp", root.alias("component")).join(least, "component")
-                    .select("fp", "component_id"), "simhash-member")
+    low = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_uid"))
+    groups = staged(fps.groupBy("fp").agg(low.alias("low")), "simhash-groups")
+    comp = components(links(groups.select("fp"), distance), "simhash-cc")
+    known = (groups.join(comp.withColumnRenamed("id", "fp"), "fp", "left")
+             .select("fp", "low", F.coalesce("component", "fp").alias("component")))
+    least = staged(known.groupBy("component").agg(F.min("low").alias("least")), "simhash-least")
+    member = staged(known.select("fp", "component").join(least, "component")
+                    .select("fp", F.col("least.id").alias("component_id"), F.col("least._uid").alias("keep_uid")),
+                    "simhash-member")
     return fps.join(member, "fp").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        "_uid", F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component_id", (F.col("_uid") == F.col("keep_uid")).alias("kept"))
