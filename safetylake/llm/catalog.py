@@ -6,8 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, line_dedup, quality, simhash
-from .common import read
+from . import bpe, chat, decontaminate, embeddings, line_dedup, lm, quality, simhash, toxicity, warc
+from .common import read, staged
+from safetylake.session import scratch_path
+
+
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = "</s>[INST] ok [/INST]"
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-7, 0, "user", marked), (-7, 1, "assistant", marked)], turns.schema)
+    return chat.report(chat.windows(turns.union(own)))
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +23,13 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write(read(spark, sf_dir, "pages"), path)
+    records = staged(warc.read(spark, path, blocks=False), "warc-records")
+    return warc.report(warc.assemble(records))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"))
 
@@ -32,14 +47,45 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(line_dedup.dedup_lines(read(spark, sf_dir, "documents")))
 
 
+def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(read(spark, sf_dir, "documents"), quality.held_out("id", 1))
+
+
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat": op1_chat,
     "op2_decontaminate": op2_decontaminate,
+    "op3_warc": op3_warc,
     "op4_bpe": op4_bpe,
     "op5_simhash": op5_simhash,
     "op6_quality": op6_quality,
     "op7_line_dedup": op7_line_dedup,
+    "op8_lm": op8_lm,
+    "op9_embeddings": op9_embeddings,
+    "op10_toxicity": op10_toxicity,
 }
 
+#: Equal texts have equal bytes, and the order of turns is the table's, so these are plain SQL.
+CHAT = """
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256
+FROM t GROUP BY conv_id
+"""
+
 ORACLES: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE,
 }

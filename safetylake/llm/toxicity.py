@@ -4,7 +4,7 @@
 ordered thresholds ``t_1 <= t_2``; the score is the expected grade. Labels are
 binary, so grades are derived: 0 for clean texts; toxic ones get 1 or 2, by
 whether they hold fewer or more of the terms that set toxic texts apart than the
-median toxic text. Features are damped counts of the words whose presence tells
+median toxic text. Features are damped counts of the words and word beginnings whose presence tells
 the classes apart best (a G statistic over document frequencies).
 
 Fitting uses at most ``max_rows`` labelled rows, chosen by a hash of the id;
@@ -35,6 +35,17 @@ def terms(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().translate(_SPLIT).split() if text else []
 
 
+def features(text: str | None) -> Counter:
+    """Counts of the words and, marked, of the first five bytes of longer ones (inflected forms share a stem)."""
+    words = Counter(terms(text))
+    stems: Counter = Counter()
+    for w, n in words.items():
+        if len(w) > 5:
+            stems[b"^" + w[:5]] += n
+    words.update(stems)
+    return words
+
+
 @dataclass
 class Model:
     index: dict[bytes, int]
@@ -43,7 +54,7 @@ class Model:
 
     def vector(self, text: str | None) -> dict[int, float]:
         index = self.index
-        return {index[t]: float(np.log1p(n)) for t, n in Counter(t for t in terms(text) if t in index).items()}
+        return {index[t]: float(np.log1p(n)) for t, n in features(text).items() if t in index}
 
     def above(self, text: str | None) -> np.ndarray:
         """``P(grade >= k)`` for each threshold."""
@@ -58,7 +69,7 @@ def select_terms(rows: DataFrame, count: int) -> list[bytes]:
             seen: Counter = Counter()
             toxic: Counter = Counter()
             for t, y in zip(b["t"], b["y"]):
-                own = set(terms(t))
+                own = set(features(t))
                 seen.update(own)
                 if y:
                     toxic.update(own)
