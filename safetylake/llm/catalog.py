@@ -73,19 +73,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-#: Equal texts have equal bytes, and the order of turns is the table's, so these are plain SQL.
-CHAT = """
-WITH t AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
-  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
-SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256
-FROM t GROUP BY conv_id
-"""
-
 ORACLES: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE,
 }
