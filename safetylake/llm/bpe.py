@@ -25,6 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 #: Entries kept ready in one worker; beyond it the tables of known words start anew.
 KNOWN_WORDS = 1_000_000
@@ -235,7 +236,7 @@ def encode(docs: DataFrame, path: str | None = None, text_col: str = "text") ->
     Null and empty texts have no ids. Columns of any name may be present.
     """
     path = path or default_path()
-    schema = docs.select(F.struct("*").alias("row")).schema.add("ids", "array<int>")
+    schema = docs.select(F.struct("*").alias("row")).schema.add("ids", ArrayType(IntegerType()))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa

@@ -98,7 +98,8 @@ def candidates(code: DataFrame, radius: int) -> DataFrame:
     b = probe.select("slot", "sub", F.col("n").alias("b"), F.col("c0").alias("b0"), F.col("c1").alias("b1"))
     x0, x1 = F.col("a0").bitwiseXOR(F.col("b0")), F.col("a1").bitwiseXOR(F.col("b1"))
     first = F.coalesce(*[F.when(F.bit_count(_part(k, x0, x1)) <= 1, F.lit(k)) for k in range(PARTS)])
-    return (a.join(b, ["slot", "sub"])
+    # the probes are 136 times their table: never a broadcast by the table's size
+    return (a.join(b.hint("merge"), ["slot", "sub"])
             .where((F.col("a") < F.col("b")) & (F.bit_count(x0) + F.bit_count(x1) <= radius) & (first == F.col("slot")))
             .select("a", "b"))
 

@@ -2,7 +2,7 @@
 
 Fingerprints are made in Arrow batches (``mapInPandas``), the search is DataFrame
 joins. Equal fingerprints are collapsed first, so a large group of copies is one
-index entry. The 64 bits are cut into ``(distance + 1) // 2`` segments, fewer than
+index entry. The 64 bits are cut into ``distance // 2 + 1`` segments, fewer than
 plain pigeonhole would need: of two fingerprints at ``distance`` or fewer bits, one
 segment differs by at most one bit. Each segment is indexed under all its
 one-wildcard variants (one bit blanked), variants are equality-joined and the full
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def segments(distance: int) -> list[tuple[int, int]]:
     """``(low bit, width)`` of each segment of the 64 bits."""
-    n = (distance + 1) // 2 if distance else 1
+    n = distance // 2 + 1
     edges = [64 * i // n for i in range(n + 1)]
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
@@ -98,7 +98,8 @@ def links(distinct: DataFrame, distance: int = 3) -> DataFrame:
         equal_first = (seg(k) == 0) & (F.col("slot") == 64 * k)
         once = once | (here & earlier & (equal_first | (seg(k) == at_bit)))
         earlier = earlier & (F.bit_count(seg(k)) > 1)
-    return (x.join(y, ["slot", "v"])
+    # the index is 64 times its table: never a broadcast by the table's size
+    return (x.join(y.hint("merge"), ["slot", "v"])
             .where((F.col("a") < F.col("b")) & (F.bit_count(diff) <= distance) & once)
             .select("a", "b"))
 

@@ -62,8 +62,8 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.cuts - eta, -500, 500)))
 
 
-def select_terms(rows: DataFrame, count: int) -> list[bytes]:
-    """The ``count`` words whose document frequencies differ most between the classes."""
+def select_terms(rows: DataFrame, count: int, least: float = 25.0) -> list[bytes]:
+    """Up to ``count`` terms that mark toxic texts, by a G statistic of document frequencies of ``least`` or more."""
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             seen: Counter = Counter()
@@ -90,11 +90,11 @@ def select_terms(rows: DataFrame, count: int) -> list[bytes]:
     off = F.lit(n) - F.col("n")
     absent = part(k - F.col("k"), off * share) + part(off - (k - F.col("k")), off * (1 - share))
     best = (df.where(F.col("k") > 1).select("w", (present + absent).alias("g"), (F.col("k") / F.col("n") > share).alias("up"))
-            .where("up").orderBy(F.desc("g"), "w").limit(count).collect())
+            .where((F.col("g") >= least) & F.col("up")).orderBy(F.desc("g"), "w").limit(count).collect())
     return [bytes(r.w) for r in best]
 
 
-def fit(rows: DataFrame, n_terms: int = 64, l2: float = 1e-3, steps: int = 600) -> Model:
+def fit(rows: DataFrame, n_terms: int = 64, l2: float = 1e-4, steps: int = 1500) -> Model:
     """Fit on rows ``(t, y)``, a bounded number of them.
 
     Without both classes the model has no terms and gives grade 0.
@@ -152,7 +152,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, id_col: st
     return fit(staged(rows, "toxicity-rows"))
 
 
-def score(docs: DataFrame, model: Model, threshold: float = 0.5, id_col: str = "doc_id",
+def score(docs: DataFrame, model: Model, threshold: float = 0.3, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """One row per document row: id, ``held_out``, ``score`` (probability of any toxicity), ``severity``
     (expected grade, 0 to 2), ``grade`` (the likeliest), ``predicted`` (1 where the score reaches ``threshold``).

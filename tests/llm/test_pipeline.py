@@ -1,0 +1,39 @@
+"""The corpus pipeline and the registered queries on the smallest tables."""
+
+import corpus_pipeline
+import pytest
+from pyspark.sql import functions as F
+
+from safetylake.llm import catalog, quality
+from safetylake.llm.common import read
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_in_order_and_whole(spark):
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_duplicates", "decontamination", "tokens"]
+    docs = read(spark, SF, "documents")
+    total = docs.count()
+    rejected = quality.classify(docs, read(spark, SF, "labels")).where("predicted = 0").count()
+    kept = corpus_pipeline.quality_filter(spark, docs, SF)
+    assert kept.columns == docs.columns and kept.count() == total - rejected
+    out = corpus_pipeline.run(spark, SF)
+    ids = [r.doc_id for r in out.select("doc_id").collect()]
+    assert 0 < len(ids) <= total - rejected and len(ids) == len(set(ids))
+
+
+def test_stages_take_awkward_documents(spark):
+    rows = [(None, None, None, None, None), (1, "", "en", "s", 0), (1, "", "en", "s", 0), (2, "one two three four", "en", "s", 18)]
+    docs = spark.createDataFrame(rows, read(spark, SF, "documents").schema)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SF).count() <= len(rows)
+        assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+def test_every_query_runs_whole(spark, name):
+    table = {"1": "conversations", "3": "pages", "9": "embeddings"}.get(name.split("_")[0][2:], "documents")
+    out = catalog.QUERIES[name](spark, SF)
+    key = "conv_id" if table == "conversations" else out.columns[0]
+    want = read(spark, SF, table).agg(F.count_distinct(key)).first()[0] + (table == "conversations")
+    assert out.count() == want or out.select(key).distinct().count() == want
