@@ -52,7 +52,7 @@ def literal_contains(columns: list[str], term: str) -> Column:
     ``%``, ``_``, quotes and backslashes in ``term`` are ordinary characters.
     A NULL column value simply does not match.
     """
-    needle = F.lit(term.lower())
+    needle = F.lower(F.lit(term))       # lowered by the engine, as the columns are
     cond = None
     for name in columns:
         hit = F.coalesce(F.lower(F.col(name)).contains(needle), F.lit(False))

@@ -71,13 +71,19 @@ def apply_changes(target: DataFrame, feed: DataFrame, keys: list[str]) -> DataFr
     """New state of ``target`` after ``feed``: untouched rows, then inserts and
     post-images. Replaying the same feed leaves the result unchanged. A feed
     spanning several commits (``_commit_version``) is first collapsed to the
-    last change per key."""
+    last change per key. One full outer join on the key, so the feed is
+    evaluated once."""
     if COMMIT_VERSION in feed.columns:
         feed = latest_changes(feed, keys)
-    touched = feed.select(*keys)
-    kept = target.join(touched, keys, "left_anti")
-    upserts = feed.filter(F.col(CHANGE_TYPE).isin(INSERT, POST)).drop(CHANGE_TYPE)
-    return kept.unionByName(upserts.select(*target.columns))
+    cols = target.columns
+    old = target.select(*[F.col(k).alias(f"_o_{k}") for k in keys], F.struct(*cols).alias("_old"))
+    new = (feed.filter(F.col(CHANGE_TYPE) != PRE)
+               .select(*[F.col(k).alias(f"_n_{k}") for k in keys], F.struct(*cols).alias("_new"),
+                       F.col(CHANGE_TYPE).alias("_kind")))
+    j = old.join(new, _all([F.col(f"_o_{k}") == F.col(f"_n_{k}") for k in keys]), "full_outer")
+    return (j.filter(F.col("_kind").isNull() | (F.col("_kind") != DELETE))
+             .select(F.when(F.col("_kind").isNull(), F.col("_old")).otherwise(F.col("_new")).alias("_row"))
+             .select("_row.*"))
 
 
 def pk_violations(df: DataFrame, keys: list[str], table_name: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from safetylake.functions.scalar import first_element, parse_date, parse_int, size0, upper_trim
 from safetylake.operators.dedupe import keep_least
-from safetylake.operators.quality import DROP, WARN, Rule, apply_rules, rule_metrics
+from safetylake.operators.quality import DROP, OUTPUT, WARN, Rule, apply_rules, rule_metrics
 from safetylake.schemas import ADVERSE_SILVER_COLUMNS, ENFORCEMENT_COLUMNS, PRODUCT_COLUMNS
 
 # Rules of the published pipeline (names and predicates are fixed values).
@@ -140,7 +140,7 @@ def stage_adverse_reports(raw: DataFrame, strict: bool = False, keep_source: boo
         F.col("patient.drug").alias("drugs"),
         F.col("patient.reaction.reactionmeddrapt").alias("reaction_names"),
         *extra,
-        (named * reactions).alias("_pairs"),
+        (named.cast("bigint") * reactions.cast("bigint")).alias("_pairs"),
     )
 
 
@@ -191,11 +191,8 @@ def _tiles(reports: DataFrame, keep: list[str], side: int) -> DataFrame:
 
 
 def _spread(spark) -> int:
-    """Partitions to spread tiles over: every core of the cluster."""
-    try:
-        return max(1, spark.sparkContext.defaultParallelism)
-    except Exception:        # Spark Connect: no local context
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Partitions to spread tiles over: the session's own shuffle width, as sized for its data."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def stage_adverse_events(raw: DataFrame, strict: bool = False, keep_source: bool = False,
@@ -245,3 +242,27 @@ def adverse_metrics(raw: DataFrame, rules: list[Rule], dataset: str = "clean_adv
 def clean_adverse_events(raw: DataFrame, strict: bool = False) -> DataFrame:
     """``clean_adverse_events``: drug x reaction pairs; no key and no dedupe."""
     return apply_rules(stage_adverse_events(raw, strict), ADVERSE_RULES).select(*ADVERSE_SILVER_COLUMNS)
+
+
+# ---- quality metrics of both populations -------------------------------------------
+
+def products_quality(raw: DataFrame) -> DataFrame:
+    """Rule metrics of ``clean_products`` before its drop rules and dedupe, and of its rows."""
+    rules, name = PRODUCT_RULES + PRODUCT_CHECKS, "clean_products"
+    return (rule_metrics(stage_products(raw), rules, name)
+            .unionByName(rule_metrics(clean_products(raw), rules, name, stage=OUTPUT)))
+
+
+def enforcement_quality(raw: DataFrame) -> DataFrame:
+    """The same for ``clean_enforcement``; the parse checks need source texts, so only the input has them."""
+    name = "clean_enforcement"
+    after = ENFORCEMENT_RULES + [c for c in ENFORCEMENT_CHECKS if "_src_" not in c.predicate]
+    return (rule_metrics(stage_enforcement(raw, keep_source=True), ENFORCEMENT_RULES + ENFORCEMENT_CHECKS, name)
+            .unionByName(rule_metrics(clean_enforcement(raw), after, name, stage=OUTPUT)))
+
+
+def adverse_quality(raw: DataFrame) -> DataFrame:
+    """The same for ``clean_adverse_events``: it has no dedupe, so its rows are the pairs of reports that pass."""
+    passed = apply_rules(stage_adverse_reports(raw), ADVERSE_RULES)
+    return (adverse_metrics(raw, ADVERSE_RULES + ADVERSE_CHECKS)
+            .unionByName(rule_metrics(passed, ADVERSE_RULES, "clean_adverse_events", "_pairs", OUTPUT)))

@@ -1,66 +1,15 @@
-"""Global row numbering and page cutting, distributed.
-
-``row_index`` numbers the rows of a DataFrame 0..n-1 in a total order without
-a window over the whole table (which would pull everything into one task):
-
-1. a range-partitioned sort (``orderBy``) followed by
-   ``monotonically_increasing_id``, whose upper bits are the partition index
-   and lower bits the position inside the partition, so id order is sort
-   order;
-2. a reliable checkpoint, so both uses below see the same ids;
-3. a per-partition row count (one row per partition), turned into
-   starting offsets with a running sum over that tiny table;
-4. a broadcast join of the offsets (bounded by the partition count) back
-   onto the rows: index = offset + position.
-"""
+"""Reading a paged feed as a sequential client would, without reading page by page."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from safetylake.functions.scalar import size0
-from safetylake.session import checkpoint
-
-_LOW_BITS = 33
-_LOW_MASK = (1 << _LOW_BITS) - 1
 
 
-def row_index(df: DataFrame, order: list[Column | str], name: str = "_idx") -> DataFrame:
-    tagged = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
-    tagged = checkpoint(tagged)
-    tagged = tagged.withColumn("_pid", F.shiftright("_mid", _LOW_BITS))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per input partition: the running sum runs over that small table.
-    run = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
-    offsets = counts.select("_pid", (F.sum("_n").over(run) - F.col("_n")).alias("_off"))
-    return (tagged.join(F.broadcast(offsets), "_pid")
-                  .withColumn(name, F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_LOW_MASK)))
-                  .drop("_pid", "_mid", "_off"))
-
-
-def cut_pages(records: DataFrame, order: list[Column | str], page_size: int = 100,
-              short_page: tuple[int, int] | None = None) -> DataFrame:
-    """Page envelopes ``(skip int, results array<record>)`` of ``page_size`` records.
-
-    ``short_page=(page, rows)`` keeps only the first ``rows`` records of that
-    page, to produce a short page in the middle of a feed. Each group holds at
-    most ``page_size`` records.
-    """
-    fields = records.columns
-    idx = row_index(records, order)
-    page = F.floor(F.col("_idx") / page_size).cast("int")
-    idx = idx.withColumn("_page", page)
-    if short_page is not None:
-        p, rows = short_page
-        idx = idx.filter((F.col("_page") != p) | (F.col("_idx") - p * page_size < rows))
-    grouped = idx.groupBy("_page").agg(
-        F.sort_array(F.collect_list(F.struct(F.col("_idx").alias("_i"),
-                                             *[F.col(c) for c in fields]))).alias("_recs"))
-    return grouped.select(
-        (F.col("_page") * page_size).cast("int").alias("skip"),
-        F.transform("_recs", lambda r: F.struct(*[r[c].alias(c) for c in fields])).alias("results"),
-    )
+def _asked(envelopes: DataFrame, limit: int | None) -> DataFrame:
+    return envelopes if limit is None else envelopes.filter(F.col("skip") < F.lit(limit))
 
 
 def pages_to_read(envelopes: DataFrame, limit: int | None = None, page_size: int = 100) -> DataFrame:
@@ -71,9 +20,32 @@ def pages_to_read(envelopes: DataFrame, limit: int | None = None, page_size: int
     ``results`` counts as an empty page). That is: pages with
     ``skip < limit`` and ``skip <= min(skip of short pages)``. The minimum is
     one global aggregate evaluated as a scalar subquery; no join, no window
-    and no ordering of the pages is needed.
+    and no ordering of the pages is needed. Without a short page every page
+    is read.
+    """
+    pages = _asked(envelopes, limit)
+    stop = pages.agg(F.min(F.when(size0("results") < page_size, F.col("skip")))).scalar()
+    return pages.filter(F.coalesce(F.col("skip") <= stop, F.lit(True)))
+
+
+def verify_pages(envelopes: DataFrame, limit: int | None = None, page_size: int = 100,
+                 corrupt: str | None = None) -> None:
+    """Raise unless the pages up to the stop are exactly 0, page_size, 2 * page_size, ...
+
+    A page whose envelope does not parse (``corrupt`` names the column with its
+    text) raises too, unless it is known to lie beyond the stop.
     """
-    pages = envelopes if limit is None else envelopes.filter(F.col("skip") < F.lit(limit))
-    short = size0("results") < page_size
-    stop = pages.agg(F.min(F.when(short, F.col("skip")))).scalar()
-    return pages.filter(F.col("skip") <= F.coalesce(stop, F.lit(2**31 - 1)))
+    bad = F.lit(False) if corrupt is None else F.col(corrupt).isNotNull()
+    pages = envelopes.select("skip", size0("results").alias("n"), (bad | F.col("skip").isNull()).alias("bad"))
+    pages = pages.filter(F.col("bad") | (F.lit(True) if limit is None else F.col("skip") < limit))
+    # one short page more or less moves the stop, so it is found first
+    stop = pages.agg(F.min(F.when(~F.col("bad") & (F.col("n") < page_size), F.col("skip"))).alias("s")).first().s
+    upto = F.lit(True) if stop is None else F.coalesce(F.col("skip") <= stop, F.lit(True))
+    # the sum keeps ``results`` in the scan: a field that is not read cannot be found broken
+    got = pages.filter(upto).agg(
+        F.count_if("bad").alias("bad"), F.sum("n").alias("records"), F.count(F.lit(1)).alias("n"), F.count_distinct("skip").alias("d"),
+        F.max("skip").alias("top"), F.count_if(F.pmod("skip", F.lit(page_size)) != 0).alias("off")).first()
+    if got.bad:
+        raise ValueError(f"{got.bad} page(s) cannot be read")
+    if got.n and (got.n != got.d or got.off or got.top != (got.n - 1) * page_size):
+        raise ValueError(f"pages are missing or repeated: {got.n} pages, {got.d} offsets, the last at {got.top}")

@@ -40,8 +40,15 @@ def apply_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return out
 
 
-def rule_metrics(df: DataFrame, rules: list[Rule], dataset: str, weight: str | None = None) -> DataFrame:
-    """One row per rule: dataset, rule, action, total, passed, failed, null_result.
+INPUT, OUTPUT = "input", "output"
+
+
+def rule_metrics(df: DataFrame, rules: list[Rule], dataset: str, weight: str | None = None,
+                 stage: str = INPUT) -> DataFrame:
+    """One row per rule: dataset, stage, rule, action, total, passed, failed, null_result.
+
+    ``stage`` names the population: rows before the drop rules and the dedupe
+    (``input``) or the rows of the finished dataset (``output``).
 
     With ``weight``, each row stands for ``weight`` rows (e.g. a report for
     all the pairs it expands into) and counts become weighted sums.
@@ -72,5 +79,5 @@ def rule_metrics(df: DataFrame, rules: list[Rule], dataset: str, weight: str | N
         for i, r in enumerate(rules)
     ])
     return (wide.select(F.col("_total").alias("total"), F.inline(rows))
-                .select(F.lit(dataset).alias("dataset"), "rule", "action", "total",
+                .select(F.lit(dataset).alias("dataset"), F.lit(stage).alias("stage"), "rule", "action", "total",
                         "passed", "failed", "null_result"))

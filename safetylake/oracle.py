@@ -324,11 +324,11 @@ FROM clean_enforcement""", "clean_enforcement")
 
 # --- data quality ------------------------------------------------------------------
 
-def _metrics(dataset: str, source: str, rules: list[tuple[str, str, str]]) -> str:
+def _metrics(dataset: str, source: str, rules: list[tuple[str, str, str]], stage: str = "input") -> str:
     parts = []
     for name, action, pred in rules:
         parts.append(
-            f"SELECT '{dataset}' AS dataset, '{name}' AS rule, '{action}' AS action, "
+            f"SELECT '{dataset}' AS dataset, '{stage}' AS stage, '{name}' AS rule, '{action}' AS action, "
             f"COUNT(*) AS total, CAST(count_if(({pred}) IS TRUE) AS BIGINT) AS passed, "
             f"CAST(count_if(({pred}) IS FALSE) AS BIGINT) AS failed, "
             f"CAST(count_if(({pred}) IS NULL) AS BIGINT) AS null_result FROM {source}")
@@ -340,7 +340,11 @@ _stmt("dq_products", _metrics("clean_products", "stage_products", [
     ("has_ndc", "drop", "product_ndc IS NOT NULL"),
     ("has_brand", "warn", "brand_name IS NOT NULL"),
     ("ndc_not_blank", "warn", "product_ndc <> ''"),
-]), "stage_products")
+]) + "\nUNION ALL\n" + _metrics("clean_products", "clean_products", [
+    ("has_ndc", "drop", "product_ndc IS NOT NULL"),
+    ("has_brand", "warn", "brand_name IS NOT NULL"),
+    ("ndc_not_blank", "warn", "product_ndc <> ''"),
+], "output"), "stage_products", "clean_products")
 _stmt("dq_enforcement", _metrics("clean_enforcement", "stage_enforcement", [
     ("has_recall_number", "drop", "recall_number IS NOT NULL"),
     ("valid_classification", "warn", "classification IN ('Class I', 'Class II', 'Class III')"),
@@ -348,13 +352,19 @@ _stmt("dq_enforcement", _metrics("clean_enforcement", "stage_enforcement", [
     ("recall_date_parsed", "warn", "_src_recall_date IS NULL OR recall_date IS NOT NULL"),
     ("report_date_parsed", "warn", "_src_report_date IS NULL OR report_date IS NOT NULL"),
     ("termination_date_parsed", "warn", "_src_termination_date IS NULL OR termination_date IS NOT NULL"),
-]), "stage_enforcement")
+]) + "\nUNION ALL\n" + _metrics("clean_enforcement", "clean_enforcement", [
+    ("has_recall_number", "drop", "recall_number IS NOT NULL"),
+    ("valid_classification", "warn", "classification IN ('Class I', 'Class II', 'Class III')"),
+    ("recall_number_not_blank", "warn", "recall_number <> ''"),
+], "output"), "stage_enforcement", "clean_enforcement")
 _stmt("dq_adverse", _metrics("clean_adverse_events", "stage_adverse", [
     ("has_report_id", "drop", "report_id IS NOT NULL"),
     ("serious_parsed", "warn", "_src_serious IS NULL OR is_serious IS NOT NULL"),
     ("receive_date_parsed", "warn", "_src_receivedate IS NULL OR receive_date IS NOT NULL"),
     ("patient_age_parsed", "warn", "_src_age IS NULL OR patient_age IS NOT NULL"),
-]), "stage_adverse")
+]) + "\nUNION ALL\n" + _metrics("clean_adverse_events", "clean_adverse", [
+    ("has_report_id", "drop", "report_id IS NOT NULL"),
+], "output"), "stage_adverse", "clean_adverse")
 
 
 def _pk(table_name: str, source: str, keys: list[str]) -> str:
@@ -429,7 +439,7 @@ paged AS (SELECT *, _idx // {page_size} AS _page FROM numbered {cut}),
 sizes AS (SELECT _page, COUNT(*) AS n FROM paged GROUP BY _page),
 stop AS (SELECT min(_page) AS s FROM sizes WHERE n < {page_size})
 SELECT {select or cols + f", '{_SOURCE[which]}' AS _source"} FROM paged
-WHERE _page <= coalesce((SELECT s FROM stop), 2147483647)"""
+WHERE coalesce(_page <= (SELECT s FROM stop), true)"""
 
 
 _stmt("land_pages", f"SELECT * FROM ({landed_sql('products')})", "raw_products")

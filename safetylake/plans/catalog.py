@@ -1,6 +1,7 @@
 """Named queries over a directory of driver tables.
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame. The raw
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame; landing, change
+feed and sync entries write files to the shared folder while they are built. The raw
 records are derived from the flat tables by ``sources.fixtures``; every
 stage after that is the library's own pipeline, so each query's work grows
 with the input tables.
@@ -13,9 +14,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from safetylake import schemas
-from safetylake.operators import changes, clean, gold, quality, queries
-from safetylake.session import checkpoint, scratch_path
-from safetylake.sources import fixtures, ingest
+from safetylake.operators import changes, clean, gold, queries
+from safetylake.session import scratch_path, snapshot
+from safetylake.sources import fixtures, ingest, pages
 from safetylake.streaming import sync
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,18 +99,15 @@ QUERIES.update({
 # ---- data quality and keys ------------------------------------------------------
 
 def _dq_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = clean.stage_products(fixtures.raw_products(spark, sf_dir))
-    return quality.rule_metrics(staged, clean.PRODUCT_RULES + clean.PRODUCT_CHECKS, "clean_products")
+    return clean.products_quality(fixtures.raw_products(spark, sf_dir))
 
 
 def _dq_enforcement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = clean.stage_enforcement(fixtures.raw_enforcement(spark, sf_dir), keep_source=True)
-    return quality.rule_metrics(staged, clean.ENFORCEMENT_RULES + clean.ENFORCEMENT_CHECKS,
-                                "clean_enforcement")
+    return clean.enforcement_quality(fixtures.raw_enforcement(spark, sf_dir))
 
 
 def _dq_adverse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.adverse_metrics(fixtures.raw_adverse(spark, sf_dir), clean.ADVERSE_RULES + clean.ADVERSE_CHECKS)
+    return clean.adverse_quality(fixtures.raw_adverse(spark, sf_dir))
 
 
 def _pk_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,14 +154,14 @@ SHORT_PAGE = (5, 40)
 def _landed_pages(spark: SparkSession, sf_dir: str, which: str,
                   short_page: tuple[int, int] | None = None) -> DataFrame:
     raw = fixtures.RAW_BUILDERS[which](spark, sf_dir, with_seq=True)
-    path = ingest.land_pages_files(spark, raw, which, short_page=short_page)
+    path = pages.land_pages_files(spark, raw, which, short_page=short_page)
     return ingest.land_pages(spark, path, which)
 
 
 def _landing_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = ingest.land_all({w: (lambda w=w: _landed_pages(spark, sf_dir, w))
                               for w in ("products", "enforcement", "adverse")})
-    return ingest.landing_counts(list(landed.values()))
+    return ingest.landing_counts({ingest.SOURCES[w][1]: df for w, df in landed.items()})
 
 
 QUERIES.update({
@@ -178,21 +176,21 @@ QUERIES.update({
 
 # ---- change feed and sync --------------------------------------------------------
 
-# Snapshots are stored tables: the old one is checkpointed to the shared
+# Snapshots are stored tables: the old one is written to the shared
 # folder once, so the new snapshot and the diff read it instead of deriving
 # the gold table again for every branch of the plan.
 
 def _feed(gold_fn: Callable, evolve: Callable, keys: tuple[str, ...]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        old = checkpoint(gold_fn(spark, sf_dir))
+        old = snapshot(gold_fn(spark, sf_dir), "gold")
         return changes.snapshot_diff(old, evolve(old), list(keys))
     return run
 
 
 def _sync(gold_fn: Callable, evolve: Callable, keys: tuple[str, ...]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        old = checkpoint(gold_fn(spark, sf_dir))
-        feed = changes.snapshot_diff(old, evolve(old), list(keys))
+        old = snapshot(gold_fn(spark, sf_dir), "gold")
+        feed = snapshot(changes.snapshot_diff(old, evolve(old), list(keys)), "feed")
         return changes.apply_changes(old, feed, list(keys))
     return run
 
@@ -220,7 +218,7 @@ def _sync_stream_adverse(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = sync.start_sync(spark, feed_dir, spark.read.parquet(feed_dir).schema, base, target, keys,
                         scratch_path(spark, "sync-checkpoint"))
     q.awaitTermination()
-    return spark.read.parquet(sync.version_path(target, q.lastProgress["batchId"]))
+    return sync.current(spark, base, target)
 
 
 QUERIES["sync_stream_adverse"] = _sync_stream_adverse

@@ -35,32 +35,30 @@ class Dataset:
     metrics: Callable[..., DataFrame] | None = None
 
 
+RECORD_READABLE = quality.Rule("record_readable", f"{ingest.CORRUPT} IS NULL", quality.WARN)
+
 DATASETS: list[Dataset] = [
-    Dataset("raw_ndc_products", "Raw product directory records", "bronze", ("@products",),
-            lambda spark, path, ml: ingest.bronze(spark, path, schemas.RAW_PRODUCTS, schemas.SOURCE_PRODUCTS, ml)),
-    Dataset("raw_enforcement_actions", "Raw enforcement and recall records", "bronze", ("@enforcement",),
+    Dataset("raw_ndc_products", "Product records as landed, one row per JSON record", "bronze", ("@products",),
+            lambda spark, path, ml: ingest.bronze(spark, path, schemas.RAW_PRODUCTS, schemas.SOURCE_PRODUCTS, ml, True)),
+    Dataset("raw_enforcement_actions", "Recall records as landed, one row per JSON record", "bronze", ("@enforcement",),
             lambda spark, path, ml: ingest.bronze(spark, path, schemas.RAW_ENFORCEMENT,
-                                                  schemas.SOURCE_ENFORCEMENT, ml)),
-    Dataset("raw_adverse_events", "Raw adverse event reports", "bronze", ("@adverse",),
-            lambda spark, path, ml: ingest.bronze(spark, path, schemas.RAW_ADVERSE, schemas.SOURCE_ADVERSE, ml)),
-    Dataset("clean_products", "Cleaned product catalog with flattened ingredients and routes", "silver",
+                                                  schemas.SOURCE_ENFORCEMENT, ml, True)),
+    Dataset("raw_adverse_events", "Report records as landed, patients nested", "bronze", ("@adverse",),
+            lambda spark, path, ml: ingest.bronze(spark, path, schemas.RAW_ADVERSE, schemas.SOURCE_ADVERSE, ml, True)),
+    Dataset("clean_products", "One row per trimmed product code, first route and ingredient as columns", "silver",
             ("raw_ndc_products",), clean.clean_products,
-            metrics=lambda raw: quality.rule_metrics(clean.stage_products(raw),
-                                                     clean.PRODUCT_RULES + clean.PRODUCT_CHECKS,
-                                                     "clean_products")),
-    Dataset("clean_enforcement", "Cleaned enforcement actions with parsed dates", "silver",
+            metrics=clean.products_quality),
+    Dataset("clean_enforcement", "One row per trimmed recall number, date texts as dates", "silver",
             ("raw_enforcement_actions",), clean.clean_enforcement,
-            metrics=lambda raw: quality.rule_metrics(clean.stage_enforcement(raw, keep_source=True),
-                                                     clean.ENFORCEMENT_RULES + clean.ENFORCEMENT_CHECKS,
-                                                     "clean_enforcement")),
-    Dataset("clean_adverse_events", "One row per report, drug and reaction", "silver",
+            metrics=clean.enforcement_quality),
+    Dataset("clean_adverse_events", "Reports expanded to drug x reaction rows, names trimmed and upper-cased", "silver",
             ("raw_adverse_events",), clean.clean_adverse_events,
-            metrics=lambda raw: clean.adverse_metrics(raw, clean.ADVERSE_RULES + clean.ADVERSE_CHECKS)),
-    Dataset("gold_product_catalog", "Deduplicated product reference table", "gold",
+            metrics=clean.adverse_quality),
+    Dataset("gold_product_catalog", "Published products, keyed by product code", "gold",
             ("clean_products",), gold.publish_products, schemas.PK_PRODUCTS, True),
-    Dataset("gold_enforcement_actions", "Enforcement and recall table", "gold",
+    Dataset("gold_enforcement_actions", "Published recalls, keyed by recall number", "gold",
             ("clean_enforcement",), gold.publish_enforcement, schemas.PK_ENFORCEMENT, True),
-    Dataset("gold_adverse_events_summary", "Adverse event counts by product and reaction", "gold",
+    Dataset("gold_adverse_events_summary", "Report counts and date range for each pair of product and reaction", "gold",
             ("clean_adverse_events",), gold.adverse_events_summary, schemas.PK_ADVERSE, True),
 ]
 
@@ -96,7 +94,9 @@ def _build_chain(spark: SparkSession, chain: list[Dataset], sources: dict[str, s
                 inputs = [spark.read.parquet(written[i]) for i in ds.inputs]
                 df = ds.build(*inputs)
                 if with_metrics and ds.metrics is not None:
-                    metrics = ds.metrics(*inputs)
+                    # records that did not parse have no fields, so only their kept text tells of them
+                    metrics = ds.metrics(*inputs).unionByName(
+                        quality.rule_metrics(inputs[0], [RECORD_READABLE], ds.name))
                     pending.append(side.submit(
                         metrics.write.mode("overwrite").parquet, f"{out_dir}/_quality/{ds.name}"))
             path = f"{out_dir}/{ds.name}"

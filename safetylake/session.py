@@ -38,10 +38,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and landed files.
 
     Read from ``spark.checkpoint.dir`` (a startup setting of the cluster; it
-    cannot be changed at runtime). Only when the session has none (a bare
-    local test session) is a fresh temporary folder created and registered
-    with the SparkContext, so a cluster job always writes where every
-    executor can read.
+    cannot be changed at runtime). Only a local session that has none gets a
+    fresh temporary folder; on any other master its absence is an error, as
+    executors could not read the driver's folder.
     """
     path = spark.conf.get(CHECKPOINT_CONF, None)
     try:
@@ -57,6 +56,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="safetylake-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
@@ -66,6 +67,14 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def snapshot(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: cuts lineage, and
+    later reads still prune columns and push filters down."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Reliable, eager checkpoint into the shared folder (never a local one).
 

@@ -23,21 +23,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. The DataFrame (file listing and footer schema) is reused
-    within one Spark application: the inputs are immutable."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:        # Spark Connect: no local context; key by the session
-        app = f"session-{id(spark)}"
-    key = (app, path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    """A driver table, listed anew for each session and query."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # ---------------------------------------------------------------------------
@@ -151,18 +139,17 @@ def raw_enforcement(spark: SparkSession, sf_dir: str, with_seq: bool = False) ->
 
 def _report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per order: the drug and reaction arrays, each ordered by line."""
-    # Shuffle the four narrow line columns by order key first: the group-by
-    # below reuses this partitioning (no second exchange), and the joins and
-    # struct building then run after the shuffle instead of shipping partial
-    # collect_list buffers (which do not shrink the data) through it.
-    li = (table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-          .repartition("l_orderkey"))
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    lines = (li.join(p, li.l_partkey == p.p_partkey, "left")
-               .join(s, F.col("l_suppkey") == s.s_suppkey, "left")
-               .join(n, F.col("s_nationkey") == n.n_nationkey, "left"))
+    origin = s.join(n, F.col("s_nationkey") == n.n_nationkey, "left")
+    # The line items meet the small suppliers, then the parts, and are placed by
+    # order once, after the joins; the group-by reuses that placing instead of
+    # shipping partial collect_list buffers, which do not shrink the data.
+    lines = (li.join(origin, li.l_suppkey == F.col("s_suppkey"), "left")
+               .join(p, li.l_partkey == p.p_partkey, "left")
+               .repartition("l_orderkey"))
     grouped = lines.groupBy("l_orderkey").agg(
         F.expr(f"sort_array(collect_list({DRUG_EXPR}))").alias("_drugs"),
         F.expr(f"sort_array(collect_list({REACTION_EXPR}))").alias("_reactions"),

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from safetylake import schemas
-from safetylake.operators.paging import cut_pages, pages_to_read
+from safetylake.operators.paging import pages_to_read, verify_pages
 from safetylake.session import scratch_path
 
 SOURCES = {
@@ -29,19 +29,27 @@ SOURCES = {
 }
 
 
+#: Holds the text of a record that does not parse.
+CORRUPT = "_corrupt_record"
+
+
 def tag(df: DataFrame, source: str) -> DataFrame:
     """Ingestion metadata: load time and source name."""
     return df.withColumn("_ingestion_ts", F.current_timestamp()).withColumn("_source", F.lit(source))
 
 
 def bronze(spark: SparkSession, path: str, schema: T.StructType, source: str,
-           multiline: bool = False) -> DataFrame:
+           multiline: bool = False, keep_corrupt: bool = False) -> DataFrame:
     """Read raw JSON records with a declared schema and tag them.
 
     Fields absent from the files read as NULL; malformed lines become NULL
-    rows (PERMISSIVE) and are then removed by the silver drop rules.
+    rows (PERMISSIVE) and are then removed by the silver drop rules. With
+    ``keep_corrupt`` their text stays in ``_corrupt_record``, so that quality
+    metrics can count them.
     """
-    reader = spark.read.schema(schema).option("mode", "PERMISSIVE")
+    if keep_corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if multiline:
         reader = reader.option("multiLine", True)
     return tag(reader.json(path), source)
@@ -70,41 +78,32 @@ def land_source(spark: SparkSession, raw: DataFrame, which: str) -> DataFrame:
 
 def envelope_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([
-        T.StructField("skip", T.IntegerType()),
+        T.StructField("skip", T.LongType()),
         T.StructField("results", T.ArrayType(schema)),
+        T.StructField(CORRUPT, T.StringType()),
     ])
 
 
-def land_pages_files(spark: SparkSession, raw_with_seq: DataFrame, which: str, page_size: int = 100,
-                     short_page: tuple[int, int] | None = None) -> str:
-    """Cut raw records (ordered by key, then ``_seq``) into page envelopes and
-    write them as JSON Lines, one envelope per line."""
-    schema, _, key = SOURCES[which]
-    order = [F.col(key).asc_nulls_first(), F.col("_seq")]
-    recs = raw_with_seq.select(*schema.fieldNames(), "_seq")
-    env = cut_pages(recs, order, page_size, short_page)
-    env = env.select("skip", F.transform("results", lambda r: F.struct(
-        *[r[c].alias(c) for c in schema.fieldNames()])).alias("results"))
-    return land_json(env, scratch_path(spark, f"pages-{which}"))
-
-
 def land_pages(spark: SparkSession, path: str, which: str, limit: int | None = None,
                page_size: int = 100) -> DataFrame:
     """Bronze records from page envelope files, read as a sequential paged
     client would: pages until the first short page, starting below ``limit``.
-    No cap by default; ``limit=1000`` reproduces a capped pull."""
+    No cap by default; ``limit=1000`` reproduces a capped pull. A missing,
+    repeated or unreadable page up to the stop fails the landing."""
     schema, source, _ = SOURCES[which]
-    env = spark.read.schema(envelope_schema(schema)).json(path)
+    env = spark.read.schema(envelope_schema(schema)).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+    verify_pages(env, limit, page_size, CORRUPT)
     pages = pages_to_read(env, limit, page_size)
     return tag(pages.select(F.inline("results")), source)
 
 
-def landing_counts(landed: list[DataFrame]) -> DataFrame:
-    """Landed record count per source."""
-    out = landed[0].select("_source")
-    for df in landed[1:]:
-        out = out.unionByName(df.select("_source"))
-    return out.groupBy("_source").agg(F.count(F.lit(1)).alias("records"))
+def landing_counts(landed: dict[str, DataFrame]) -> DataFrame:
+    """Landed record count per source name; a source without records counts 0."""
+    out = None
+    for source, df in landed.items():
+        one = df.agg(F.count(F.lit(1)).alias("records")).select(F.lit(source).alias("_source"), "records")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def as_json_text(df: DataFrame) -> DataFrame:

@@ -7,9 +7,10 @@ applies it to the keyed copy in ``foreachBatch``:
 
 * within one micro-batch the latest change per key wins (by commit version,
   post-image over pre-image), so several commits in one batch apply in order;
-* batch ``n`` reads version ``n - 1`` of the copy and writes version ``n`` to
-  a path named after the batch id, so replaying a batch after a failure
-  rewrites the same content (idempotent) and never reads its own output.
+* batch ``n`` reads the last version committed before it and writes version
+  ``n`` to a path named after the batch id, then records it in a manifest, so
+  replaying a batch after a failure rewrites the same content (idempotent),
+  never reads its own output, and a trigger with nothing new changes nothing.
 
 The streaming state is only the file-source log and the checkpoint; the
 apply itself is the stateless ``apply_changes`` join.
@@ -17,13 +18,14 @@ apply itself is the stateless ``apply_changes`` join.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from safetylake.operators.changes import COMMIT_VERSION, apply_changes, latest_changes, snapshot_diff
 
-__all__ = ["COMMIT_VERSION", "latest_changes", "publish_changes", "start_sync", "version_path"]
+__all__ = ["COMMIT_VERSION", "committed", "current", "latest_changes", "publish_changes", "start_sync", "version_path"]
 
 
 def publish_changes(old: DataFrame, new: DataFrame, keys: list[str], version: int, feed_dir: str) -> None:
@@ -36,18 +38,40 @@ def version_path(target_dir: str, batch_id: int) -> str:
     return f"{target_dir.rstrip('/')}/v{batch_id:012d}"
 
 
+def committed(spark: SparkSession, target_dir: str, before: int | None = None) -> int | None:
+    """The last version in the manifest (below ``before`` if given); None where there is none."""
+    try:
+        seen = spark.read.schema("version bigint").parquet(f"{target_dir.rstrip('/')}/manifest")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    if before is not None:
+        seen = seen.filter(F.col("version") < before)
+    return seen.agg(F.max("version")).first()[0]
+
+
+def current(spark: SparkSession, base_path: str, target_dir: str) -> DataFrame:
+    """The copy as of the last committed version."""
+    v = committed(spark, target_dir)
+    return spark.read.parquet(base_path if v is None else version_path(target_dir, v))
+
+
 def start_sync(spark: SparkSession, feed_dir: str, feed_schema, base_path: str, target_dir: str,
                keys: list[str], checkpoint: str) -> StreamingQuery:
     """Run a triggered sync over all feed files present now; returns the query.
 
-    ``base_path`` holds the copy before the first batch. After the query
-    finishes, the copy is at ``version_path(target_dir, last batch id)``.
+    ``base_path`` holds the copy before the first batch; ``current`` reads the
+    copy after any number of triggers.
     """
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        prev = base_path if batch_id == 0 else version_path(target_dir, batch_id - 1)
-        current = spark.read.parquet(prev)
-        out = apply_changes(current, batch, keys)     # collapses the batch's commits per key
+        own = batch.sparkSession
+        v = committed(own, target_dir, before=batch_id)
+        held = own.read.parquet(base_path if v is None else version_path(target_dir, v))
+        out = apply_changes(held, batch, keys)        # collapses the batch's commits per key
         out.write.mode("overwrite").parquet(version_path(target_dir, batch_id))
+        own.range(batch_id, batch_id + 1).select(F.col("id").alias("version")).write.mode("append").parquet(
+            f"{target_dir.rstrip('/')}/manifest")
 
     return (spark.readStream.schema(feed_schema).parquet(feed_dir)
             .writeStream.foreachBatch(apply_batch)

@@ -141,7 +141,7 @@ def test_hot_report_is_tiled_with_identical_pairs(spark):
     # The hot report's tiles land on many partitions.
     tiles = clean._tiles(clean.stage_adverse_reports(raw), ["report_id"], 4)
     used = {r[0] for r in tiles.filter("report_id = 'hot'").selectExpr("spark_partition_id()").collect()}
-    assert len(used) == spark.sparkContext.defaultParallelism      # 80 tiles reach every core
+    assert len(used) == int(spark.conf.get("spark.sql.shuffle.partitions"))      # 80 tiles reach every core
 
 
 def test_strict_mode_raises_on_bad_input(spark):
@@ -155,3 +155,21 @@ def test_strict_mode_raises_on_bad_input(spark):
     rows = [report("r1", ["P"], ["R"], age="1.5")]
     with pytest.raises(Exception):
         clean.clean_adverse_events(adverse_df(spark, rows), strict=True).collect()
+
+
+def test_pair_counts_beyond_int_range(spark):
+    from pyspark.sql import functions as F
+
+    from safetylake import schemas
+
+    many = 50_000
+    raw = spark.range(1).select(
+        F.lit("1").alias("safetyreportid"), F.lit("1").alias("serious"), F.lit("20240101").alias("receivedate"),
+        F.struct(F.lit("1").alias("patientsex"), F.lit("1").alias("patientonsetage"),
+                 F.transform(F.sequence(F.lit(1), F.lit(many)), lambda i: F.struct(
+                     F.lit("D").alias("medicinalproduct"), F.lit("I").alias("drugindication"))).alias("drug"),
+                 F.transform(F.sequence(F.lit(1), F.lit(many)), lambda i: F.struct(
+                     F.lit("R").alias("reactionmeddrapt"))).alias("reaction")).alias("patient"))
+    assert raw.columns == schemas.RAW_ADVERSE.fieldNames()
+    got = {r.stage: r.total for r in clean.adverse_quality(raw).filter("rule = 'has_report_id'").collect()}
+    assert got == {"input": many * many, "output": many * many}

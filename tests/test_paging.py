@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from safetylake.operators.paging import cut_pages, pages_to_read, row_index
+from safetylake.operators.paging import pages_to_read, verify_pages
+from safetylake.sources.pages import cut_pages, row_index
 
 
 def reader_loop(pages, limit=1000, page_size=100):
@@ -59,3 +60,34 @@ def test_cut_pages_round_trip(spark):
     short = cut_pages(df, ["v"], page_size=100, short_page=(1, 40))
     landed = pages_to_read(short).select(F.inline("results")).collect()
     assert sorted(r.v for r in landed) == list(range(140))
+
+
+def test_offsets_beyond_int_range_are_kept(spark):
+    far = 2147483700
+    pages = [(far - 100, list(range(100))), (far, list(range(100, 200)))]
+    env = spark.createDataFrame([(s, [(r,) for r in recs]) for s, recs in pages], "skip bigint, results array<struct<v:int>>")
+    assert pages_to_read(env).select(F.inline("results")).count() == 200
+
+
+@pytest.mark.parametrize("skips", [[0, 200, 300], [100, 200], [0, 100, 100], [0, 150]])
+def test_missing_or_repeated_page_fails(spark, skips):
+    with pytest.raises(ValueError, match="missing or repeated"):
+        verify_pages(envelopes(spark, [(s, list(range(100))) for s in skips]))
+
+
+def test_pages_beyond_the_stop_do_not_matter(spark):
+    verify_pages(envelopes(spark, [(0, list(range(100))), (100, [1]), (700, [2])]))
+    verify_pages(envelopes(spark, []))
+
+
+def test_unreadable_page_fails(spark, scratch):
+    import json
+
+    from safetylake.sources import ingest
+
+    good = [json.dumps({"skip": s, "results": [{"product_ndc": str(s + i)} for i in range(100)]}) for s in (0, 200)]
+    for broken in ('{"skip": 100, "results": [', '{"skip": 100, "results": 7}'):
+        path = f"{scratch}/{abs(hash(broken))}"
+        spark.createDataFrame([(x,) for x in [good[0], broken, good[1]]], "value string").write.text(path)
+        with pytest.raises(ValueError):
+            ingest.land_pages(spark, path, "products")

@@ -48,4 +48,3 @@ def test_hot_pair_summary_equals_brute_force(spark):
     got = {(r.product_name, r.reaction_name): (r.event_count, r.serious_count) for r in summary.collect()}
     assert got == expect
     assert got[("HOTDRUG", "HOTREACTION")][0] == 2 * 200
-    assert F is not None
