@@ -330,6 +330,39 @@ def test_line_leaders_lose_no_group(spark):
     assert {i for i, t in got.items() if t} == set(label)
 
 
+def word_edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_lines_find_every_pair_at_the_similarity(spark):
+    """Production parameters: the groups are those of all pairs at 0.8, of any length and kind of edit."""
+    rng = random.Random(20)
+    lines = []
+    for n in (3, 4, 5, 6, 7, 8, 9, 10, 12, 14, 15, 16, 20, 25, 33, 50, 60, 90, 130):
+        base = [f"w{rng.randrange(500)}" for _ in range(n)]
+        lines.append(base)
+        for k in range(4):
+            w = list(base)
+            for _ in range(rng.choice((1, n // 10, n // 5, n // 4))):
+                at, kind = rng.randrange(len(w)), rng.randrange(3)
+                w[at:at + (kind != 1)] = [] if kind == 2 and len(w) > 3 else [f"v{rng.randrange(500)}"]
+            lines.append(w)
+    lines += [["x"] * 300, ["x"] * 250, ["x"] * 230]
+    label = list(range(len(lines)))
+    linked = [(i, j) for i, a in enumerate(lines) for j, b in enumerate(lines[:i])
+              if word_edits(a, b) <= math.floor(max(len(a), len(b)) * 0.2 + 1e-9)]
+    for _ in lines:
+        for i, j in linked:
+            label[i] = label[j] = min(label[i], label[j])
+    got = {r.doc_id: r.text for r in line_dedup.report(line_dedup.dedup_lines(docs(spark, [" ".join(w) for w in lines]))).collect()}
+    assert len(linked) > 60 and {i for i, t in got.items() if t} == set(label)
+
+
 # --- 8: language model ----------------------------------------------------------------------------
 
 def test_elias_fano_reads_back():
