@@ -26,7 +26,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go; a document whose lines all went stays with an empty text."""
-    out = line_dedup.dedup_lines(docs)
+    out = line_dedup.dedup_lines(docs, short=True)
     changed = {"text": F.col("clean"), "n_chars": F.length("clean").cast(docs.schema["n_chars"].dataType)}
     return out.select(*[F.when(F.col("n_dropped") > 0, changed[c]).otherwise(F.col("row")[c]).alias(c)
                         if c in changed else F.col("row")[c].alias(c) for c in docs.columns])

@@ -44,7 +44,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.report(line_dedup.dedup_lines(read(spark, sf_dir, "documents")))
+    return line_dedup.report(line_dedup.dedup_lines(read(spark, sf_dir, "documents"), short=True))
 
 
 def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -363,6 +363,16 @@ def test_lines_find_every_pair_at_the_similarity(spark):
     assert len(linked) > 60 and {i for i, t in got.items() if t} == set(label)
 
 
+def test_short_lines_repeat_once(spark):
+    """Lines of any number of words, signs alone, and scripts without spaces are grouped exactly."""
+    long = "这是一段没有空格的文字它在许多文件里重复出现"
+    texts = ["page two\nx\n\n***", "Page two.\n \nX\n* **\n***", f"{long}，后面", f"“{long}” 后面", "it’s", "it's", "~~", "\u3000\n\u3000"]
+    for distance in (None, 3):
+        out = line_dedup.dedup_lines(docs(spark, texts), distance=distance, short=True)
+        got = {r.doc_id: r.text for r in line_dedup.report(out).collect()}
+        assert got == {0: texts[0], 1: " ", 2: texts[2], 3: "", 4: texts[4], 5: "", 6: "~~", 7: texts[7]}
+
+
 # --- 8: language model ----------------------------------------------------------------------------
 
 def test_elias_fano_reads_back():
