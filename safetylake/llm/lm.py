@@ -1,15 +1,17 @@
-"""Language-model scoring with an Elias-Fano n-gram trie, sharded by context.
+"""Language-model scoring with an Elias-Fano n-gram trie, sharded by bigram.
 
 Counts come from every training document. Documents are packed into batches of
 token indexes; a batch sends each shard the distinct words and bigrams that
-belong to it (by the context word's hash) with their training counts, so a word
-or pair costs one entry a batch however often it occurs. A shard merges the
-counts into a two-level trie: contexts in hash order, a monotone pointer sequence
-to each context's successors, and successors as increasing keys inside their
-context's range. Pointers and successors are Elias-Fano coded; the probabilities
-are absolute-discounted, quantised to 8 bits by quantiles. Levels are
-memory-mapped files of the task that queries them. The shard answers the
-batches' own entries; the batch adds the answers up:
+belong to it with their training counts, so a word or pair costs one entry a
+batch however often it occurs. Words are dealt by their hash and bigrams by the
+hash of both words, so the successors of a frequent word are spread over all
+shards. A shard merges the counts into a two-level trie: contexts in hash order, a
+monotone pointer sequence to each context's successors, and successors as
+increasing keys inside their context's range. Pointers and successors are
+Elias-Fano coded; the absolute-discounted counts are quantised to 8 bits by
+quantiles. Levels are memory-mapped files of the task that queries them. The shard
+answers the batches' own entries; how many successors a word has is then summed
+over the shards; the batch divides by the context's total and adds the answers up:
 
     P(w | v) = p_trie(w | v) + backoff(v) * P(w),
     P(w) = (c(w) + 0.5) / (N + 0.5 * (V + 1)).
@@ -95,13 +97,13 @@ class EliasFano:
 
 
 class Trie:
-    """Contexts, pointers, successors and 8-bit probabilities of one shard."""
+    """Contexts, pointers, successors and 8-bit discounted counts of one shard."""
 
-    def __init__(self, contexts: np.ndarray, totals: np.ndarray, ctx: np.ndarray, nxt: np.ndarray, count: np.ndarray):
-        """``contexts`` sorted hashes with training counts; bigrams sorted by (context position, successor key)."""
+    def __init__(self, contexts: np.ndarray, ctx: np.ndarray, nxt: np.ndarray, count: np.ndarray):
+        """``contexts`` sorted hashes; bigrams sorted by (context position, successor key)."""
         n = len(contexts)
-        self.contexts, self.totals = contexts, totals
-        fan = np.bincount(ctx, minlength=n)
+        self.contexts = contexts
+        self.fan = fan = np.bincount(ctx, minlength=n)
         self.pointers = EliasFano.encode(np.concatenate([[0], np.cumsum(fan)]), len(ctx) + 1)
         # successors increase inside a context; the running context offset makes the level monotone
         # in relative keys: key scaled to the context's own fan-out keeps the universe small
@@ -109,12 +111,10 @@ class Trie:
             if n < 1 << (63 - KEY_BITS) else None
         if self.successors is None:
             raise ValueError("too many contexts in one shard: raise the number of shards")
-        seen = np.maximum(totals, 1)
-        p = np.log10((count - DISCOUNT) / seen[ctx]) if len(ctx) else np.zeros(0)
+        p = np.log10(count - DISCOUNT) if len(ctx) else np.zeros(0)
         self.book = np.unique(np.quantile(p, np.linspace(0, 1, 255), method="nearest")).astype(np.float32) if len(p) else np.zeros(1, np.float32)
         mid = (self.book[1:] + self.book[:-1]) / 2
         self.code = (np.searchsorted(mid, p) + 1).astype(np.uint8)          # 0: not seen
-        self.backoff = np.where(totals > 0, DISCOUNT * fan / seen, 1.0)
 
     def mapped(self, folder: str) -> "Trie":
         """Move the large levels to memory-mapped files of the folder."""
@@ -228,7 +228,17 @@ def _plan(r, shards: int):
     cur, ctx = place[tokens], place[prev]
     pair, at = np.unique(ctx * len(words) + cur, return_inverse=True)
     pc, pn = pair // len(words), pair % len(words)
-    return words, shard, cur, ctx, pc, pn, at, sizes, train, ends
+    # a bigram's shard is that of both words; pairs of a shard keep the order of their contexts
+    home = _home(words[pc], words[pn] >> np.uint64(64 - KEY_BITS), shards)
+    order = np.argsort(home, kind="stable")
+    place = np.empty(len(pc), dtype=np.int64)
+    place[order] = np.arange(len(pc))
+    return words, shard, cur, ctx, pc[order], pn[order], home[order], place[at], sizes, train, ends
+
+
+def _home(ctx: np.ndarray, key: np.ndarray, shards: int) -> np.ndarray:
+    mixed = (ctx ^ (key * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return ((mixed >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
 
 
 def _ask(packed: DataFrame, shards: int) -> DataFrame:
@@ -236,7 +246,7 @@ def _ask(packed: DataFrame, shards: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for r in b.itertuples():
-                words, shard, cur, ctx, pc, pn, at, sizes, train, ends = _plan(r, shards)
+                words, shard, cur, ctx, pc, pn, home, at, sizes, train, ends = _plan(r, shards)
                 wc = np.bincount(cur[train], minlength=len(words))
                 starts = np.zeros(len(words), dtype=np.int64)
                 first = (ends - sizes)[train[ends - 1]]
@@ -244,17 +254,18 @@ def _ask(packed: DataFrame, shards: int) -> DataFrame:
                 bc = np.bincount(at[train], minlength=len(pc))
                 key = words[pn] >> np.uint64(64 - KEY_BITS)
                 ws = np.searchsorted(shard, np.arange(shards + 1))
-                ps = np.searchsorted(shard[pc], np.arange(shards + 1)) if len(pc) else np.zeros(shards + 1, dtype=np.int64)
+                ps = np.searchsorted(home, np.arange(shards + 1))
                 rows = []
                 for s in range(shards):
                     w, p = slice(ws[s], ws[s + 1]), slice(ps[s], ps[s + 1])
-                    if ws[s] < ws[s + 1]:
+                    if ws[s] < ws[s + 1] or ps[s] < ps[s + 1]:
+                        heads, of = np.unique(words[pc[p]], return_inverse=True)
                         low = key[p].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BITS // 8]
                         rows.append((s, r.batch, words[w].tobytes(), wc[w].astype("<u4").tobytes(), starts[w].astype("<u4").tobytes(),
-                                     (pc[p] - ws[s]).astype("<u4").tobytes(), np.ascontiguousarray(low).tobytes(), bc[p].astype("<u4").tobytes()))
-                yield pd.DataFrame(rows, columns=["shard", "batch", "words", "count", "starts", "ctx", "key", "pairs"])
+                                     heads.tobytes(), of.astype("<u4").tobytes(), np.ascontiguousarray(low).tobytes(), bc[p].astype("<u4").tobytes()))
+                yield pd.DataFrame(rows, columns=["shard", "batch", "words", "count", "starts", "heads", "ctx", "key", "pairs"])
 
-    return packed.mapInPandas(run, "shard int, batch bigint, words binary, count binary, starts binary, ctx binary, key binary, pairs binary")
+    return packed.mapInPandas(run, "shard int, batch bigint, words binary, count binary, starts binary, heads binary, ctx binary, key binary, pairs binary")
 
 
 def _keys(raw: bytes) -> np.ndarray:
@@ -269,42 +280,75 @@ def _merge(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return u, np.bincount(at, weights=counts, minlength=len(u)).astype(np.int64)
 
 
-def _answer(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Build one shard's trie from all batches, then answer each batch."""
-    words = [np.frombuffer(w, dtype=np.uint64) for w in rows["words"]]
-    read = lambda c: [np.frombuffer(x, dtype="<u4").astype(np.int64) for x in rows[c]]
-    count, starts, ctx, pairs = (read(c) for c in ("count", "starts", "ctx", "pairs"))
-    nxt = [_keys(k) for k in rows["key"]]
-    contexts, total = _merge(np.concatenate(words), np.concatenate(count))
-    _, begun = _merge(np.concatenate(words), np.concatenate(starts))
-    own = [np.searchsorted(contexts, w) for w in words]         # positions of a batch's words
-    every_ctx = np.concatenate([o[c] for o, c in zip(own, ctx)])
-    every_nxt, every_n = np.concatenate(nxt), np.concatenate(pairs)
-    some = every_n > 0
-    order = np.lexsort((every_nxt[some], every_ctx[some]))
-    c, k, n = every_ctx[some][order], every_nxt[some][order], every_n[some][order]
-    del every_n, order
-    new = np.ones(len(c), dtype=bool)
-    new[1:] = (c[1:] != c[:-1]) | (k[1:] != k[:-1])
-    at = np.nonzero(new)[0]
-    n = np.add.reduceat(n, at) if len(at) else n
-    # what follows a context: its tokens, less the end mark that nothing follows, or the starts it stands for
-    is_end = contexts == np.uint64(word_hash(END))
-    trie = Trie(contexts, np.where(is_end, 0, total) + begun, c[at], k[at], n)
-    with tempfile.TemporaryDirectory() as folder:               # gone when the shard is done
-        trie = trie.mapped(folder)
-        codes = trie.find(every_ctx, every_nxt)
+ANSWER = ("batch bigint, shard int, words binary, count binary, seen binary, codes binary, book binary, "
+          "n_train bigint, n_words bigint, fans binary")
+
+
+def _answer(shards: int):
+    """Build one shard's trie from all batches, then answer each batch.
+
+    Rows without a batch carry the numbers of successors found here to the shards of their words.
+    """
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        words = [np.frombuffer(w, dtype=np.uint64) for w in rows["words"]]
+        heads = [np.frombuffer(w, dtype=np.uint64) for w in rows["heads"]]
+        read = lambda c: [np.frombuffer(x, dtype="<u4").astype(np.int64) for x in rows[c]]
+        count, starts, ctx, pairs = (read(c) for c in ("count", "starts", "ctx", "pairs"))
+        nxt = [_keys(k) for k in rows["key"]]
+        known, total = _merge(np.concatenate(words), np.concatenate(count))
+        _, begun = _merge(np.concatenate(words), np.concatenate(starts))
+        contexts = np.unique(np.concatenate(heads))
+        every_ctx = np.concatenate([np.searchsorted(contexts, h)[c] for h, c in zip(heads, ctx)])
+        every_nxt, every_n = np.concatenate(nxt), np.concatenate(pairs)
+        some = every_n > 0
+        order = np.lexsort((every_nxt[some], every_ctx[some]))
+        c, k, n = every_ctx[some][order], every_nxt[some][order], every_n[some][order]
+        del every_n, order
+        new = np.ones(len(c), dtype=bool)
+        new[1:] = (c[1:] != c[:-1]) | (k[1:] != k[:-1])
+        at = np.nonzero(new)[0]
+        n = np.add.reduceat(n, at) if len(at) else n
+        # what follows a context: its tokens, less the end mark that nothing follows, or the starts it stands for
+        seen = np.where(known == np.uint64(word_hash(END)), 0, total) + begun
+        trie = Trie(contexts, c[at], k[at], n)
+        fan = trie.fan
+        with tempfile.TemporaryDirectory() as folder:           # gone when the shard is done
+            trie = trie.mapped(folder)
+            codes = trie.find(every_ctx, every_nxt)
+            book = trie.book.astype("<f4").tobytes()
+            del trie
         cut = np.cumsum([0] + [len(x) for x in ctx])
-        out = [(b, key[0], codes[cut[i]:cut[i + 1]].tobytes(), total[o].astype("<i8").tobytes(),
-                trie.backoff[o].astype("<f8").tobytes())
-               for i, (b, o) in enumerate(zip(rows["batch"], own))]
-        book = trie.book.astype("<f4").tobytes()
-        del trie
-    got = pd.DataFrame(out, columns=["batch", "shard", "codes", "count", "backoff"])
-    got["book"] = book
-    got["n_train"] = [int(total.sum())] + [0] * (len(got) - 1)
-    got["n_words"] = [int((total > 0).sum())] + [0] * (len(got) - 1)
-    return got
+        own = [np.searchsorted(known, w) for w in words]        # positions of a batch's words
+        out = [(b, key[0], w.tobytes(), total[o].astype("<i8").tobytes(), seen[o].astype("<i8").tobytes(),
+                codes[cut[i]:cut[i + 1]].tobytes(), book, 0, 0, None)
+               for i, (b, w, o) in enumerate(zip(rows["batch"], words, own))]
+        out[0] = out[0][:7] + (int(total.sum()), int((total > 0).sum()), None)
+        to = (contexts % np.uint64(shards)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        order = order[fan[order] > 0]
+        ends = np.searchsorted(to[order], np.arange(shards + 1))
+        for s in np.unique(to[order]):
+            o = order[ends[s]:ends[s + 1]]
+            out.append((None, int(s), contexts[o].tobytes(), None, None, None, None, 0, 0, fan[o].astype("<u4").tobytes()))
+        got = pd.DataFrame(out, columns=[c.split()[0] for c in ANSWER.split(", ")])
+        return got.astype({"batch": "Int64"})
+
+    return run
+
+
+def _fans(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Successors of each batch's words of one shard, summed over the shards that found some."""
+    found = rows[rows["batch"].isna()]
+    asked = rows[rows["batch"].notna()]
+    words, fan = _merge(np.concatenate([np.zeros(0, dtype=np.uint64)] + [np.frombuffer(w, dtype=np.uint64) for w in found["words"]]),
+                        np.concatenate([np.zeros(0)] + [np.frombuffer(f, dtype="<u4") for f in found["fans"]]))
+    words, fan = np.append(words, np.uint64(0)), np.append(fan, 0)      # so that a search never leaves the arrays
+    out = []
+    for b, raw in zip(asked["batch"], asked["words"]):
+        own = np.frombuffer(raw, dtype=np.uint64)
+        at = np.searchsorted(words[:-1], own)
+        out.append((int(b), key[0], np.where((words[at] == own) & (at < len(words) - 1), fan[at], 0).astype("<i8").tobytes()))
+    return pd.DataFrame(out, columns=["batch", "shard", "fan"])
 
 
 def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text",
@@ -322,9 +366,9 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     packed = staged(_pack(rows.withColumn("f", F.coalesce(held_out, F.lit(True)))), "lm-packed")
     tokens = packed.agg(F.sum("n")).first()[0] or 0
     shards = max(min_shards, -(-tokens // shard_tokens))
-    answers = staged(_ask(packed, shards).groupBy("shard").applyInPandas(
-        _answer, "batch bigint, shard int, codes binary, count binary, backoff binary, book binary, n_train bigint, n_words bigint"),
-        "lm-answers")
+    answers = staged(_ask(packed, shards).groupBy("shard").applyInPandas(_answer(shards), ANSWER), "lm-answers")
+    fans = (answers.select("batch", "shard", "words", "fans").groupBy("shard")
+            .applyInPandas(_fans, "batch bigint, shard int, fan binary"))
     totals = answers.agg(F.sum("n_train").alias("n"), F.sum("n_words").alias("v")).first()
     n, v = totals.n or 0, totals.v or 0
 
@@ -332,16 +376,18 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
         right = right.sort_values("shard")
         out = []
         for r in left.itertuples():
-            words, shard, cur, ctx, pc, pn, at, sizes, train, ends = _plan(r, shards)
+            words, shard, cur, ctx, pc, pn, home, at, sizes, train, ends = _plan(r, shards)
             count = np.concatenate([np.frombuffer(x, dtype="<i8") for x in right["count"]])
-            backoff = np.concatenate([np.frombuffer(x, dtype="<f8") for x in right["backoff"]])
-            seen = []
+            total = np.concatenate([np.frombuffer(x, dtype="<i8") for x in right["seen"]])
+            fan = np.concatenate([np.frombuffer(x, dtype="<i8") for x in right["fan"]])
+            backoff = np.where(total > 0, DISCOUNT * fan / np.maximum(total, 1), 1.0)
+            counts = []
             for codes, book in zip(right["codes"], right["book"]):
                 code = np.frombuffer(codes, dtype=np.uint8)
                 value = np.concatenate([[0.0], 10.0 ** np.frombuffer(book, dtype="<f4").astype(float)])
-                seen.append(value[code])
+                counts.append(value[code])
             p1 = (count + 0.5) / (n + 0.5 * (v + 1))
-            p2 = np.concatenate(seen) + backoff[pc] * p1[pn]
+            p2 = np.concatenate(counts) / np.maximum(total, 1)[pc] + backoff[pc] * p1[pn]
             begin = ends - sizes
             out.append(pd.DataFrame({
                 "id": list(r.ids), "held_out": list(r.folds), "n_tokens": sizes,
@@ -352,5 +398,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
 
     shape = (f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
              "base_score double, score double")
-    return (packed.groupBy("batch").cogroup(answers.select("batch", "shard", "codes", "count", "backoff", "book").groupBy("batch"))
+    told = (answers.where("batch IS NOT NULL").select("batch", "shard", "codes", "count", "seen", "book")
+            .join(staged(fans, "lm-fans"), ["batch", "shard"]))
+    return (packed.groupBy("batch").cogroup(told.groupBy("batch"))
             .applyInPandas(finish, shape).withColumnRenamed("id", id_col))

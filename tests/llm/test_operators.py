@@ -409,6 +409,16 @@ def test_scores_match_a_plain_model(spark):
     assert lm.score(docs(spark, []), quality.held_out("id", 1)).count() == 0
 
 
+def test_a_frequent_context_is_spread_over_shards(spark):
+    """Half of all bigrams follow one word: no shard gets much more than its share."""
+    texts = [" ".join(f"hot w{i}x{k}" for k in range(200)) for i in range(40)]
+    table = docs(spark, texts).select(F.col("doc_id").alias("id"), F.lit(False).alias("f"), F.col("text").alias("t"))
+    load = Counter()
+    for r in lm._ask(lm._pack(table), 16).select("shard", F.length("pairs").alias("n")).collect():
+        load[r.shard] += r.n
+    assert max(load.values()) < 2 * sum(load.values()) / 16
+
+
 # --- 9: embeddings --------------------------------------------------------------------------------
 
 def test_embeddings_match_all_pairs(spark):
