@@ -14,14 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from safetylake.llm import bpe, decontaminate, line_dedup, quality, simhash
-from safetylake.llm.common import read, staged, stored, with_uid
+from safetylake.llm.common import numbered, read, staged
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
-    docs = stored(docs)
-    rejected = staged(quality.classify(docs, read(spark, sf_dir, "labels")).where("predicted = 0").select("_uid"), "rejected")
-    return with_uid(docs).join(rejected.hint("shuffle_hash"), "_uid", "left_anti").select(*docs.columns)
+    rows = numbered(docs, "quality-docs")
+    rejected = staged(quality.classify(rows, read(spark, sf_dir, "labels"), uid_col="_uid").where("predicted = 0").select("_uid"), "rejected")
+    return rows.join(rejected.hint("shuffle_hash"), "_uid", "left_anti").select(*docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,17 +34,17 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the smallest id."""
-    docs = stored(docs)
-    kept = staged(simhash.near_duplicates(docs).where("kept").select("_uid"), "kept")
-    return with_uid(docs).join(kept.hint("shuffle_hash"), "_uid", "left_semi").select(*docs.columns)
+    rows = numbered(docs, "simhash-docs")
+    kept = staged(simhash.near_duplicates(rows, uid_col="_uid").where("kept").select("_uid"), "kept")
+    return rows.join(kept.hint("shuffle_hash"), "_uid", "left_semi").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
-    docs = stored(docs)
-    found = decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+    rows = numbered(docs, "decon-docs")
+    found = decontaminate.decontaminate(rows, read(spark, sf_dir, "benchmark"), uid_col="_uid")
     leaked = staged(found.where(F.size("hit") > 0).select("_uid"), "leaked")
-    return with_uid(docs).join(leaked.hint("shuffle_hash"), "_uid", "left_anti").select(*docs.columns)
+    return rows.join(leaked.hint("shuffle_hash"), "_uid", "left_anti").select(*docs.columns)
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,12 +41,24 @@ def stored(df: DataFrame, label: str = "input") -> DataFrame:
 def with_uid(df: DataFrame, name: str = "_uid") -> DataFrame:
     """A row number that tells repeated rows apart.
 
-    Stable over repeated scans of one stored table, so a frame that is computed
-    (its order may change from run to run) must come from ``stored`` first.
+    Good for one scan only: even over a stored table a later scan may be split
+    otherwise. What is joined again on the number takes it from ``numbered``.
     """
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def numbered(df: DataFrame, label: str, name: str = "_uid") -> DataFrame:
+    """The frame written once with its row numbers, the same in every later scan."""
+    return staged(with_uid(df, name), label)
+
+
+def rows_of(df: DataFrame, uid_col: str | None, *cols: Column) -> DataFrame:
+    """``cols`` with ``_uid``: the stored number in ``uid_col``, or a new one for a single scan."""
+    if uid_col is None:
+        return with_uid(stored(df).select(*cols))
+    return df.select(F.col(uid_col).alias("_uid"), *cols)
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only; other letters stay as they are."""
     return F.translate(c, UPPER, LOWER)

@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, ascii_lower, membership, staged, stored, with_uid
+from .common import LOWER, UPPER, ascii_lower, membership, rows_of, staged
 
 #: Complement of the word class, before A-Z are lower-cased.
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -65,8 +65,8 @@ def item_windows(items: DataFrame, window: int, shingle: int, id_col: str, text_
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, shingle: int = 3, bits: int = 1 << 18,
                   doc_id: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
-                  item_text: str = "text") -> DataFrame:
-    """One row per document row: ``_uid``, id, ``n_words``, ``hit`` (word positions inside an
+                  item_text: str = "text", uid_col: str | None = None) -> DataFrame:
+    """One row per document row: ``_uid`` (``uid_col``, if given), id, ``n_words``, ``hit`` (word positions inside an
     occurrence of a window, sorted), ``items`` (their distinct ids).
 
     Null and empty texts have no words and no hits; an empty item table hits
@@ -74,7 +74,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, shingle:
     not listed. Repeated document rows each get a row, repeated items change
     nothing. Only the id and text columns are read, so extra columns cannot clash.
     """
-    base = with_uid(stored(docs).select(F.col(doc_id).alias("_id"), F.col(text_col).alias("_text")))
+    base = rows_of(docs, uid_col, F.col(doc_id).alias("_id"), F.col(text_col).alias("_text"))
     grams = staged(item_windows(items, window, shingle, item_id, item_text), "decon-grams")
     sizes = sorted(r.k for r in grams.select("k").distinct().collect())     # at most ``shingle`` values
     hashes = F.transform(words(F.col("_text")), lambda x: F.xxhash64(F.lower(x)))

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, stored, with_uid
+from .common import rows_of, staged
 
 N_STATS = 16
 _PUNCT = bytes(set(range(0x21, 0x7F)) - set(b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"))
@@ -58,7 +58,7 @@ def statistics(text: str | None) -> list[float]:
     ]
 
 
-def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", uid_col: str | None = None) -> DataFrame:
     """``(_uid, id, x)`` for each row, written to the shared folder: texts are read once."""
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -66,7 +66,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         for b in batches:
             yield pd.DataFrame({"_uid": b["_uid"], "id": b["id"], "x": [statistics(t) for t in b["t"]]})
 
-    rows = with_uid(stored(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("t")))
+    rows = rows_of(docs, uid_col, F.col(id_col).alias("id"), F.col(text_col).alias("t"))
     return staged(rows.mapInPandas(run, f"_uid bigint, id {kind}, x array<double>"), "quality-x")
 
 
@@ -184,15 +184,15 @@ def held_out(id_col: str = "doc_id", remainder: int = 0) -> Column:
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id",
-             text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """One row per document row: ``_uid``, id, ``held_out``, ``score``, ``predicted``.
+             text_col: str = "text", label_col: str = "quality", uid_col: str | None = None) -> DataFrame:
+    """One row per document row: ``_uid`` (``uid_col``, if given), id, ``held_out``, ``score``, ``predicted``.
 
     Learns from labelled rows that are not held out; several labels of one id are
     averaged, null labels and labels without a document are ignored. Null and
     empty texts have all statistics 0 and are scored like any other. Rows with a
     null id are scored, never learned from. Only the named columns are read.
     """
-    x = features(docs, id_col, text_col)
+    x = features(docs, id_col, text_col, uid_col)
     y = (labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
          .agg(F.avg(F.col(label_col).cast("double")).alias("y")))
     train = staged(x.where(~held_out("id")).join(y, "id").select("x", "y"), "quality-train")

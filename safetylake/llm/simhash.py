@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, staged, stored, with_uid
+from .common import components, rows_of, staged
 
 LANES = np.uint64(0x0101010101010101)
 
@@ -46,7 +46,7 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                 seed: int = 42) -> DataFrame:
+                 seed: int = 42, uid_col: str | None = None) -> DataFrame:
     """``(_uid, id, fp)``: one row per input row, ``fp`` the 64 bits as BIGINT."""
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             fp = np.fromiter((fingerprint(t, shingle, seed) for t in b["t"]), dtype=np.uint64, count=len(b))
             yield pd.DataFrame({"_uid": b["_uid"], "id": b["id"], "fp": fp.view(np.int64)})
 
-    return (with_uid(stored(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("t")))
+    return (rows_of(docs, uid_col, F.col(id_col).alias("id"), F.col(text_col).alias("t"))
             .mapInPandas(run, f"_uid bigint, id {kind}, fp bigint"))
 
 
@@ -105,8 +105,8 @@ def links(distinct: DataFrame, distance: int = 3) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                    distance: int = 3, seed: int = 42) -> DataFrame:
-    """One row per input row: ``_uid``, ``id_col``, ``fingerprint`` (16 hex digits), ``component_id``, ``kept``.
+                    distance: int = 3, seed: int = 42, uid_col: str | None = None) -> DataFrame:
+    """One row per input row: ``_uid`` (``uid_col``, if given), ``id_col``, ``fingerprint`` (16 hex digits), ``component_id``, ``kept``.
 
     ``component_id`` is the smallest id reachable over links of ``distance`` or
     fewer bits, the row's own included; ``kept`` marks one row of each component,
@@ -115,7 +115,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     is smallest only where all ids are null. An empty table gives no rows. Other
     columns are not read.
     """
-    fps = staged(fingerprints(docs, id_col, text_col, shingle, seed), "simhash-fp")
+    fps = staged(fingerprints(docs, id_col, text_col, shingle, seed, uid_col), "simhash-fp")
     low = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_uid"))
     groups = staged(fps.groupBy("fp").agg(low.alias("low")), "simhash-groups")
     comp = components(links(groups.select("fp"), distance), "simhash-cc")

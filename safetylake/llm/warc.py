@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import staged, stored, with_uid
+from .common import numbered, staged
 
 #: Fixed values of the format.
 VERSION = "WARC/1.1"
@@ -69,8 +69,8 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "2000-01-
     def line(c: Column) -> Column:
         return F.replace(F.replace(F.coalesce(c.cast("string"), F.lit("")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
 
-    p = with_uid(stored(pages).select(F.col(id_col).alias("id"), line(F.col(url_col)).alias("url"),
-                                      F.coalesce(F.col(html_col), F.lit("")).alias("html")))
+    p = numbered(pages.select(F.col(id_col).alias("id"), line(F.col(url_col)).alias("url"),
+                              F.coalesce(F.col(html_col), F.lit("")).alias("html")), "warc-pages")
     p = p.withColumn("bytes", F.octet_length("html")).withColumn("sha", base32_sha1(F.col("html")))
     first = staged(
         p.where(F.col("bytes") >= min_bytes).groupBy("sha").agg(F.min(F.struct("id", "_uid")).alias("m"), F.count("*").alias("c"))

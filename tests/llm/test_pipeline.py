@@ -37,3 +37,22 @@ def test_every_query_runs_whole(spark, name):
     key = "conv_id" if table == "conversations" else out.columns[0]
     want = read(spark, SF, table).agg(F.count_distinct(key)).first()[0] + (table == "conversations")
     assert out.count() == want or out.select(key).distinct().count() == want
+
+
+def test_row_numbers_survive_other_file_splits(spark, scratch):
+    """The input is split otherwise between an operator's scan and the scan that its decisions are joined to."""
+    schema = read(spark, SF, "documents").schema
+    rows = [(i, "a line that many files repeat" if i % 3 else f"own{i} words{i} of{i} number{i}", "en", "s", 9) for i in range(60)]
+    spark.createDataFrame(rows, schema).repartition(12, "doc_id").write.parquet(f"{scratch}/docs")
+    docs = spark.read.parquet(f"{scratch}/docs")
+    cost = "spark.sql.files.openCostInBytes"
+    old = spark.conf.get(cost)
+    try:
+        spark.conf.set(cost, "128m")
+        lines, near = corpus_pipeline.dedup_lines(spark, docs, SF), corpus_pipeline.dedup_documents(spark, docs, SF)
+        spark.conf.set(cost, "1k")
+        first = min(i for i in range(60) if i % 3)
+        assert {r.doc_id for r in lines.collect() if r.text} == {first} | set(range(0, 60, 3))
+        assert [r.doc_id for r in near.collect() if r.doc_id % 3] == [first]
+    finally:
+        spark.conf.set(cost, old)
