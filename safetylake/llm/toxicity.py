@@ -137,9 +137,10 @@ def fit(rows: DataFrame, n_terms: int = 64, l2: float = 1e-4, steps: int = 1500)
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic") -> Model:
-    """Learn from labelled rows that are not held out; at most ``max_rows`` ids, by a hash of the id.
+    """Learn from labelled rows that are not held out; at most ``max_rows`` rows, by a hash of the id.
 
-    An id with several labels is toxic if any says so; null labels and ids are left out.
+    An id with several rows in the documents counts once, with its smallest text
+    (nulls only where it has no other). An id with several labels is toxic if any says so; null labels and ids are left out.
     """
     picked = staged(
         labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
@@ -148,7 +149,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, id_col: st
     # the sample is bounded by max_rows, so it may be broadcast
     wanted = membership(picked, F.xxhash64("id"))
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-            .where(wanted(F.xxhash64("id"))).join(F.broadcast(picked), "id").select("t", "y"))
+            .where(wanted(F.xxhash64("id"))).join(F.broadcast(picked), "id")
+            .groupBy("id").agg(F.min("t").alias("t"), F.min("y").alias("y")).select("t", "y"))
     return fit(staged(rows, "toxicity-rows"))
 
 

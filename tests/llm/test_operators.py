@@ -464,3 +464,14 @@ def test_toxicity_catches_terms(spark):
     none = toxicity.train(docs(spark, texts), labels.limit(0))
     assert {r.grade for r in toxicity.score(docs(spark, texts[:3]), none).collect()} == {0}
     assert toxicity.score(docs(spark, []), model).count() == 0
+
+
+def test_toxicity_learns_one_row_an_id(spark, monkeypatch):
+    """An id with a third of all rows is one row of the sample."""
+    texts = [f"{'scumbag' if i % 4 == 0 else 'kind'} words of {i}" for i in range(40)]
+    ids = [1] * 20 + list(range(20, 40))
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(40)], "doc_id bigint, quality int, toxic int")
+    seen = {}
+    monkeypatch.setattr(toxicity, "fit", lambda rows: seen.update(n=rows.count()))
+    toxicity.train(docs(spark, texts, ids), labels)
+    assert seen["n"] == sum(quality.crc_remainder(i) != 0 for i in {1, *range(20, 40)})
