@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, embeddings, line_dedup, lm, quality, simhash, toxicity, warc
+from . import bpe, chat, decontaminate, embeddings, line_dedup, lm, merkle, quality, simhash, toxicity, warc
 from .common import read, staged
 from safetylake.session import scratch_path
 
@@ -60,6 +60,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(merkle.manifest(merkle.leaves(read(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_decontaminate": op2_decontaminate,
@@ -71,8 +75,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm": op8_lm,
     "op9_embeddings": op9_embeddings,
     "op10_toxicity": op10_toxicity,
+    "op12_merkle": op12_merkle,
 }
 
 ORACLES: dict[str, str] = {
     "op2_decontaminate": decontaminate.ORACLE,
+    "op12_merkle": merkle.ORACLE,
 }
