@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, decontaminate, embeddings, line_dedup, lm, merkle, quality, simhash, toxicity, warc
+from . import bpe, byte_bpe, chat, decontaminate, embeddings, line_dedup, lm, merkle, quality, repair, simhash, toxicity, warc
 from .common import read, staged
 from safetylake.session import scratch_path
 
@@ -60,10 +60,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip(read(spark, sf_dir, "documents"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.report(merkle.manifest(merkle.leaves(read(spark, sf_dir, "documents"))))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    turns = repair.damage(conversations)
+    return repair.report(turns, repair.repairs(turns, conversations))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_decontaminate": op2_decontaminate,
@@ -75,7 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm": op8_lm,
     "op9_embeddings": op9_embeddings,
     "op10_toxicity": op10_toxicity,
+    "op11_byte_bpe": op11_byte_bpe,
     "op12_merkle": op12_merkle,
+    "op13_repair": op13_repair,
 }
 
 ORACLES: dict[str, str] = {

@@ -33,7 +33,6 @@ from .ranking import ranked
 #: Children of a node, and levels climbed inside one task (a block of 3^6 nodes).
 WIDTH = 3
 LEVELS = 6
-BLOCK = WIDTH ** LEVELS
 
 #: Columns of a leaf, in the order they are hashed.
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
@@ -94,16 +93,16 @@ def descend(runs: dict[tuple[int, int], list[str]], levels: int, above: tuple[li
     return [out[i] for i in range(len(out))]
 
 
-def _levels(block: int, n: int) -> int:
+def _levels(block: int, n: int, levels: int) -> int:
     # Only the last block of a tree is not full, and a first block that is not full is the whole tree.
-    return LEVELS if block else height(n)
+    return levels if block else height(n)
 
 
-def _block() -> Column:
-    return F.floor(F.col("_rank") / BLOCK).cast("bigint").alias("_block")
+def _block(levels: int) -> Column:
+    return F.floor(F.col("_rank") / WIDTH ** levels).cast("bigint").alias("_block")
 
 
-def climbed(layer: DataFrame, label: str) -> list[DataFrame]:
+def climbed(layer: DataFrame, label: str, levels: int = LEVELS) -> list[DataFrame]:
     """The layers of every tree: nodes ``(_tree, _rank, digest)`` of one layer, then the tops of their
     blocks, and so on until each tree has one node."""
     def tops(table):
@@ -111,14 +110,14 @@ def climbed(layer: DataFrame, label: str) -> list[DataFrame]:
 
         table = table.sort_by("_rank")
         block = table["_block"][0].as_py()
-        top, _ = climb([d.hex() for d in table["digest"].to_pylist()], _levels(block, table.num_rows))
+        top, _ = climb([d.hex() for d in table["digest"].to_pylist()], _levels(block, table.num_rows, levels))
         return pa.table({"_tree": table["_tree"][:1], "_rank": pa.array([block], pa.int64()),
                          "digest": pa.array([bytes.fromhex(top)], pa.binary())})
 
     kind = layer.schema["_tree"].dataType.simpleString()
     layers = [layer]
     while True:
-        nodes = layers[-1].select("_tree", "_rank", "digest", _block())
+        nodes = layers[-1].select("_tree", "_rank", "digest", _block(levels))
         above = staged(nodes.groupBy("_tree", "_block").applyInArrow(tops, f"_tree {kind}, _rank bigint, digest binary"),
                        f"{label}-{len(layers)}")
         layers.append(above)
@@ -126,7 +125,7 @@ def climbed(layer: DataFrame, label: str) -> list[DataFrame]:
             return layers
 
 
-def _sender(names: list[str], more: list[str]):
+def _sender(names: list[str], more: list[str], most: int):
     """The reversed sweep of one block: its nodes and the message to its top in, its nodes with proofs out."""
     def proofs(table, message):
         import pyarrow as pa
@@ -134,7 +133,7 @@ def _sender(names: list[str], more: list[str]):
         if not (table.num_rows and message.num_rows):       # every block has one message, and the other way round
             raise ValueError("a block and its message do not meet")
         table = table.sort_by("_rank")
-        n, levels = table.num_rows, _levels(table["_block"][0].as_py(), table.num_rows)
+        n, levels = table.num_rows, _levels(table["_block"][0].as_py(), table.num_rows, most)
         _, runs = climb([d.hex() for d in table["digest"].to_pylist()], levels)
         left, right = zip(*descend(runs, levels, (message["left"][0].as_py(), message["right"][0].as_py())))
         made = {"left": pa.array(left, pa.list_(pa.string())), "right": pa.array(right, pa.list_(pa.string()))}
@@ -146,23 +145,24 @@ def _sender(names: list[str], more: list[str]):
     return proofs
 
 
-def descended(layers: list[DataFrame], messages: DataFrame, label: str) -> DataFrame:
+def descended(layers: list[DataFrame], messages: DataFrame, label: str, levels: int = LEVELS) -> DataFrame:
     """The first layer's rows with ``left`` and ``right``, their siblings level by level, given the
     messages ``(_tree, _rank, left, right, ...)`` to the last layer. Further columns of the messages go along."""
     more = [c for c in messages.columns if c not in ("_tree", "_rank")]
     for depth in range(len(layers) - 2, -1, -1):
         layer = layers[depth]
         shape = StructType([*layer.schema.fields, *[messages.schema[c] for c in more]])
-        out = (layer.select("*", _block()).groupBy("_tree", "_block")
+        out = (layer.select("*", _block(levels)).groupBy("_tree", "_block")
                .cogroup(messages.withColumnRenamed("_rank", "_block").groupBy("_tree", "_block"))
-               .applyInArrow(_sender(layer.columns, more), shape))
+               .applyInArrow(_sender(layer.columns, more, levels), shape))
         if not depth:
             return out
         messages = staged(out.select("_tree", "_rank", *more), f"{label}-down-{depth}")
     raise ValueError("no layers")
 
 
-def manifest(leaves: DataFrame, source_col: str = "source", id_col: str = "doc_id", leaf_col: str = "leaf") -> DataFrame:
+def manifest(leaves: DataFrame, source_col: str = "source", id_col: str = "doc_id", leaf_col: str = "leaf",
+             levels: int = LEVELS) -> DataFrame:
     """The rows of ``leaves`` with ``subroot``, ``root`` and the proof (``left``, ``right``: arrays of hex text).
 
     ``leaves`` holds hex digests in ``leaf_col``; its other columns stay as they are, whatever their
@@ -174,16 +174,16 @@ def manifest(leaves: DataFrame, source_col: str = "source", id_col: str = "doc_i
     base = leaves.select(F.col(source_col).alias("_tree"), F.col(id_col).alias("_id"),
                          F.unhex(leaf_col).alias("digest"), F.struct(*others).alias("row"))
     base = ranked(staged(base, "merkle-leaves"), ["_tree"], ["_id", "digest"], "merkle-order").drop("_id")
-    layers = climbed(staged(base, "merkle-0"), "merkle")
+    layers = climbed(staged(base, "merkle-0"), "merkle", levels)
 
     subroots = ranked(layers[-1].select(F.col("_tree").alias("source"), "digest"), [], ["source"], "merkle-sources")
-    upper = climbed(staged(subroots.withColumn("_tree", F.lit(0)), "merkle-top-0"), "merkle-top")
+    upper = climbed(staged(subroots.withColumn("_tree", F.lit(0)), "merkle-top-0"), "merkle-top", levels)
     none = F.array().cast("array<string>")
     start = upper[-1].select("_tree", "_rank", none.alias("left"), none.alias("right"), F.hex("digest").alias("root"))
-    heads = staged(descended(upper, start, "merkle-top").select(
+    heads = staged(descended(upper, start, "merkle-top", levels).select(
         F.col("source").alias("_tree"), F.lit(0).cast("bigint").alias("_rank"), "left", "right",
         F.lower(F.hex("digest")).alias("subroot"), F.lower("root").alias("root")), "merkle-heads")
-    return descended(layers, heads, "merkle").select(
+    return descended(layers, heads, "merkle", levels).select(
         "row.*", F.lower(F.hex("digest")).alias(leaf_col), "subroot", "root", "left", "right")
 
 
