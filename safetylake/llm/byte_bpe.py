@@ -19,6 +19,7 @@ file by its installed path (a parameter).
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from array import array
 from collections.abc import Iterator
@@ -30,46 +31,87 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 #: Entries a worker keeps of known pieces and of known pairs; beyond it a cache starts anew.
-KNOWN_PIECES = 500_000
+KNOWN_PIECES = 800_000
 KNOWN_PAIRS = 2_000_000
 #: Characters past its end that decide where a match of the splitting pattern ends.
 AHEAD = 2
 
 
+NEVER = 1 << 40
+
+
 class Ranks:
     """A vocabulary of byte strings with their merge ranks, which are the ids."""
 
     def __init__(self, tokens: dict[bytes, int]):
+        import ahocorasick
+
         self.id = tokens
         self.bytes = {i: t for t, i in tokens.items()}
         self.longest = max(map(len, tokens), default=1)
         self.pairs: dict[tuple[int, int], bool] = {}
-        # tokens spelled backwards, as nested dictionaries; -1 holds the id of the token that ends there
-        self.back: dict = {}
+        # Finds the tokens that end at each byte. What no merges lead to never stands in a longer string.
+        self.ends = ahocorasick.Automaton()
+        self.halves: dict[int, tuple[int, int]] = {}        # token -> what its last merge joins
         for t, i in tokens.items():
-            if self.merged(t) == [i]:           # what no merges lead to never stands in a longer string
-                node = self.back
-                for b in reversed(t):
-                    node = node.setdefault(b, {})
-                node[-1] = i
-
-    def merged(self, data: bytes) -> list[int]:
-        """BPE by its definition, for strings as short as two tokens: merge the pair of least rank, the leftmost of equals."""
+            parts = self.merged(t, least=2)
+            if len(t) == 1 or len(parts) == 2:
+                self.ends.add_word(t.decode("latin-1"), (len(t), i))
+                if len(t) > 1:
+                    self.halves[i] = parts[0], parts[1]
+        self.ends.make_automaton()
+        # a token's parts are merged before it, so its edges grow in the order of ranks
+        self.ordered = all(len(self.bytes[h]) == 1 or h < i for i, both in self.halves.items() for h in both)
+        self.edges: tuple[dict, dict] = ({}, {})
+
+    def merged(self, data: bytes, least: int = 1) -> list[int]:
+        """BPE by its definition, down to ``least`` parts: merge the pair of least rank, the leftmost of equals."""
         parts, get = [data[i:i + 1] for i in range(len(data))], self.id.get
-        while len(parts) > 1:
-            rank, at = min((get(parts[i] + parts[i + 1], 1 << 40), i) for i in range(len(parts) - 1))
-            if rank == 1 << 40:
+        while len(parts) > least:
+            rank, at = min((get(parts[i] + parts[i + 1], NEVER), i) for i in range(len(parts) - 1))
+            if rank == NEVER:
                 break
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return [self.id[p] for p in parts]
 
+    def _edge(self, token: int, side: int) -> list[tuple[bytes, int]]:
+        """The parts that stand at one end of a token while it is merged, each with the rank of the merge that ends it."""
+        got = self.edges[side].get(token)
+        if got is None:
+            parts = [token]
+            while parts[-1] in self.halves:
+                parts.append(self.halves[parts[-1]][side])
+            parts.reverse()
+            got = self.edges[side][token] = list(zip([self.bytes[p] for p in parts], [*parts[1:], NEVER]))
+        return got
+
     def fits(self, left: int, right: int) -> bool:
-        """Whether BPE leaves the bytes of the two tokens as these two tokens."""
-        known = self.pairs.get((left, right))
-        if known is None:
-            if len(self.pairs) >= KNOWN_PAIRS:
-                self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(self.bytes[left] + self.bytes[right]) == [left, right]
+        """Whether BPE leaves the bytes of the two tokens as these two tokens.
+
+        The parts at the seam are followed in the order of ranks: a merge across
+        it must not come before the merges that take its parts away. Of equal ranks the left one is first.
+        """
+        if not self.ordered:
+            return self.merged(self.bytes[left] + self.bytes[right]) == [left, right]
+        ours, theirs, get = iter(self._edge(left, 1)), iter(self._edge(right, 0)), self.id.get
+        a, a_ends = next(ours)
+        b, b_ends = next(theirs)
+        while True:
+            across = get(a + b, NEVER)
+            if across < a_ends and across <= b_ends and across != NEVER:
+                return False
+            if a_ends <= b_ends:
+                if a_ends == NEVER:
+                    return True
+                a, a_ends = next(ours)
+            else:
+                b, b_ends = next(theirs)
+
+    def fit(self, left: int, right: int) -> bool:
+        """The same, remembered."""
+        if len(self.pairs) >= KNOWN_PAIRS:
+            self.pairs.clear()
+        known = self.pairs[left, right] = self.fits(left, right)
         return known
 
 
@@ -77,33 +119,42 @@ class Prefixes:
     """The last token of every prefix of ``data``: ``last[i]`` ends the encoding of ``data[:i]``."""
 
     def __init__(self, ranks: Ranks, data: bytes = b""):
-        self.ranks, self.data, self.last = ranks, bytearray(), array("i", [-1])
+        self.ranks, self.data, self.last = ranks, bytearray(), [-1]
         self.append(data)
 
     def append(self, more: bytes) -> None:
+        start = len(self.data)
         self.data += more
-        for end in range(len(self.last), len(self.data) + 1):
-            self.last.append(self._last(end))
-
-    def _last(self, end: int) -> int:
-        data, last, pairs, node = self.data, self.last, self.ranks.pairs, self.ranks.back
-        found = []
-        at = end
-        while at:
-            node = node.get(data[at - 1])
-            if node is None:
-                break
-            at -= 1
-            if -1 in node:
-                found.append((at, node[-1]))
-        for at, token in reversed(found):       # the longest usually fits
-            if not at:
-                return token
-            before = last[at]
-            fits = pairs.get((before, token))
-            if fits if fits is not None else self.ranks.fits(before, token):
-                return token
-        raise ValueError(f"no token ends at byte {end}")
+        self._fill(start)
+
+    def _fill(self, start: int, old: list[int] | None = None, tail: int = 0) -> int:
+        """Entries after ``start``; stops early where those of the last ``tail`` bytes agree with ``old``. The number computed."""
+        data, last, ranks = self.data, self.last, self.ranks
+        known, fit = ranks.pairs.get, ranks.fit
+        skip = max(0, start - ranks.longest)
+        agreed, at = 0, start - skip            # the byte whose token is looked for
+        for here, (size, token) in ranks.ends.iter(data[skip:].decode("latin-1")):      # by end, the longest first
+            if here != at:
+                continue
+            begin = here + 1 - size + skip
+            if begin:
+                before = last[begin]
+                fits = known((before, token))
+                if fits is None:
+                    fits = fit(before, token)
+                if not fits:
+                    continue
+            last.append(token)
+            at += 1
+            if old is not None:
+                behind = at + skip - (len(data) - tail) - 1       # this entry's place in the old tail
+                agreed = agreed + 1 if behind >= 0 and token == old[behind] else 0
+                if agreed == ranks.longest:
+                    last.extend(old[behind + 1:])
+                    return at + skip - start
+        if len(last) != len(data) + 1:
+            raise ValueError(f"no token ends at byte {len(last)}")
+        return len(data) - start
 
     def ids(self, end: int | None = None) -> list[int]:
         """Encoding of the first ``end`` bytes, all by default."""
@@ -119,16 +170,7 @@ class Prefixes:
         tail, old = len(self.data) - stop, self.last[stop + 1:]
         self.data[start:stop] = new
         del self.last[start + 1:]
-        agreed, done = 0, 0
-        for end in range(start + 1, len(self.data) + 1):
-            self.last.append(self._last(end))
-            done += 1
-            behind = end - (len(self.data) - tail) - 1      # this entry's place in the old tail
-            agreed = agreed + 1 if behind >= 0 and self.last[end] == old[behind] else 0
-            if agreed == self.ranks.longest:
-                self.last.extend(old[behind + 1:])
-                break
-        return done
+        return self._fill(start, old, tail)
 
 
 class Encoder:
@@ -149,7 +191,7 @@ class Encoder:
 
     def _piece(self, piece: str) -> tuple[str, bytes]:
         ids = self.piece_ids(piece.encode())
-        got = ",".join(map(str, ids)), np.array(ids, dtype="<i4").tobytes()
+        got = ",".join(map(str, ids)), array("i", ids).tobytes()
         if len(piece) <= 64:
             if len(self.known) >= KNOWN_PIECES:
                 self.known.clear()
@@ -241,6 +283,7 @@ def load(path: str, pattern: str) -> Encoder:
     """One encoder per worker process."""
     if (path, pattern) not in _LOADED:
         _LOADED[path, pattern] = Encoder(path, pattern)
+        gc.freeze()         # the tables stay as long as the worker; the collector need not walk them
     return _LOADED[path, pattern]
 
 
