@@ -33,6 +33,8 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 #: Entries a worker keeps of known pieces and of known pairs; beyond it a cache starts anew.
 KNOWN_PIECES = 800_000
 KNOWN_PAIRS = 2_000_000
+#: Bytes of the pieces whose tables are filled together.
+AT_ONCE = 32
 #: Characters past its end that decide where a match of the splitting pattern ends.
 AHEAD = 2
 
@@ -107,6 +109,21 @@ class Ranks:
             else:
                 b, b_ends = next(theirs)
 
+    def trie(self) -> tuple[np.ndarray, np.ndarray]:
+        """``(next, token)``: the node after a node (0: none, 1: no bytes yet) and a byte, and the token a node spells (-1: none)."""
+        nodes: dict[tuple[int, int], int] = {}
+        ends: dict[int, int] = {}
+        for data, (_, token) in self.ends.items():
+            at = 1
+            for b in data.encode("latin-1"):
+                at = nodes.setdefault((at, b), len(nodes) + 2)
+            ends[at] = token
+        follow, token = np.zeros((len(nodes) + 2, 256), dtype=np.int32), np.full(len(nodes) + 2, -1, dtype=np.int32)
+        for (at, b), to in nodes.items():
+            follow[at, b] = to
+        token[list(ends)] = list(ends.values())
+        return follow, token
+
     def fit(self, left: int, right: int) -> bool:
         """The same, remembered."""
         if len(self.pairs) >= KNOWN_PAIRS:
@@ -173,6 +190,65 @@ class Prefixes:
         return self._fill(start, old, tail)
 
 
+class Tables:
+    """Prefix tables of many short byte strings at once: the same entries as ``Prefixes``, a column of bytes at a time."""
+
+    SLOTS = 1 << 20
+
+    def __init__(self, ranks: Ranks):
+        self.ranks = ranks
+        self.next, self.token = ranks.trie()
+        # answers of ``fits``, each at the place its pair hashes to; a later pair may take it
+        self.pair, self.answer = np.full(self.SLOTS, -1, dtype=np.int64), np.zeros(self.SLOTS, dtype=bool)
+
+    def _fits(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pairs = (left.astype(np.int64) << 32) | right
+        slots = ((pairs ^ (pairs >> 15)) * 0x9E3779B1 >> 7) & (self.SLOTS - 1)
+        out, known = self.answer[slots], self.pair[slots] == pairs
+        if not known.all():
+            new, where = np.unique(pairs[~known], return_inverse=True)
+            answers = np.array([self.ranks.fits(int(p >> 32), int(p & 0xFFFFFFFF)) for p in new], dtype=bool)
+            out[~known] = answers[where]
+            self.pair[slots[~known]], self.answer[slots[~known]] = pairs[~known], answers[where]
+        return out
+
+    def last(self, strings: list[bytes]) -> np.ndarray:
+        """Row ``i``, column ``j``: the token that ends the encoding of the first ``j`` bytes of string ``i``."""
+        sizes = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings))
+        width = int(sizes.max(initial=0))
+        data = np.frombuffer(b"".join([t.ljust(width, b"\0") for t in strings]), dtype=np.uint8).reshape(-1, width)
+        last = np.full((len(strings), width + 1), -1, dtype=np.int32)
+        nodes = np.empty((width, len(strings)), dtype=np.int32)         # by start: where the bytes since then lead
+        for end in range(1, width + 1):
+            byte = data[:, end - 1]
+            nodes[end - 1] = 1
+            open_ = np.flatnonzero(sizes >= end)
+            for start in range(max(0, end - self.ranks.longest), end):     # the longest first
+                nodes[start] = self.next[nodes[start], byte]
+                token = self.token[nodes[start, open_]]
+                some = np.flatnonzero(token >= 0)
+                if start and some.size:
+                    some = some[self._fits(last[open_[some], start], token[some])]
+                if some.size:
+                    last[open_[some], end] = token[some]
+                    rest = np.ones(open_.size, dtype=bool)
+                    rest[some] = False
+                    open_ = open_[rest]
+            if open_.size:
+                raise ValueError(f"no token ends at byte {end}")
+        return last
+
+    def ids(self, strings: list[bytes]) -> list[list[int]]:
+        sizes, out = self.ranks.bytes, []
+        for t, row in zip(strings, self.last(strings).tolist()):
+            end, ids = len(t), []
+            while end:
+                ids.append(row[end])
+                end -= len(sizes[row[end]])
+            out.append(ids[::-1])
+        return out
+
+
 class Encoder:
     """Splitting, encoding and decoding with one rank file."""
 
@@ -181,30 +257,67 @@ class Encoder:
 
         with open(path, "rb") as f:
             self.ranks = Ranks({base64.b64decode(t): int(i) for t, i in map(bytes.split, f)})
+        self.tables = Tables(self.ranks)
         # white space as Unicode has it; the module's own class has four control characters more
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         self.known: dict[str, tuple[str, bytes]] = {}       # piece -> (ids in decimal, ids as 32-bit integers)
 
-    def piece_ids(self, piece: bytes) -> list[int]:
-        whole = self.ranks.id.get(piece)
-        return Prefixes(self.ranks, piece).ids() if whole is None else [whole]
-
-    def _piece(self, piece: str) -> tuple[str, bytes]:
-        ids = self.piece_ids(piece.encode())
-        got = ",".join(map(str, ids)), array("i", ids).tobytes()
-        if len(piece) <= 64:
-            if len(self.known) >= KNOWN_PIECES:
-                self.known.clear()
-            self.known[piece] = got
-        return got
+    def _learn(self, pieces: set[str]) -> dict[str, tuple[str, bytes]]:
+        """What ``pieces`` encode to; the short ones by tables of many at once, in order of length so that rows are filled."""
+        found: dict[str, list[int]] = {}
+        short: list[tuple[int, bytes, str]] = []
+        for p in pieces:
+            data = p.encode()
+            if data in self.ranks.id:
+                found[p] = [self.ranks.id[data]]
+            elif len(data) > AT_ONCE:
+                found[p] = Prefixes(self.ranks, data).ids()
+            else:
+                short.append((len(data), data, p))
+        if len(short) < 64:         # too few to be worth columns
+            found |= {p: Prefixes(self.ranks, data).ids() for _, data, p in short}
+            short = []
+        short.sort()
+        for at in range(0, len(short), 4096):
+            part = short[at:at + 4096]
+            found |= zip([p for _, _, p in part], self.tables.ids([d for _, d, _ in part]))
+        return {p: (",".join(map(str, ids)), array("i", ids).tobytes()) for p, ids in found.items()}
+
+    def encode_all(self, texts: list[str | None]) -> list[tuple[str, bytes]]:
+        """Ids of each text in decimal, joined by commas, and as little-endian 32-bit integers; null is empty."""
+        split = [self.split.findall(t) if t else [] for t in texts]
+        pieces = set().union(*split)
+        new = {p for p in pieces if p not in self.known}
+        if len(self.known) + len(new) > KNOWN_PIECES:
+            self.known.clear()
+            new = pieces
+        known = self._learn(new)
+        if len(new) <= KNOWN_PIECES:
+            self.known |= known
+            known = self.known
+        out = []
+        for parts in split:
+            made = [known[p] for p in parts]
+            out.append((",".join([m[0] for m in made]), b"".join([m[1] for m in made])))
+        if known is self.known:
+            for p in [p for p in new if len(p) > 64]:
+                del known[p]            # long ones seldom come again
+        return out
 
     def encode(self, text: str | None) -> tuple[str, bytes]:
-        """Ids in decimal, joined by commas, and as little-endian 32-bit integers; null is empty."""
-        if not text:
-            return "", b""
-        get = self.known.get
-        made = [get(p) or self._piece(p) for p in self.split.findall(text)]
-        return ",".join([m[0] for m in made]), b"".join([m[1] for m in made])
+        return self.encode_all([text])[0]
+
+    def batches(self, texts: list[str | None], size: int = 1 << 21) -> Iterator[list[tuple[str, bytes]]]:
+        """``encode_all`` over runs of texts with about ``size`` characters, so that working space stays bounded."""
+        part, held = [], 0
+        for t in texts:
+            part.append(t)
+            held += len(t or "")
+            if held >= size:
+                yield self.encode_all(part)
+                part, held = [], 0
+        if part:
+            yield self.encode_all(part)
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.ranks.bytes.__getitem__, np.frombuffer(ids, dtype="<i4").tolist()))
@@ -308,10 +421,12 @@ def encode(docs: DataFrame, files: tuple[str, str] | None = None, text_col: str
         enc = load(*files)
         for b in batches:
             texts = b.column(0).field(text_col).to_pylist()
-            for at in range(0, len(texts), 256):        # bounded output batches
-                ids = [np.frombuffer(enc.encode(t)[1], dtype="<i4") for t in texts[at:at + 256]]
+            at = 0
+            for part in enc.batches(texts):
+                ids = [np.frombuffer(i, dtype="<i4") for _, i in part]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, 256), pa.array(ids, type=pa.list_(pa.int32()))], names=["row", "ids"])
+                    [b.column(0).slice(at, len(part)), pa.array(ids, type=pa.list_(pa.int32()))], names=["row", "ids"])
+                at += len(part)
 
     return docs.select(F.struct("*").alias("row")).mapInArrow(run, schema)
 
@@ -381,10 +496,9 @@ def round_trip(docs: DataFrame, files: tuple[str, str] | None = None, id_col: st
         enc = load(*files)
         for b in batches:
             rows = []
-            for t in b["t"]:
-                shown, ids = enc.encode(t)
-                rows.append((len(ids) // 4, hashlib.sha256(shown.encode()).hexdigest(),
-                             hashlib.sha256(enc.decode(ids)).hexdigest()))
+            for part in enc.batches(b["t"].tolist()):
+                rows += [(len(ids) // 4, hashlib.sha256(shown.encode()).hexdigest(),
+                          hashlib.sha256(enc.decode(ids)).hexdigest()) for shown, ids in part]
             out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
             out.insert(0, "i", b["i"].array)
             yield out
