@@ -11,7 +11,8 @@ into NULL (and is counted by a parse rule) instead of failing the dataset.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -223,7 +224,12 @@ def stage_adverse_events(raw: DataFrame, strict: bool = False, keep_source: bool
                         upper_trim("_reaction").alias("reaction_name"), *sources)
 
 
-def adverse_metrics(raw: DataFrame, rules: list[Rule], dataset: str = "clean_adverse_events") -> DataFrame:
+#: Columns that differ between the pairs of one report.
+PAIR_COLUMNS = ("product_name", "drug_indication", "reaction_name")
+
+
+def adverse_metrics(raw: DataFrame, rules: list[Rule], dataset: str = "clean_adverse_events",
+                    output: list[Rule] | None = None) -> DataFrame:
     """Rule metrics over the pair rows of ``clean_adverse_events``.
 
     When every rule reads only report-level columns, all pairs of a report
@@ -231,12 +237,10 @@ def adverse_metrics(raw: DataFrame, rules: list[Rule], dataset: str = "clean_adv
     pairs each expands into: the same numbers without exploding anything.
     Otherwise they are counted over the exploded rows.
     """
-    reports = stage_adverse_reports(raw, keep_source=True)
-    try:
-        reports.select(*[r.column() for r in rules]).schema
-    except AnalysisException:
-        return rule_metrics(stage_adverse_events(raw, keep_source=True), rules, dataset)
-    return rule_metrics(reports, rules, dataset, weight="_pairs")
+    reads = re.compile(rf"\b({'|'.join(PAIR_COLUMNS)})\b", re.IGNORECASE)
+    if any(reads.search(r.predicate) for r in [*rules, *(output or [])]):
+        return rule_metrics(stage_adverse_events(raw, keep_source=True), rules, dataset, output=output)
+    return rule_metrics(stage_adverse_reports(raw, keep_source=True), rules, dataset, weight="_pairs", output=output)
 
 
 def clean_adverse_events(raw: DataFrame, strict: bool = False) -> DataFrame:
@@ -246,23 +250,22 @@ def clean_adverse_events(raw: DataFrame, strict: bool = False) -> DataFrame:
 
 # ---- quality metrics of both populations -------------------------------------------
 
-def products_quality(raw: DataFrame) -> DataFrame:
-    """Rule metrics of ``clean_products`` before its drop rules and dedupe, and of its rows."""
+def products_quality(raw: DataFrame, silver: DataFrame | None = None) -> DataFrame:
+    """Rule metrics of ``clean_products`` before its drop rules and dedupe, and of its rows (``silver`` if they are stored)."""
     rules, name = PRODUCT_RULES + PRODUCT_CHECKS, "clean_products"
     return (rule_metrics(stage_products(raw), rules, name)
-            .unionByName(rule_metrics(clean_products(raw), rules, name, stage=OUTPUT)))
+            .unionByName(rule_metrics(clean_products(raw) if silver is None else silver, rules, name, stage=OUTPUT)))
 
 
-def enforcement_quality(raw: DataFrame) -> DataFrame:
+def enforcement_quality(raw: DataFrame, silver: DataFrame | None = None) -> DataFrame:
     """The same for ``clean_enforcement``; the parse checks need source texts, so only the input has them."""
     name = "clean_enforcement"
     after = ENFORCEMENT_RULES + [c for c in ENFORCEMENT_CHECKS if "_src_" not in c.predicate]
     return (rule_metrics(stage_enforcement(raw, keep_source=True), ENFORCEMENT_RULES + ENFORCEMENT_CHECKS, name)
-            .unionByName(rule_metrics(clean_enforcement(raw), after, name, stage=OUTPUT)))
+            .unionByName(rule_metrics(clean_enforcement(raw) if silver is None else silver, after, name, stage=OUTPUT)))
 
 
-def adverse_quality(raw: DataFrame) -> DataFrame:
-    """The same for ``clean_adverse_events``: it has no dedupe, so its rows are the pairs of reports that pass."""
-    passed = apply_rules(stage_adverse_reports(raw), ADVERSE_RULES)
-    return (adverse_metrics(raw, ADVERSE_RULES + ADVERSE_CHECKS)
-            .unionByName(rule_metrics(passed, ADVERSE_RULES, "clean_adverse_events", "_pairs", OUTPUT)))
+def adverse_quality(raw: DataFrame, silver: DataFrame | None = None) -> DataFrame:
+    """The same for ``clean_adverse_events``: it has no dedupe, so its rows are the pairs of reports that
+    pass, and one pass over the reports measures both populations."""
+    return adverse_metrics(raw, ADVERSE_RULES + ADVERSE_CHECKS, output=ADVERSE_RULES)

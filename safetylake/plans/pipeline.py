@@ -83,8 +83,7 @@ def _chains() -> list[list[Dataset]]:
 
 def _build_chain(spark: SparkSession, chain: list[Dataset], sources: dict[str, str], out_dir: str,
                  with_metrics: bool, multiline: bool, written: dict[str, str]) -> None:
-    # A dataset's quality metrics read only its inputs, so they are computed
-    # alongside the dataset itself rather than before it.
+    # A dataset's quality metrics read its inputs and its rows as written, while the next dataset is built.
     with ThreadPoolExecutor(max_workers=1) as side:
         pending: list = []
         for ds in chain:
@@ -93,15 +92,15 @@ def _build_chain(spark: SparkSession, chain: list[Dataset], sources: dict[str, s
             else:
                 inputs = [spark.read.parquet(written[i]) for i in ds.inputs]
                 df = ds.build(*inputs)
-                if with_metrics and ds.metrics is not None:
-                    # records that did not parse have no fields, so only their kept text tells of them
-                    metrics = ds.metrics(*inputs).unionByName(
-                        quality.rule_metrics(inputs[0], [RECORD_READABLE], ds.name))
-                    pending.append(side.submit(
-                        metrics.write.mode("overwrite").parquet, f"{out_dir}/_quality/{ds.name}"))
             path = f"{out_dir}/{ds.name}"
             df.write.mode("overwrite").parquet(path)
             written[ds.name] = path
+            if with_metrics and ds.metrics is not None:
+                # records that did not parse have no fields, so only their kept text tells of them
+                metrics = ds.metrics(*inputs, spark.read.parquet(path)).unionByName(
+                    quality.rule_metrics(inputs[0], [RECORD_READABLE], ds.name))
+                pending.append(side.submit(
+                    metrics.write.mode("overwrite").parquet, f"{out_dir}/_quality/{ds.name}"))
             if with_metrics and ds.primary_key:
                 # The key contract the keyed sync relies on, checked on what was written.
                 violations = changes.pk_violations(spark.read.parquet(path), list(ds.primary_key), ds.name)
@@ -146,6 +145,11 @@ def quoted_name(*parts: str) -> str:
     return ".".join("`" + p.replace("`", "``") + "`" for p in parts)
 
 
+def _quoted(text: str) -> str:
+    """A string literal of the engine's SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def register_tables(spark: SparkSession, paths: dict[str, str], database: str) -> list[str]:
     """Register written datasets as external tables of ``database`` with their
     comment and properties (tier, primary key, change feed), so they resolve
@@ -161,13 +165,12 @@ def register_tables(spark: SparkSession, paths: dict[str, str], database: str) -
             props["primary_key"] = ",".join(ds.primary_key)
         if ds.change_feed:
             props["change_feed"] = "true"
-        prop_sql = ", ".join(f"'{k}' = '{v}'" for k, v in props.items())
+        prop_sql = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in props.items())
         full = quoted_name(database, ds.name)
         spark.sql(f"DROP TABLE IF EXISTS {full}")
-        location = paths[ds.name].replace("'", "\\'")
-        comment = ds.comment.replace("'", "\\'")
-        spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{location}' "
-                  f"COMMENT '{comment}' TBLPROPERTIES ({prop_sql})")
+        location, comment = _quoted(paths[ds.name]), _quoted(ds.comment)
+        spark.sql(f"CREATE TABLE {full} USING parquet LOCATION {location} "
+                  f"COMMENT {comment} TBLPROPERTIES ({prop_sql})")
         names.append(full)
     return names
 

@@ -236,3 +236,78 @@ def next_adverse_summary(old: DataFrame) -> DataFrame:
     return _evolve(old, _pair_h(),
                    "event_count", F.col("event_count") + 1,
                    "latest_report", "reaction_name", F.concat(F.col("reaction_name"), F.lit(" (NEW)")))
+
+
+# ---------------------------------------------------------------------------
+# Second delivery of a raw feed, by the same rules on the raw key's digits:
+# what a later run of the pipeline reads. Copies under a new key keep their
+# other fields. Records without a key stay as they are.
+# ---------------------------------------------------------------------------
+
+def next_raw_products(raw: DataFrame) -> DataFrame:
+    return _evolve(raw, _key_digits("product_ndc"),
+                   "labeler_name", F.concat(F.col("labeler_name"), F.lit("(revised)")),
+                   "brand_name", "product_ndc", F.concat(F.rtrim("product_ndc"), F.lit("-R")))
+
+
+def next_raw_enforcement(raw: DataFrame) -> DataFrame:
+    return _evolve(raw, _key_digits("recall_number"),
+                   "product_description", F.concat(F.col("product_description"), F.lit(" (revised)")),
+                   "city", "recall_number", F.concat(F.col("recall_number"), F.lit("-R")))
+
+
+def next_raw_adverse(raw: DataFrame) -> DataFrame:
+    return _evolve(raw, _key_digits("safetyreportid"),
+                   "serious", F.lit("1"), "receivedate",
+                   "safetyreportid", F.concat(F.col("safetyreportid"), F.lit("9")))
+
+
+NEXT_RAW = {
+    "products": next_raw_products,
+    "enforcement": next_raw_enforcement,
+    "adverse": next_raw_adverse,
+}
+
+
+# ---------------------------------------------------------------------------
+# A delivery whose records do not fit the declared schema: a nested field that
+# is not declared (``openfda``, in records that have a
+# key), a declared field that is gone, one that changed its type, and an
+# undeclared field inside nested data of the reports.
+# ---------------------------------------------------------------------------
+
+def _undeclared(key: str, words: str) -> Column:
+    return F.when(F.col(key).isNotNull(), F.struct(
+        F.length(words).alias("count"), F.upper(words).alias("maker"), F.array(F.lit("a"), F.col(key)).alias("tags"))).alias("openfda")
+
+
+def drifted_products(raw: DataFrame) -> DataFrame:
+    return raw.drop("marketing_category").withColumn("dosage_form", F.length("dosage_form")).select(
+        "*", _undeclared("product_ndc", "labeler_name"))
+
+
+def drifted_enforcement(raw: DataFrame) -> DataFrame:
+    return raw.drop("voluntary_mandated").withColumn("country", F.array("country")).select(
+        "*", _undeclared("recall_number", "recalling_firm"))
+
+
+def drifted_adverse(raw: DataFrame) -> DataFrame:
+    patient = F.col("patient").dropFields("patientsex").withField("weight", F.length("receivedate").cast("double") + 0.5)
+    return raw.withColumns({"patient": patient, "serious": F.col("serious") == "1"}).select(
+        "*", _undeclared("safetyreportid", "receivedate"))
+
+
+DRIFTED = {
+    "products": drifted_products,
+    "enforcement": drifted_enforcement,
+    "adverse": drifted_adverse,
+}
+
+
+def array_files(raw: DataFrame, path: str, size: int = 500) -> str:
+    """Write records as JSON array files, as ``json.dumps(list)`` would: ``size`` records an array, several arrays in a file."""
+    text = raw.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("r"))
+    parts = text.withColumn("_g", F.floor(F.monotonically_increasing_id() / size))
+    (parts.groupBy("_g").agg(F.concat(F.lit("["), F.array_join(F.collect_list("r"), ", "), F.lit("]")).alias("value"))
+     .select("value").write.mode("overwrite").text(path))
+    return path

@@ -37,10 +37,12 @@ def cut_pages(records: DataFrame, order: list[Column | str], page_size: int = 10
 
     ``short_page=(page, rows)`` keeps only the first ``rows`` records of that
     page, to produce a short page in the middle of a feed. Each group holds at
-    most ``page_size`` records.
+    most ``page_size`` records. Where the records fill their pages, an empty page
+    follows the last one, as the upstream answers a request beyond its end.
     """
     fields = records.columns
     idx = row_index(records, order)
+    total = idx.agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") % page_size == 0)
     page = F.floor(F.col("_idx") / page_size).cast("bigint")
     idx = idx.withColumn("_page", page)
     if short_page is not None:
@@ -49,10 +51,12 @@ def cut_pages(records: DataFrame, order: list[Column | str], page_size: int = 10
     grouped = idx.groupBy("_page").agg(
         F.sort_array(F.collect_list(F.struct(F.col("_idx").alias("_i"),
                                              *[F.col(c) for c in fields]))).alias("_recs"))
-    return grouped.select(
+    pages = grouped.select(
         (F.col("_page") * page_size).alias("skip"),
         F.transform("_recs", lambda r: F.struct(*[r[c].alias(c) for c in fields])).alias("results"),
     )
+    end = total.select(F.col("_n").alias("skip"), F.array().cast(pages.schema["results"].dataType).alias("results"))
+    return pages.unionByName(end)
 
 
 def land_pages_files(spark: SparkSession, raw_with_seq: DataFrame, which: str, page_size: int = 100,

@@ -1,5 +1,7 @@
 """Change feed, keyed apply, primary-key checks, triggered streaming sync."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from safetylake.operators import changes
@@ -44,23 +46,71 @@ def test_streaming_sync_applies_commits_in_order_and_replays_safely(spark, scrat
     v0 = spark.createDataFrame([("1", "x", 1), ("2", "y", 2)], SCHEMA)
     v1 = spark.createDataFrame([("1", "x", 10), ("3", "z", 3)], SCHEMA)
     v2 = spark.createDataFrame([("1", "x", 11), ("3", "z", 3), ("4", "q", 4)], SCHEMA)
-    base, feed, target, ckpt = (f"{scratch}/{n}" for n in ("base", "feed", "target", "ckpt"))
-    v0.write.parquet(base)
+    feed, copy, ckpt = (f"{scratch}/{n}" for n in ("feed", "copy", "ckpt"))
+    sync.seed(v0, ["k"], copy)
     sync.publish_changes(v0, v1, ["k"], 1, feed)
     sync.publish_changes(v1, v2, ["k"], 2, feed)
     schema = spark.read.parquet(feed).schema
-    q = sync.start_sync(spark, feed, schema, base, target, ["k"], ckpt)
-    q.awaitTermination()
-    last = q.lastProgress["batchId"]
-    assert as_set(spark.read.parquet(sync.version_path(target, last))) == as_set(v2)
-    # Replaying the same batch (as after a failure before commit) gives the same copy.
-    batch = spark.read.parquet(feed)
-    prev = base if last == 0 else sync.version_path(target, last - 1)
-    # a trigger with nothing new keeps the current version
-    sync.start_sync(spark, feed, schema, base, target, ["k"], ckpt).awaitTermination()
-    assert sync.committed(spark, target) == last and as_set(sync.current(spark, base, target)) == as_set(v2)
-    again = changes.apply_changes(spark.read.parquet(prev), sync.latest_changes(batch, ["k"]), ["k"])
-    assert as_set(again) == as_set(v2)
+    sync.start_sync(spark, feed, schema, copy, ["k"], ckpt).awaitTermination()
+    assert as_set(sync.current(spark, copy)) == as_set(v2)
+    # a trigger with nothing new, and a replay of everything, keep the copy
+    sync.start_sync(spark, feed, schema, copy, ["k"], ckpt).awaitTermination()
+    sync.apply_feed(spark.read.parquet(feed), ["k"], copy)
+    assert as_set(sync.current(spark, copy)) == as_set(v2)
+
+
+def commits(spark):
+    versions = [spark.createDataFrame(rows, SCHEMA) for rows in (
+        [("1", "a", 1), ("2", "b", 2), ("3", "c", 3)],
+        [("1", "A", 1), ("3", "c", 3), ("4", "d", None)],          # 2 goes, 4 comes
+        [("1", "A", 1), ("2", "again", 2), ("4", "d", 4)],         # 2 is back, 3 goes
+        [("1", None, 9), ("2", "again", 2)])]
+    return versions, [changes.snapshot_diff(a, b, ["k"]).withColumn(changes.COMMIT_VERSION, F.lit(i).cast("long"))
+                      for i, (a, b) in enumerate(zip(versions, versions[1:]), 1)]
+
+
+def test_commits_out_of_order_late_or_repeated_give_the_last_version(spark, scratch):
+    versions, feeds = commits(spark)
+    for n, order in enumerate([(2, 0, 1), (1, 2, 0, 1), (2, 1, 0), (0, 2, 2, 1)]):
+        copy = f"{scratch}/copy{n}"
+        sync.seed(versions[0], ["k"], copy, buckets=4)
+        for i in order:
+            sync.apply_feed(feeds[i], ["k"], copy, buckets=4)
+        assert as_set(sync.current(spark, copy, buckets=4)) == as_set(versions[-1])
+
+
+def test_streamed_commits_in_the_wrong_order(spark, scratch):
+    versions, feeds = commits(spark)
+    feed, copy, ckpt = (f"{scratch}/{n}" for n in ("feed", "copy", "ckpt"))
+    sync.seed(versions[0], ["k"], copy)
+    schema = feeds[0].schema
+    for i in (2, 0, 1, 1):          # a trigger after each delivery, the last one repeated
+        feeds[i].write.mode("append").parquet(feed)
+        sync.start_sync(spark, feed, schema, copy, ["k"], ckpt).awaitTermination()
+    assert as_set(sync.current(spark, copy)) == as_set(versions[-1])
+
+
+def files(folder):
+    return {os.path.join(d, f) for d, _, names in os.walk(folder) for f in names if f.endswith(".parquet")}
+
+
+def test_a_one_key_feed_rewrites_one_partition_and_leaves_nothing_behind(spark, scratch):
+    base = spark.range(500).selectExpr("CAST(id AS STRING) AS k", "'a' AS a", "CAST(id AS INT) AS b")
+    copy = f"{scratch}/copy"
+    sync.seed(base, ["k"], copy, buckets=16)
+    before = files(copy)
+    feed = spark.createDataFrame([("7", "new", 7, "update_postimage", 1)], SCHEMA + ", _change_type string, _commit_version long")
+    assert len(sync.apply_feed(feed, ["k"], copy, buckets=16)) == 1
+    after = files(copy)
+    changed = {os.path.dirname(f) for f in before ^ after}
+    assert len(changed) == 1 and len(after) == len(before) == 16
+    want = as_set(base.filter("k <> '7'")) | {("7", "new", 7)}
+    assert as_set(sync.current(spark, copy, buckets=16)) == want
+    # the last row of a partition goes too
+    gone = base.withColumns({"_change_type": F.lit("delete"), "_commit_version": F.lit(2).cast("long")})
+    assert len(sync.apply_feed(gone, ["k"], copy, buckets=16)) == 16
+    assert sync.current(spark, copy, buckets=16).count() == 0
+    assert sync.apply_feed(gone.limit(0), ["k"], copy, buckets=16) == []
 
 
 def test_latest_changes_prefers_later_commit(spark):

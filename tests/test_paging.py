@@ -77,7 +77,21 @@ def test_missing_or_repeated_page_fails(spark, skips):
 
 def test_pages_beyond_the_stop_do_not_matter(spark):
     verify_pages(envelopes(spark, [(0, list(range(100))), (100, [1]), (700, [2])]))
-    verify_pages(envelopes(spark, []))
+
+
+@pytest.mark.parametrize("skips, limit", [([], None), ([], 100), ([0, 100], None), ([0, 100], 300)])
+def test_a_feed_must_not_end_after_a_full_page(spark, skips, limit):
+    with pytest.raises(ValueError, match="no page at"):
+        verify_pages(envelopes(spark, [(s, list(range(100))) for s in skips]), limit)
+    verify_pages(envelopes(spark, [(s, list(range(100))) for s in skips] + [(len(skips) * 100, [])]), limit)
+    verify_pages(envelopes(spark, [(s, list(range(100))) for s in skips]), len(skips) * 100)
+
+
+def test_full_pages_are_followed_by_an_empty_one(spark):
+    for n in (0, 200):
+        env = cut_pages(spark.range(n).select(F.col("id").cast("int").alias("v")), ["v"], page_size=100)
+        assert {r.skip: len(r.results) for r in env.collect()} == {s: 100 for s in range(0, n, 100)} | {n: 0}
+        verify_pages(env)
 
 
 def test_unreadable_page_fails(spark, scratch):
