@@ -309,8 +309,9 @@ def test_line_leaders_lose_no_group(spark):
             w[rng.randrange(80)] = f"v{rng.randrange(99)}"
         texts.append(" ".join(w))
     table = docs(spark, texts)
-    src = table.select(F.col("doc_id").alias("_uid"), F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
-    fp = {r._id: r.fp for r in line_dedup.line_table(src, 3).collect()}
+    words = table.select("doc_id", F.size(F.split("text", " ")).alias("n"), F.transform(
+        F.filter(line_dedup.line_words(F.col("text")), lambda w: w != ""), lambda w: F.xxhash64(w)).alias("h"))
+    fp = {r.doc_id: r.fp for r in line_dedup.with_simhash(words).collect()}
 
     def edits(a, b):
         row = list(range(len(b) + 1))
@@ -339,38 +340,57 @@ def word_edits(a, b):
     return row[-1]
 
 
-def test_lines_find_every_pair_at_the_similarity(spark):
-    """Production parameters: the groups are those of all pairs at 0.8, of any length and kind of edit."""
+def test_lines_keep_what_is_not_similar(spark):
+    """Two lines of ten words with four edits; of the new words two pairs share a cheap character."""
+    a = "same words here w345 w274 and one more line yes".split()
+    b = "same words here w57 w304 and other much line yes".split()
+    assert word_edits(a, b) == 4
+    pairs = spark.createDataFrame([(a, b, 2), (a, b, 4), (a, a, 0), (["x"] * 300, ["x"] * 250, 50), (["x"] * 300, ["x"] * 250, 49)],
+                                  "a array<string>, b array<string>, most int")
+    pairs = pairs.select(*[F.transform(c, lambda w: F.xxhash64(w)).alias(c) for c in "ab"], "most")
+    got = pairs.select(line_dedup.within(F.col("a"), F.col("b"), F.col("most")).alias("near")).collect()
+    assert [r.near for r in got] == [False, True, True, True, False]
+    cheap = pairs.limit(1).select((F.call_function("levenshtein", *[line_dedup.spelled(F.col(c)) for c in "ab"], F.lit(2)) >= 0).alias("x"))
+    assert cheap.first().x          # by its characters alone the pair would pass
+    texts = [" ".join(a), " ".join(b)]
+    got = {r.doc_id: r.text for r in line_dedup.report(line_dedup.dedup_lines(docs(spark, texts), distance=8)).collect()}
+    assert got == dict(enumerate(texts))
+
+
+def test_line_links_are_those_of_distance_and_similarity(spark):
+    """Production parameters against all pairs: every pair within the distance and the similarity, and no other."""
     rng = random.Random(20)
     lines = []
-    for n in (3, 4, 5, 6, 7, 8, 9, 10, 12, 14, 15, 16, 20, 25, 33, 50, 60, 90, 130):
+    for n in (3, 5, 8, 12, 20, 33, 60, 90, 130, 200):
         base = [f"w{rng.randrange(500)}" for _ in range(n)]
         lines.append(base)
-        for k in range(4):
+        for k in range(6):
             w = list(base)
-            for _ in range(rng.choice((1, n // 10, n // 5, n // 4))):
+            for _ in range(rng.choice((1, 1, 2, n // 10, n // 5))):
                 at, kind = rng.randrange(len(w)), rng.randrange(3)
                 w[at:at + (kind != 1)] = [] if kind == 2 and len(w) > 3 else [f"v{rng.randrange(500)}"]
             lines.append(w)
     lines += [["x"] * 300, ["x"] * 250, ["x"] * 230]
+    table = spark.createDataFrame([(i, len(w), w) for i, w in enumerate(lines)], "i int, n int, w array<string>")
+    fp = {r.i: r.fp for r in line_dedup.with_simhash(table.select("i", "n", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))).collect()}
     label = list(range(len(lines)))
     linked = [(i, j) for i, a in enumerate(lines) for j, b in enumerate(lines[:i])
-              if word_edits(a, b) <= math.floor(max(len(a), len(b)) * 0.2 + 1e-9)]
+              if bin((fp[i] ^ fp[j]) % (1 << 64)).count("1") <= 3
+              and word_edits(a, b) <= math.floor(max(len(a), len(b)) * 0.2 + 1e-9)]
     for _ in lines:
         for i, j in linked:
             label[i] = label[j] = min(label[i], label[j])
     got = {r.doc_id: r.text for r in line_dedup.report(line_dedup.dedup_lines(docs(spark, [" ".join(w) for w in lines]))).collect()}
-    assert len(linked) > 60 and {i for i, t in got.items() if t} == set(label)
+    assert len(linked) > 15 and {i for i, t in got.items() if t} == set(label)
 
 
 def test_short_lines_repeat_once(spark):
     """Lines of any number of words, signs alone, and scripts without spaces are grouped exactly."""
     long = "这是一段没有空格的文字它在许多文件里重复出现"
     texts = ["page two\nx\n\n***", "Page two.\n \nX\n* **\n***", f"{long}，后面", f"“{long}” 后面", "it’s", "it's", "~~", "\u3000\n\u3000"]
-    for distance in (None, 3):
-        out = line_dedup.dedup_lines(docs(spark, texts), distance=distance, short=True)
-        got = {r.doc_id: r.text for r in line_dedup.report(out).collect()}
-        assert got == {0: texts[0], 1: " ", 2: texts[2], 3: "", 4: texts[4], 5: "", 6: "~~", 7: texts[7]}
+    out = line_dedup.dedup_lines(docs(spark, texts), short=True)
+    got = {r.doc_id: r.text for r in line_dedup.report(out).collect()}
+    assert got == {0: texts[0], 1: " ", 2: texts[2], 3: "", 4: texts[4], 5: "", 6: "~~", 7: texts[7]}
 
 
 # --- 8: language model ----------------------------------------------------------------------------
