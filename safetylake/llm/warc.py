@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import numbered, staged
+from .common import membership, numbered, staged
 
 #: Fixed values of the format.
 VERSION = "WARC/1.1"
@@ -75,8 +75,13 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "2000-01-
     first = staged(
         p.where(F.col("bytes") >= min_bytes).groupBy("sha").agg(F.min(F.struct("id", "_uid")).alias("m"), F.count("*").alias("c"))
         .where("c > 1").select("sha", F.col("m._uid").alias("first")), "warc-first")
-    p = p.join(first.hint("shuffle_hash"), "sha", "left")
-    again = F.col("first").isNotNull() & (F.col("first") != F.col("_uid")) & (F.col("bytes") >= min_bytes)
+    revisits = staged(p.where(F.col("bytes") >= min_bytes).select("_uid", "sha").join(first.hint("shuffle_hash"), "sha")
+                      .where("first <> _uid").select("_uid", "first"), "warc-revisits")
+    # only pages that may be revisits go through the join; the others are written where they are read
+    maybe = membership(revisits, F.col("_uid"))
+    p = (p.where(maybe(F.col("_uid"))).join(revisits.hint("shuffle_hash"), "_uid", "left")
+         .unionByName(p.where(~maybe(F.col("_uid"))), allowMissingColumns=True))
+    again = F.col("first").isNotNull()
     original = F.when(again, F.transform(F.array("first"), lambda u: F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *[
         F.substr(F.md5(F.concat_ws("|", F.lit("response"), u.cast("string")).cast("binary")), F.lit(a), F.lit(n))
         for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]), F.lit(">")))[0])
@@ -191,7 +196,10 @@ def report(captures: DataFrame, id_col: str = "page_id", id_type: str = "bigint"
     again = F.col("response.type") == "revisit"
     return captures.where("response IS NOT NULL").select(
         page("metadata").alias(id_col),
-        F.when(again, field(F.col("metadata"), "payload-bytes").cast("bigint")).otherwise(F.col("response.payload_bytes")).alias("payload_bytes"),
-        F.when(again, F.substring_index("response.digest", ":", -1)).otherwise(F.col("response.payload_digest")).alias("payload_digest"),
+        # of a revisit: its original's, or what its own fields say where that is not in the archives
+        F.when(again, F.coalesce(F.col("original.response.payload_bytes"), field(F.col("metadata"), "payload-bytes").cast("bigint")))
+        .otherwise(F.col("response.payload_bytes")).alias("payload_bytes"),
+        F.when(again, F.coalesce(F.col("original.response.payload_digest"), F.substring_index("response.digest", ":", -1)))
+        .otherwise(F.col("response.payload_digest")).alias("payload_digest"),
         F.col("response.type").alias("record_type"),
         F.when(again, page("original.metadata")).alias("refers_to"))
