@@ -272,9 +272,10 @@ def test_isotonic_is_monotone_and_keeps_the_mean():
 
 def test_line_simhash_matches_bit_counts(spark):
     rng = random.Random(8)
-    rows = [(i, [rng.getrandbits(63) - (1 << 62) for _ in range(n)]) for i, n in enumerate((1, 2, 15, 16, 17, 64, 500, 17_000))]
-    table = spark.createDataFrame([(i, len(h), h) for i, h in rows], "i int, n int, h array<bigint>")
-    got = {r.i: r.fp for r in line_dedup.with_simhash(table).collect()}
+    rows = [(i, [rng.getrandbits(64) - (1 << 63) for _ in range(n)]) for i, n in enumerate((1, 2, 15, 16, 17, 62, 63, 64, 500, 16_383, 17_000))]
+    rows += [(50, [-1] * 63), (51, [-1] * 16_383), (52, [0] * 40)]
+    table = spark.createDataFrame(rows, "i int, h array<bigint>")
+    got = {r.i: r.fp for r in table.select("i", line_dedup.simhash(F.col("h")).alias("fp")).collect()}
     for i, h in rows:
         want = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
         assert got[i] % (1 << 64) == want
@@ -309,9 +310,8 @@ def test_line_leaders_lose_no_group(spark):
             w[rng.randrange(80)] = f"v{rng.randrange(99)}"
         texts.append(" ".join(w))
     table = docs(spark, texts)
-    words = table.select("doc_id", F.size(F.split("text", " ")).alias("n"), F.transform(
-        F.filter(line_dedup.line_words(F.col("text")), lambda w: w != ""), lambda w: F.xxhash64(w)).alias("h"))
-    fp = {r.doc_id: r.fp for r in line_dedup.with_simhash(words).collect()}
+    src = table.select(F.col("doc_id").alias("_uid"), F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
+    fp = {r._id: r.fp for r in line_dedup.line_table(src, 3).collect()}
 
     def edits(a, b):
         row = list(range(len(b) + 1))
@@ -372,7 +372,7 @@ def test_line_links_are_those_of_distance_and_similarity(spark):
             lines.append(w)
     lines += [["x"] * 300, ["x"] * 250, ["x"] * 230]
     table = spark.createDataFrame([(i, len(w), w) for i, w in enumerate(lines)], "i int, n int, w array<string>")
-    fp = {r.i: r.fp for r in line_dedup.with_simhash(table.select("i", "n", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))).collect()}
+    fp = {r.i: r.fp for r in table.select("i", line_dedup.simhash(F.transform("w", lambda w: F.xxhash64(w))).alias("fp")).collect()}
     label = list(range(len(lines)))
     linked = [(i, j) for i, a in enumerate(lines) for j, b in enumerate(lines[:i])
               if bin((fp[i] ^ fp[j]) % (1 << 64)).count("1") <= 3
