@@ -624,3 +624,8 @@ for _key in ("search_recalls", "search_recalls_like", "search_products", "search
     STATEMENTS[f"{_key}_indexed"] = STATEMENTS[_key]
 STATEMENTS["kpi_adverse_daily"] = STATEMENTS["kpi_adverse"]
 STATEMENTS["top_products_daily"] = STATEMENTS["top_products"]
+
+for _w, (_src, _, _) in _RAW.items():
+    _stmt(f"land_pages_streamed_{_w}", f"SELECT * FROM ({landed_sql(_w)})", _src)
+    if _w != "products":
+        _stmt(f"land_pages_{_w}", f"SELECT * FROM ({landed_sql(_w)})", _src)

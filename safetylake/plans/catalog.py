@@ -19,7 +19,7 @@ from safetylake.operators import changes, clean, distinct, gold, pair_state, qua
 from safetylake.plans import pipeline, runs
 from safetylake.session import scratch_path, snapshot
 from safetylake.sources import fixtures, ingest, pages
-from safetylake.streaming import sync
+from safetylake.streaming import landing, sync
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -385,3 +385,22 @@ QUERIES.update({
     "kpi_adverse_daily": lambda s, d: distinct.kpi(_days(s, d)),
     "top_products_daily": lambda s, d: queries.top_rollup(distinct.product_rollup(_days(s, d))),
 })
+
+
+# ---- landing while pages arrive ------------------------------------------------------------------
+
+def _land_streamed(which: str) -> Query:
+    """Pages landed by triggers of one file each, the query stopped and started again over one checkpoint."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = pages.land_pages_files(spark, fixtures.RAW_BUILDERS[which](spark, sf_dir, with_seq=True), which)
+        target, checkpoint = scratch_path(spark, "streamed"), scratch_path(spark, "streamed-checkpoint")
+        for _ in range(2):
+            landing.start_landing(spark, path, which, target, checkpoint, files_per_trigger=1).awaitTermination()
+        return ingest.as_json_text(landing.landed(spark, which, target))
+    return run
+
+
+for _w in GOLD_OF:
+    QUERIES[f"land_pages_streamed_{_w}"] = _land_streamed(_w)
+    if _w != "products":
+        QUERIES[f"land_pages_{_w}"] = lambda s, d, w=_w: ingest.as_json_text(_landed_pages(s, d, w))

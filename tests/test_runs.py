@@ -90,3 +90,19 @@ def test_no_run_yet(spark, scratch):
     assert runs.current(spark, scratch) is None
     with pytest.raises(ValueError, match="has no run"):
         runs.table(spark, scratch, NAMES[0])
+
+
+def test_command_line_reads_the_current_run(spark, published, capsys):
+    import json
+
+    from safetylake.__main__ import main
+
+    root, first, _ = published
+    assert main(["stats", "--gold", root]) == 0
+    assert json.loads(capsys.readouterr().out)["products"] == runs.table(spark, root, NAMES[0]).count()
+    one = runs.paths(spark, root, 1)[NAMES[0]].rsplit("/", 1)[0]
+    assert main(["products", "--gold", one, "--limit", "3"]) == 0
+    assert json.loads(capsys.readouterr().out)["count"] == 3
+    out = f"{root}/by-command"
+    assert main(["publish", *[x for w, p in first.items() for x in (f"--{w}", p)], "--out", out]) == 0
+    assert json.loads(capsys.readouterr().out)["version"] == 1 and runs.current(spark, out).version == 1
