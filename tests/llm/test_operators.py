@@ -275,7 +275,7 @@ def test_line_simhash_matches_bit_counts(spark):
     rows = [(i, [rng.getrandbits(64) - (1 << 63) for _ in range(n)]) for i, n in enumerate((1, 2, 15, 16, 17, 62, 63, 64, 500, 16_383, 17_000))]
     rows += [(50, [-1] * 63), (51, [-1] * 16_383), (52, [0] * 40)]
     table = spark.createDataFrame(rows, "i int, h array<bigint>")
-    got = {r.i: r.fp for r in table.select("i", line_dedup.simhash(F.col("h")).alias("fp")).collect()}
+    got = {r.i: r.fp for r in line_dedup.with_simhash(table).collect()}
     for i, h in rows:
         want = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
         assert got[i] % (1 << 64) == want
@@ -372,7 +372,7 @@ def test_line_links_are_those_of_distance_and_similarity(spark):
             lines.append(w)
     lines += [["x"] * 300, ["x"] * 250, ["x"] * 230]
     table = spark.createDataFrame([(i, len(w), w) for i, w in enumerate(lines)], "i int, n int, w array<string>")
-    fp = {r.i: r.fp for r in table.select("i", line_dedup.simhash(F.transform("w", lambda w: F.xxhash64(w))).alias("fp")).collect()}
+    fp = {r.i: r.fp for r in line_dedup.with_simhash(table.select("i", F.transform("w", lambda w: F.xxhash64(w)).alias("h"))).collect()}
     label = list(range(len(lines)))
     linked = [(i, j) for i, a in enumerate(lines) for j, b in enumerate(lines[:i])
               if bin((fp[i] ^ fp[j]) % (1 << 64)).count("1") <= 3
