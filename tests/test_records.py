@@ -98,6 +98,21 @@ def test_an_array_that_ends_early_fails(spark, scratch, bad):
         json_array.read(spark, scratch).collect()
 
 
+def test_records_across_pieces_are_put_together_in_one_shuffle_of_the_text(spark, scratch, monkeypatch):
+    rng = random.Random(5)
+    records = [{"id": i, "v": [value(rng) for _ in range(6)], "w": [{"}": "]"}] * (i % 9)} for i in range(60)]
+    for name, part in (("a", records[:50]), ("b", records[50:])):
+        with open(f"{scratch}/{name}.json", "w") as f:
+            f.write(json.dumps(part))
+    for bits in (0, 1, 3, 6):
+        monkeypatch.setattr(json_array, "PIECE_BITS", bits)
+        rows = json_array.read(spark, scratch)
+        got = sorted(json.dumps(json.loads(r.value), sort_keys=True) for r in rows.collect())
+        assert got == sorted(json.dumps(r, sort_keys=True) for r in records), bits
+    plan = rows._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("FileScan text") == 2          # one for the pieces' starts, one for the records
+
+
 # --- quarantine -----------------------------------------------------------------------------------
 
 def test_routing_keeps_every_row_once_and_names_all_failed_rules(spark, scratch):
