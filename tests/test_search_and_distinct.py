@@ -53,6 +53,17 @@ def test_a_rare_term_reads_few_files(spark, recalls):
     assert "PushedFilters: [IsNotNull(gram), EqualTo(gram,abc)]" in plan or "In(gram" in plan or "EqualTo(gram" in plan
 
 
+def test_a_posting_holds_the_rows_of_a_block(spark, recalls):
+    _, index = recalls
+    bits = F.explode(F.expr("filter(sequence(0, 63), i -> shiftrightunsigned(rows, i) & 1 = 1)"))
+    got = index.postings(spark).select("gram", "field", "bucket", "block", bits.alias("place"))
+    texts = F.array(*[F.struct(F.lit(i).alias("field"), search_index.grams(F.lower(c)).alias("grams")) for i, c in enumerate(index.columns)])
+    want = (index.rows(spark).select("_bucket", "_row", F.inline(texts))
+            .select(F.explode("grams"), "field", "_bucket", F.shiftright("_row", 6), (F.col("_row") % 64).cast("int")))
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    assert index.postings(spark).count() < want.count() / 2         # fewer to sort and to read than one a row
+
+
 def test_argument_rules_hold(spark, recalls):
     with pytest.raises(ValueError):
         search_index.search_recalls(spark, recalls[1], "x" * 201)
