@@ -144,3 +144,10 @@ def test_both_populations_come_from_one_pass(spark):
 
     plan = clean.adverse_quality(fixtures.raw_adverse(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet [o_orderkey") == 1
+
+
+def test_drift_stores_whole_records_without_the_columns_read_from_them(spark, monkeypatch):
+    seen, real = {}, ingest.schema_drift
+    monkeypatch.setattr(ingest, "schema_drift", lambda rows, schema, source: seen.update({source: rows.columns}) or real(rows, schema, source))
+    found = {(r.source, r.path, r.change) for r in catalog.QUERIES["schema_drift"](spark, SF_SMALL).collect()}
+    assert {s for s, _, _ in found} == set(seen) and set(map(tuple, seen.values())) == {(ingest.RECORD,)}
