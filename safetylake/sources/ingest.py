@@ -121,9 +121,14 @@ def schema_drift(bronze_rows: DataFrame, declared: T.StructType, source: str) ->
     return spark.createDataFrame([(source, *r) for r in sorted(rows)], "source string, path string, declared string, found string, change string")
 
 
+#: Rows of a landed file at most: one task reads a compressed file.
+ROWS_A_FILE = 100_000
+
+
 def land_json(df: DataFrame, path: str) -> str:
-    """Full-refresh landing: replace whatever is at ``path`` with ``df`` as JSON Lines."""
-    df.write.mode("overwrite").json(path)
+    """Full-refresh landing: replace whatever is at ``path`` with ``df`` as JSON Lines, compressed (about a tenth of the text)."""
+    (df.write.mode("overwrite").options(compression="gzip", maxRecordsPerFile=ROWS_A_FILE)
+     .option("zlib.compress.level", "BEST_SPEED").json(path))
     return path
 
 

@@ -1,9 +1,11 @@
 """Pages that arrive over time: restarts, order, missing and repeated pages."""
 
 import json
+import os
 
 import pytest
 
+from safetylake.sources import ingest
 from safetylake.streaming import landing
 
 
@@ -45,3 +47,15 @@ def test_pages_land_once_in_any_order_and_only_whole_feeds_are_given_out(spark,
     trigger(spark, scratch)
     with pytest.raises(ValueError):
         landing.landed(spark, "products", f"{scratch}/landed", limit=400, page_size=100)
+
+
+def test_landed_json_is_compressed_in_files_of_bounded_rows(spark, scratch, monkeypatch):
+    monkeypatch.setattr(ingest, "ROWS_A_FILE", 300)
+    rows = spark.range(1000).selectExpr("CAST(id AS STRING) AS safetyreportid", "'1' AS serious").coalesce(1)
+    path = ingest.land_json(rows, f"{scratch}/landed")
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(files) == 4 and all(f.endswith(".json.gz") for f in files)
+    text = sum(len('{"safetyreportid":"","serious":"1"}\n') + len(str(i)) for i in range(1000))
+    assert sum(os.path.getsize(f"{path}/{f}") for f in files) < text / 3
+    back = spark.read.schema(rows.schema).json(path)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
