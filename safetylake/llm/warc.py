@@ -71,12 +71,15 @@ def write(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "2000-01-
 
     p = numbered(pages.select(F.col(id_col).alias("id"), line(F.col(url_col)).alias("url"),
                               F.coalesce(F.col(html_col), F.lit("")).alias("html")), "warc-pages")
-    p = p.withColumn("bytes", F.octet_length("html")).withColumn("sha", base32_sha1(F.col("html")))
+    p = p.withColumn("bytes", F.octet_length("html"))
+    # equal payloads are found by the bare digest; its text is made once, where the records are written
+    digest = p.where(F.col("bytes") >= min_bytes).select("id", "_uid", F.unhex(F.sha1(F.col("html").cast("binary"))).alias("sha"))
     first = staged(
-        p.where(F.col("bytes") >= min_bytes).groupBy("sha").agg(F.min(F.struct("id", "_uid")).alias("m"), F.count("*").alias("c"))
+        digest.groupBy("sha").agg(F.min(F.struct("id", "_uid")).alias("m"), F.count("*").alias("c"))
         .where("c > 1").select("sha", F.col("m._uid").alias("first")), "warc-first")
-    revisits = staged(p.where(F.col("bytes") >= min_bytes).select("_uid", "sha").join(first.hint("shuffle_hash"), "sha")
+    revisits = staged(digest.select("_uid", "sha").join(first.hint("shuffle_hash"), "sha")
                       .where("first <> _uid").select("_uid", "first"), "warc-revisits")
+    p = p.withColumn("sha", base32_sha1(F.col("html")))
     # only pages that may be revisits go through the join; the others are written where they are read
     maybe = membership(revisits, F.col("_uid"))
     p = (p.where(maybe(F.col("_uid"))).join(revisits.hint("shuffle_hash"), "_uid", "left")

@@ -157,6 +157,18 @@ def test_archives_round_trip(spark, least):
     assert bytes(body).endswith(rows[4][2].encode())
 
 
+def test_warc_equal_payloads_are_found_by_the_bare_digest(spark, monkeypatch):
+    """Its text, which costs far more, is only made for the records."""
+    seen, real = {}, warc.staged
+    monkeypatch.setattr(warc, "staged", lambda df, label: seen.update({label: df.schema}) or real(df, label))
+    pages = [(i, f"http://h/{i}", "same" if i % 2 else f"own {i}") for i in range(6)]
+    path = scratch_path(spark, "test-warc-digest")
+    warc.write(spark.createDataFrame(pages, "page_id long, url string, html string"), path)
+    assert seen["warc-first"]["sha"].dataType.simpleString() == "binary"
+    kinds = {r.page_id: (r.record_type, r.refers_to) for r in warc.report(warc.assemble(real(warc.read(spark, path), "test-records"))).collect()}
+    assert kinds == {i: ("revisit", 1) if i in (3, 5) else ("response", None) for i in range(6)}
+
+
 def test_archives_orphans_and_empty(spark):
     path = scratch_path(spark, "test-warc-empty")
     warc.write(spark.createDataFrame([], PAGES), path)
