@@ -37,6 +37,7 @@ END, START = b" end", b" start"         # a word holds no space, so neither is o
 KEY_BITS = 40                           # of a successor's hash
 DISCOUNT = 0.75
 BATCH_TOKENS = 1_500_000
+SENT_BYTES = 4_000_000                  # of a batch's words and bigrams that leave a worker at once
 
 
 def word_hash(word: bytes) -> int:
@@ -243,6 +244,8 @@ def _home(ctx: np.ndarray, key: np.ndarray, shards: int) -> np.ndarray:
 
 def _ask(packed: DataFrame, shards: int) -> DataFrame:
     """One row per batch and shard: its words and bigrams with training counts."""
+    names = ["shard", "batch", "words", "count", "starts", "heads", "ctx", "key", "pairs"]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for r in b.itertuples():
@@ -253,9 +256,10 @@ def _ask(packed: DataFrame, shards: int) -> DataFrame:
                 np.add.at(starts, ctx[first], 1)        # the start mark is a context, not a token
                 bc = np.bincount(at[train], minlength=len(pc))
                 key = words[pn] >> np.uint64(64 - KEY_BITS)
+                del cur, ctx, at, train, pn
                 ws = np.searchsorted(shard, np.arange(shards + 1))
                 ps = np.searchsorted(home, np.arange(shards + 1))
-                rows = []
+                rows, held = [], 0
                 for s in range(shards):
                     w, p = slice(ws[s], ws[s + 1]), slice(ps[s], ps[s + 1])
                     if ws[s] < ws[s + 1] or ps[s] < ps[s + 1]:
@@ -263,7 +267,10 @@ def _ask(packed: DataFrame, shards: int) -> DataFrame:
                         low = key[p].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BITS // 8]
                         rows.append((s, r.batch, words[w].tobytes(), wc[w].astype("<u4").tobytes(), starts[w].astype("<u4").tobytes(),
                                      heads.tobytes(), of.astype("<u4").tobytes(), np.ascontiguousarray(low).tobytes(), bc[p].astype("<u4").tobytes()))
-                yield pd.DataFrame(rows, columns=["shard", "batch", "words", "count", "starts", "heads", "ctx", "key", "pairs"])
+                        held += sum(map(len, rows[-1][2:]))
+                    if rows and (held >= SENT_BYTES or s == shards - 1):
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, held = [], 0
 
     return packed.mapInPandas(run, "shard int, batch bigint, words binary, count binary, starts binary, heads binary, ctx binary, key binary, pairs binary")
 
