@@ -3,9 +3,10 @@
 Counts come from every training document. Documents are packed into batches of
 token indexes; a batch sends each shard the distinct words and bigrams that
 belong to it with their training counts, so a word or pair costs one entry a
-batch however often it occurs. Words are dealt by their hash and bigrams by the
-hash of both words, so the successors of a frequent word are spread over all
-shards. A shard merges the counts into a two-level trie: contexts in hash order, a
+batch however often it occurs. Words are dealt by their hash and bigrams by that of
+their first word, so a batch names a context once; the successors of a frequent
+word are dealt by both words, over all shards. What is stored or sent is deflated.
+A shard merges the counts into a two-level trie: contexts in hash order, a
 monotone pointer sequence to each context's successors, and successors as
 increasing keys inside their context's range. Pointers and successors are
 Elias-Fano coded; the absolute-discounted counts are quantised to 8 bits by
@@ -24,6 +25,7 @@ from __future__ import annotations
 import mmap
 import os
 import tempfile
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +48,24 @@ def word_hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word)
 
 
+def _coded(values: np.ndarray) -> bytes:
+    """Numbers by their bytes of one place after the other, runs and frequent bytes shortened."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    z = zlib.compressobj(1, zlib.DEFLATED, -15, 9, zlib.Z_RLE)
+    return z.compress(planes.tobytes()) + z.flush()
+
+
+def _decoded(raw: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(raw, -15), dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """The counts in 1, 2 or 4 bytes each, as the largest needs."""
+    most = counts.max(initial=0)
+    return counts.astype("u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4")
+
+
 class EliasFano:
     """An increasing sequence of integers: low bits packed, high bits in unary.
 
@@ -180,7 +200,7 @@ def _pack(docs: DataFrame) -> DataFrame:
             tokens = np.concatenate(chunks)
             return pd.DataFrame({"batch": [(part << 32) | seq], "ids": [ids], "folds": [folds],
                                  "sizes": [np.array(sizes, dtype="<i4").tobytes()], "words": [words.tobytes()],
-                                 "tokens": [tokens.tobytes()], "n": [len(tokens)]})
+                                 "tokens": [_coded(tokens)], "n": [len(tokens)]})
 
         held = 0
         for b in batches:
@@ -206,10 +226,30 @@ def _pack(docs: DataFrame) -> DataFrame:
         run, f"batch bigint, ids array<{kind}>, folds array<boolean>, sizes binary, words binary, tokens binary, n bigint")
 
 
+def _common(packed: DataFrame, tokens: int, shards: int) -> np.ndarray:
+    """Sorted hashes of the start mark and of words with about a quarter of a shard's share of the tokens or more.
+
+    A batch names the words that have this share of it, so a word left out here has
+    under half a shard's share of all tokens, and there are at most four words a shard.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for r in b.itertuples():
+                words = np.frombuffer(r.words, dtype=np.uint64)
+                n = np.bincount(_decoded(r.tokens, "<i4"), minlength=len(words))
+                some = n * 4 * shards >= n.sum()
+                yield pd.DataFrame({"word": words[some].view(np.int64), "n": n[some]})
+
+    found = (packed.select("words", "tokens").mapInPandas(run, "word bigint, n bigint")
+             .groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") * 4 * shards >= tokens).collect())
+    words = np.array([r.word for r in found], dtype=np.int64).view(np.uint64)
+    return np.unique(np.append(words, np.uint64(word_hash(START))))
+
+
 def _bigrams(r) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a batch: word hashes (the start mark last), token indexes, contexts, sizes, train flag a token, document ends."""
     words = np.concatenate([np.frombuffer(r.words, dtype=np.uint64), [np.uint64(word_hash(START))]])
-    tokens = np.frombuffer(r.tokens, dtype="<i4")
+    tokens = _decoded(r.tokens, "<i4")
     sizes = np.frombuffer(r.sizes, dtype="<i4").astype(np.int64)
     ends = np.cumsum(sizes)
     prev = np.empty(len(tokens), dtype=np.int64)
@@ -219,7 +259,7 @@ def _bigrams(r) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndar
     return words, tokens.astype(np.int64), prev, sizes, train, ends
 
 
-def _plan(r, shards: int):
+def _plan(r, shards: int, common: np.ndarray | None):
     words, tokens, prev, sizes, train, ends = _bigrams(r)
     shard = (words % np.uint64(shards)).astype(np.int64)
     order = np.lexsort((words, shard))
@@ -229,27 +269,28 @@ def _plan(r, shards: int):
     cur, ctx = place[tokens], place[prev]
     pair, at = np.unique(ctx * len(words) + cur, return_inverse=True)
     pc, pn = pair // len(words), pair % len(words)
-    # a bigram's shard is that of both words; pairs of a shard keep the order of their contexts
-    home = _home(words[pc], words[pn] >> np.uint64(64 - KEY_BITS), shards)
+    # a bigram's shard is that of its context, or of both words where the context is common (without ``common``: always); pairs of a shard keep the order of their contexts
+    spread = np.ones(len(words), dtype=bool) if common is None else np.isin(words, common)
+    home = _home(words[pc], words[pn] >> np.uint64(64 - KEY_BITS), spread[pc], shards)
     order = np.argsort(home, kind="stable")
     place = np.empty(len(pc), dtype=np.int64)
     place[order] = np.arange(len(pc))
     return words, shard, cur, ctx, pc[order], pn[order], home[order], place[at], sizes, train, ends
 
 
-def _home(ctx: np.ndarray, key: np.ndarray, shards: int) -> np.ndarray:
-    mixed = (ctx ^ (key * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xC2B2AE3D27D4EB4F)
+def _home(ctx: np.ndarray, key: np.ndarray, spread: np.ndarray, shards: int) -> np.ndarray:
+    mixed = (ctx ^ (np.where(spread, key, np.uint64(0)) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xC2B2AE3D27D4EB4F)
     return ((mixed >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
 
 
-def _ask(packed: DataFrame, shards: int) -> DataFrame:
-    """One row per batch and shard: its words and bigrams with training counts."""
-    names = ["shard", "batch", "words", "count", "starts", "heads", "ctx", "key", "pairs"]
+def _ask(packed: DataFrame, shards: int, common: np.ndarray | None = None) -> DataFrame:
+    """One row per batch and shard: its words, and its bigrams by ``heads``, each with ``runs`` keys, with training counts."""
+    names = ["shard", "batch", "words", "count", "starts", "heads", "runs", "key", "pairs"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for r in b.itertuples():
-                words, shard, cur, ctx, pc, pn, home, at, sizes, train, ends = _plan(r, shards)
+                words, shard, cur, ctx, pc, pn, home, at, sizes, train, ends = _plan(r, shards, common)
                 wc = np.bincount(cur[train], minlength=len(words))
                 starts = np.zeros(len(words), dtype=np.int64)
                 first = (ends - sizes)[train[ends - 1]]
@@ -263,16 +304,17 @@ def _ask(packed: DataFrame, shards: int) -> DataFrame:
                 for s in range(shards):
                     w, p = slice(ws[s], ws[s + 1]), slice(ps[s], ps[s + 1])
                     if ws[s] < ws[s + 1] or ps[s] < ps[s + 1]:
-                        heads, of = np.unique(words[pc[p]], return_inverse=True)
+                        head = np.flatnonzero(np.diff(pc[p], prepend=-1))
                         low = key[p].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BITS // 8]
-                        rows.append((s, r.batch, words[w].tobytes(), wc[w].astype("<u4").tobytes(), starts[w].astype("<u4").tobytes(),
-                                     heads.tobytes(), of.astype("<u4").tobytes(), np.ascontiguousarray(low).tobytes(), bc[p].astype("<u4").tobytes()))
+                        rows.append((s, r.batch, words[w].tobytes(), _coded(wc[w].astype("<u4")), _coded(starts[w].astype("<u4")),
+                                     words[pc[p][head]].tobytes(), _coded(np.diff(head, append=len(low)).astype("<u4")),
+                                     np.ascontiguousarray(low).tobytes(), _narrow(bc[p]).tobytes()))
                         held += sum(map(len, rows[-1][2:]))
                     if rows and (held >= SENT_BYTES or s == shards - 1):
                         yield pd.DataFrame(rows, columns=names)
                         rows, held = [], 0
 
-    return packed.mapInPandas(run, "shard int, batch bigint, words binary, count binary, starts binary, heads binary, ctx binary, key binary, pairs binary")
+    return packed.mapInPandas(run, "shard int, batch bigint, words binary, count binary, starts binary, heads binary, runs binary, key binary, pairs binary")
 
 
 def _keys(raw: bytes) -> np.ndarray:
@@ -299,13 +341,14 @@ def _answer(shards: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         words = [np.frombuffer(w, dtype=np.uint64) for w in rows["words"]]
         heads = [np.frombuffer(w, dtype=np.uint64) for w in rows["heads"]]
-        read = lambda c: [np.frombuffer(x, dtype="<u4").astype(np.int64) for x in rows[c]]
-        count, starts, ctx, pairs = (read(c) for c in ("count", "starts", "ctx", "pairs"))
+        read = lambda c: [_decoded(x, "<u4").astype(np.int64) for x in rows[c]]
+        count, starts, runs = (read(c) for c in ("count", "starts", "runs"))
         nxt = [_keys(k) for k in rows["key"]]
+        pairs = [np.frombuffer(x, dtype=f"<u{len(x) // max(1, len(k))}" if x else "u1").astype(np.int64) for x, k in zip(rows["pairs"], nxt)]
         known, total = _merge(np.concatenate(words), np.concatenate(count))
         _, begun = _merge(np.concatenate(words), np.concatenate(starts))
         contexts = np.unique(np.concatenate(heads))
-        every_ctx = np.concatenate([np.searchsorted(contexts, h)[c] for h, c in zip(heads, ctx)])
+        every_ctx = np.concatenate([np.repeat(np.searchsorted(contexts, h), c) for h, c in zip(heads, runs)])
         every_nxt, every_n = np.concatenate(nxt), np.concatenate(pairs)
         some = every_n > 0
         order = np.lexsort((every_nxt[some], every_ctx[some]))
@@ -324,10 +367,10 @@ def _answer(shards: int):
             codes = trie.find(every_ctx, every_nxt)
             book = trie.book.astype("<f4").tobytes()
             del trie
-        cut = np.cumsum([0] + [len(x) for x in ctx])
+        cut = np.cumsum([0] + [len(x) for x in nxt])
         own = [np.searchsorted(known, w) for w in words]        # positions of a batch's words
-        out = [(b, key[0], w.tobytes(), total[o].astype("<i8").tobytes(), seen[o].astype("<i8").tobytes(),
-                codes[cut[i]:cut[i + 1]].tobytes(), book, 0, 0, None)
+        out = [(b, key[0], w.tobytes(), _coded(total[o].astype("<i8")), _coded(seen[o].astype("<i8")),
+                _coded(codes[cut[i]:cut[i + 1]]), book, 0, 0, None)
                for i, (b, w, o) in enumerate(zip(rows["batch"], words, own))]
         out[0] = out[0][:7] + (int(total.sum()), int((total > 0).sum()), None)
         to = (contexts % np.uint64(shards)).astype(np.int64)
@@ -336,7 +379,7 @@ def _answer(shards: int):
         ends = np.searchsorted(to[order], np.arange(shards + 1))
         for s in np.unique(to[order]):
             o = order[ends[s]:ends[s + 1]]
-            out.append((None, int(s), contexts[o].tobytes(), None, None, None, None, 0, 0, fan[o].astype("<u4").tobytes()))
+            out.append((None, int(s), contexts[o].tobytes(), None, None, None, None, 0, 0, _coded(fan[o].astype("<u4"))))
         got = pd.DataFrame(out, columns=[c.split()[0] for c in ANSWER.split(", ")])
         return got.astype({"batch": "Int64"})
 
@@ -348,13 +391,13 @@ def _fans(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     found = rows[rows["batch"].isna()]
     asked = rows[rows["batch"].notna()]
     words, fan = _merge(np.concatenate([np.zeros(0, dtype=np.uint64)] + [np.frombuffer(w, dtype=np.uint64) for w in found["words"]]),
-                        np.concatenate([np.zeros(0)] + [np.frombuffer(f, dtype="<u4") for f in found["fans"]]))
+                        np.concatenate([np.zeros(0)] + [_decoded(f, "<u4") for f in found["fans"]]))
     words, fan = np.append(words, np.uint64(0)), np.append(fan, 0)      # so that a search never leaves the arrays
     out = []
     for b, raw in zip(asked["batch"], asked["words"]):
         own = np.frombuffer(raw, dtype=np.uint64)
         at = np.searchsorted(words[:-1], own)
-        out.append((int(b), key[0], np.where((words[at] == own) & (at < len(words) - 1), fan[at], 0).astype("<i8").tobytes()))
+        out.append((int(b), key[0], _coded(np.where((words[at] == own) & (at < len(words) - 1), fan[at], 0).astype("<i8"))))
     return pd.DataFrame(out, columns=["batch", "shard", "fan"])
 
 
@@ -373,7 +416,8 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     packed = staged(_pack(rows.withColumn("f", F.coalesce(held_out, F.lit(True)))), "lm-packed")
     tokens = packed.agg(F.sum("n")).first()[0] or 0
     shards = max(min_shards, -(-tokens // shard_tokens))
-    answers = staged(_ask(packed, shards).groupBy("shard").applyInPandas(_answer(shards), ANSWER), "lm-answers")
+    common = _common(packed, tokens, shards)
+    answers = staged(_ask(packed, shards, common).groupBy("shard").applyInPandas(_answer(shards), ANSWER), "lm-answers")
     fans = (answers.select("batch", "shard", "words", "fans").groupBy("shard")
             .applyInPandas(_fans, "batch bigint, shard int, fan binary"))
     totals = answers.agg(F.sum("n_train").alias("n"), F.sum("n_words").alias("v")).first()
@@ -381,16 +425,17 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
 
     def finish(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         right = right.sort_values("shard")
+        fans, right = right["fan"].dropna(), right[right["fan"].isna()]
         out = []
         for r in left.itertuples():
-            words, shard, cur, ctx, pc, pn, home, at, sizes, train, ends = _plan(r, shards)
-            count = np.concatenate([np.frombuffer(x, dtype="<i8") for x in right["count"]])
-            total = np.concatenate([np.frombuffer(x, dtype="<i8") for x in right["seen"]])
-            fan = np.concatenate([np.frombuffer(x, dtype="<i8") for x in right["fan"]])
+            words, shard, cur, ctx, pc, pn, home, at, sizes, train, ends = _plan(r, shards, common)
+            count = np.concatenate([_decoded(x, "<i8") for x in right["count"]])
+            total = np.concatenate([_decoded(x, "<i8") for x in right["seen"]])
+            fan = np.concatenate([_decoded(x, "<i8") for x in fans])
             backoff = np.where(total > 0, DISCOUNT * fan / np.maximum(total, 1), 1.0)
             counts = []
             for codes, book in zip(right["codes"], right["book"]):
-                code = np.frombuffer(codes, dtype=np.uint8)
+                code = _decoded(codes, "u1")
                 value = np.concatenate([[0.0], 10.0 ** np.frombuffer(book, dtype="<f4").astype(float)])
                 counts.append(value[code])
             p1 = (count + 0.5) / (n + 0.5 * (v + 1))
@@ -406,6 +451,6 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     shape = (f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
              "base_score double, score double")
     told = (answers.where("batch IS NOT NULL").select("batch", "shard", "codes", "count", "seen", "book")
-            .join(staged(fans, "lm-fans"), ["batch", "shard"]))
+            .unionByName(fans, allowMissingColumns=True))
     return (packed.groupBy("batch").cogroup(told.groupBy("batch"))
             .applyInPandas(finish, shape).withColumnRenamed("id", id_col))
