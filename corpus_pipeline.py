@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from safetylake.llm import bpe, decontaminate, line_dedup, quality, simhash
-from safetylake.llm.common import numbered, read, staged
+from safetylake.llm.common import numbered_rows, read, staged
 
 
 def _rows(docs: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
-    """Each row under a stored number, whole inside ``row``, and what operators read of it. A column named
+    """Each row under a lasting number, whole inside ``row``, and what operators read of it. A column named
     as the number stays what it is."""
-    rows = numbered(docs.select(F.struct("*").alias("row")), label)
+    rows = numbered_rows(docs, label)
     return rows, rows.select("_uid", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"))
 
 

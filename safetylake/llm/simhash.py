@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, rows_of, staged
@@ -81,6 +81,8 @@ def links(distinct: DataFrame, distance: int = 3) -> DataFrame:
 
     rows = F.flatten(F.array(*[variants(k) for k in range(len(cut))]))
     index = distinct.select("fp", F.explode(rows).alias("r")).select("fp", "r.slot", "r.v")
+    # most variants belong to one fingerprint: they are shuffled once, and only the shared ones are joined
+    index = staged(index.withColumn("m", F.count("*").over(Window.partitionBy("slot", "v"))).where("m > 1").drop("m"), "simhash-shared")
     x, y = index.select("slot", "v", F.col("fp").alias("a")), index.select("slot", "v", F.col("fp").alias("b"))
     diff = F.col("a").bitwiseXOR(F.col("b"))
 

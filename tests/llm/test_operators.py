@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import math
+import os
 import random
 import re
 from collections import Counter
@@ -12,8 +13,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from safetylake.llm import bpe, chat, decontaminate, embeddings, line_dedup, lm, quality, simhash, toxicity, warc
-from safetylake.llm.common import components, staged
-from safetylake.session import scratch_path
+from safetylake.llm.common import components, numbered_rows, staged
+from safetylake.session import scratch_path, shared_dir
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -405,6 +406,49 @@ def test_short_lines_repeat_once(spark):
     assert got == {0: texts[0], 1: " ", 2: texts[2], 3: "", 4: texts[4], 5: "", 6: "~~", 7: texts[7]}
 
 
+def test_blocks_shared_by_chance_are_not_written(spark):
+    """Fingerprints that agree on a pair of blocks and are far apart leave the search at once; close ones stay."""
+    rng = random.Random(3)
+    low = rng.getrandbits(20)
+    fps = [(rng.getrandbits(38) << 25 | low) for _ in range(200)]
+    fps += [fps[0] ^ 1 << 60, fps[1] ^ 0b101 << 40]
+    table = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f, i) for i, f in enumerate(fps)], "fp bigint, copies bigint")
+    got = {r.fp for r in line_dedup.block_table(table, 3).collect()}
+    assert got == {r.fp for r in table.collect() if r.copies in (0, 1, 200, 201)}
+
+
+def test_rows_of_a_stored_table_are_numbered_in_place(spark, scratch):
+    """Row numbers of stored Parquet are the same however a scan is split, and nothing is written; other frames are written once."""
+    df = spark.range(1000).select("id", (F.col("id") % 7).alias("row"), F.lit("x").alias("a.b"), F.lit(1).alias("_uid")).repartition(5)
+    df.write.parquet(f"{scratch}/t")
+    before = set(os.listdir(shared_dir(spark)))
+    rows = numbered_rows(spark.read.parquet(f"{scratch}/t"), "test-rows")
+    first = {r.i: r.u for r in rows.select(F.col("row.id").alias("i"), F.col("_uid").alias("u")).collect()}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    try:
+        again = {r.i: r.u for r in rows.where("row.id % 2 = 0").select(F.col("row.id").alias("i"), F.col("_uid").alias("u")).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(first.values()) == list(range(1000)) and all(first[i] == u for i, u in again.items())
+    assert set(os.listdir(shared_dir(spark))) == before
+    for other in (spark.read.parquet(f"{scratch}/t", f"{scratch}/t"), spark.read.parquet(f"{scratch}/t").where("id < 9"),
+                  spark.read.parquet(f"{scratch}/t").withColumn("_metadata", F.lit(1)), df, df.limit(0)):
+        got = numbered_rows(other, "test-rows")
+        assert got.select("_uid").distinct().count() == got.count() == other.count()
+        assert got.select("row.*").columns == other.columns
+
+
+@pytest.mark.parametrize("size", [1, 2, 63, 64, 126, 255, 256])
+def test_adders_count_like_a_majority(spark, size):
+    rng = random.Random(size)
+    rows = [(i, [rng.getrandbits(64) - (1 << 63) for _ in range(size - i % 2)] or [5]) for i in range(4)]
+    table = spark.createDataFrame(rows, "i int, h array<bigint>")
+    got = {r.i: r.fp for r in line_dedup.with_simhash(table).collect()}
+    for i, h in rows:
+        want = sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in h) > len(h))
+        assert got[i] == (want - (1 << 64) if want >> 63 else want)
+
+
 # --- 8: language model ----------------------------------------------------------------------------
 
 def test_elias_fano_reads_back():
