@@ -3,9 +3,9 @@
 Counts come from every training document. Documents are packed into batches of
 token indexes; a batch sends each shard the distinct words and bigrams that
 belong to it with their training counts, so a word or pair costs one entry a
-batch however often it occurs. Words are dealt by their hash and bigrams by that of
-their first word, so a batch names a context once; the successors of a frequent
-word are dealt by both words, over all shards. What is stored or sent is deflated.
+batch however often it occurs. Words are dealt by their hash and bigrams by the
+hash of both words, so the successors of a frequent word are spread over all
+shards. What is stored or sent is deflated, contexts in order by their distances.
 A shard merges the counts into a two-level trie: contexts in hash order, a
 monotone pointer sequence to each context's successors, and successors as
 increasing keys inside their context's range. Pointers and successors are
@@ -226,26 +226,6 @@ def _pack(docs: DataFrame) -> DataFrame:
         run, f"batch bigint, ids array<{kind}>, folds array<boolean>, sizes binary, words binary, tokens binary, n bigint")
 
 
-def _common(packed: DataFrame, tokens: int, shards: int) -> np.ndarray:
-    """Sorted hashes of the start mark and of words with about a quarter of a shard's share of the tokens or more.
-
-    A batch names the words that have this share of it, so a word left out here has
-    under half a shard's share of all tokens, and there are at most four words a shard.
-    """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for r in b.itertuples():
-                words = np.frombuffer(r.words, dtype=np.uint64)
-                n = np.bincount(_decoded(r.tokens, "<i4"), minlength=len(words))
-                some = n * 4 * shards >= n.sum()
-                yield pd.DataFrame({"word": words[some].view(np.int64), "n": n[some]})
-
-    found = (packed.select("words", "tokens").mapInPandas(run, "word bigint, n bigint")
-             .groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") * 4 * shards >= tokens).collect())
-    words = np.array([r.word for r in found], dtype=np.int64).view(np.uint64)
-    return np.unique(np.append(words, np.uint64(word_hash(START))))
-
-
 def _bigrams(r) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a batch: word hashes (the start mark last), token indexes, contexts, sizes, train flag a token, document ends."""
     words = np.concatenate([np.frombuffer(r.words, dtype=np.uint64), [np.uint64(word_hash(START))]])
@@ -259,7 +239,7 @@ def _bigrams(r) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndar
     return words, tokens.astype(np.int64), prev, sizes, train, ends
 
 
-def _plan(r, shards: int, common: np.ndarray | None):
+def _plan(r, shards: int):
     words, tokens, prev, sizes, train, ends = _bigrams(r)
     shard = (words % np.uint64(shards)).astype(np.int64)
     order = np.lexsort((words, shard))
@@ -269,28 +249,27 @@ def _plan(r, shards: int, common: np.ndarray | None):
     cur, ctx = place[tokens], place[prev]
     pair, at = np.unique(ctx * len(words) + cur, return_inverse=True)
     pc, pn = pair // len(words), pair % len(words)
-    # a bigram's shard is that of its context, or of both words where the context is common (without ``common``: always); pairs of a shard keep the order of their contexts
-    spread = np.ones(len(words), dtype=bool) if common is None else np.isin(words, common)
-    home = _home(words[pc], words[pn] >> np.uint64(64 - KEY_BITS), spread[pc], shards)
-    order = np.argsort(home, kind="stable")
+    # a bigram's shard is that of both words; pairs of a shard are ordered by the hash of their contexts
+    home = _home(words[pc], words[pn] >> np.uint64(64 - KEY_BITS), shards)
+    order = np.lexsort((words[pc], home))
     place = np.empty(len(pc), dtype=np.int64)
     place[order] = np.arange(len(pc))
     return words, shard, cur, ctx, pc[order], pn[order], home[order], place[at], sizes, train, ends
 
 
-def _home(ctx: np.ndarray, key: np.ndarray, spread: np.ndarray, shards: int) -> np.ndarray:
-    mixed = (ctx ^ (np.where(spread, key, np.uint64(0)) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xC2B2AE3D27D4EB4F)
+def _home(ctx: np.ndarray, key: np.ndarray, shards: int) -> np.ndarray:
+    mixed = (ctx ^ (key * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xC2B2AE3D27D4EB4F)
     return ((mixed >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
 
 
-def _ask(packed: DataFrame, shards: int, common: np.ndarray | None = None) -> DataFrame:
+def _ask(packed: DataFrame, shards: int) -> DataFrame:
     """One row per batch and shard: its words, and its bigrams by ``heads``, each with ``runs`` keys, with training counts."""
     names = ["shard", "batch", "words", "count", "starts", "heads", "runs", "key", "pairs"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for r in b.itertuples():
-                words, shard, cur, ctx, pc, pn, home, at, sizes, train, ends = _plan(r, shards, common)
+                words, shard, cur, ctx, pc, pn, home, at, sizes, train, ends = _plan(r, shards)
                 wc = np.bincount(cur[train], minlength=len(words))
                 starts = np.zeros(len(words), dtype=np.int64)
                 first = (ends - sizes)[train[ends - 1]]
@@ -307,7 +286,7 @@ def _ask(packed: DataFrame, shards: int, common: np.ndarray | None = None) -> Da
                         head = np.flatnonzero(np.diff(pc[p], prepend=-1))
                         low = key[p].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BITS // 8]
                         rows.append((s, r.batch, words[w].tobytes(), _coded(wc[w].astype("<u4")), _coded(starts[w].astype("<u4")),
-                                     words[pc[p][head]].tobytes(), _coded(np.diff(head, append=len(low)).astype("<u4")),
+                                     _coded(np.diff(words[pc[p][head]], prepend=np.uint64(0))), _coded(np.diff(head, append=len(low)).astype("<u4")),
                                      np.ascontiguousarray(low).tobytes(), _narrow(bc[p]).tobytes()))
                         held += sum(map(len, rows[-1][2:]))
                     if rows and (held >= SENT_BYTES or s == shards - 1):
@@ -340,7 +319,7 @@ def _answer(shards: int):
     """
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         words = [np.frombuffer(w, dtype=np.uint64) for w in rows["words"]]
-        heads = [np.frombuffer(w, dtype=np.uint64) for w in rows["heads"]]
+        heads = [np.cumsum(_decoded(w, "<u8"), dtype=np.uint64) for w in rows["heads"]]
         read = lambda c: [_decoded(x, "<u4").astype(np.int64) for x in rows[c]]
         count, starts, runs = (read(c) for c in ("count", "starts", "runs"))
         nxt = [_keys(k) for k in rows["key"]]
@@ -416,8 +395,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     packed = staged(_pack(rows.withColumn("f", F.coalesce(held_out, F.lit(True)))), "lm-packed")
     tokens = packed.agg(F.sum("n")).first()[0] or 0
     shards = max(min_shards, -(-tokens // shard_tokens))
-    common = _common(packed, tokens, shards)
-    answers = staged(_ask(packed, shards, common).groupBy("shard").applyInPandas(_answer(shards), ANSWER), "lm-answers")
+    answers = staged(_ask(packed, shards).groupBy("shard").applyInPandas(_answer(shards), ANSWER), "lm-answers")
     fans = (answers.select("batch", "shard", "words", "fans").groupBy("shard")
             .applyInPandas(_fans, "batch bigint, shard int, fan binary"))
     totals = answers.agg(F.sum("n_train").alias("n"), F.sum("n_words").alias("v")).first()
@@ -428,7 +406,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
         fans, right = right["fan"].dropna(), right[right["fan"].isna()]
         out = []
         for r in left.itertuples():
-            words, shard, cur, ctx, pc, pn, home, at, sizes, train, ends = _plan(r, shards, common)
+            words, shard, cur, ctx, pc, pn, home, at, sizes, train, ends = _plan(r, shards)
             count = np.concatenate([_decoded(x, "<i8") for x in right["count"]])
             total = np.concatenate([_decoded(x, "<i8") for x in right["seen"]])
             fan = np.concatenate([_decoded(x, "<i8") for x in fans])
