@@ -148,6 +148,7 @@ def stage_adverse_reports(raw: DataFrame, strict: bool = False, keep_source: boo
 # Reports are expanded in tiles of at most TILE_SIDE drugs x TILE_SIDE
 # reactions (an ordinary report is one tile).
 TILE_SIDE = 3000
+DATE_SHARES = 8
 
 
 def _expand_pairs(reports: DataFrame, keep: list[str]) -> DataFrame:
@@ -163,7 +164,7 @@ def _expand_pairs(reports: DataFrame, keep: list[str]) -> DataFrame:
                            F.explode_outer("reaction_names").alias("_reaction"))
 
 
-def _tiles(reports: DataFrame, keep: list[str], side: int) -> DataFrame:
+def _tiles(reports: DataFrame, keep: list[str], side: int, by_date: bool = False) -> DataFrame:
     """Cut each report into tiles of at most ``side`` drugs x ``side`` reactions
     and spread the tiles over partitions.
 
@@ -172,6 +173,10 @@ def _tiles(reports: DataFrame, keep: list[str], side: int) -> DataFrame:
     shuffle has an explicit partition count: tiles are few bytes but can be
     much work, so AQE must not coalesce them; each (report, tile) hashes to
     its own partition, so one hot report is expanded by many tasks.
+
+    ``by_date`` places the tiles of a date in at most ``DATE_SHARES`` shares, so
+    that sums by date combine before they are shuffled; a hot date or report is
+    still expanded by many tasks.
     """
     nd = size0("drugs")
     nr = F.greatest(size0("reaction_names"), F.lit(1))
@@ -187,8 +192,11 @@ def _tiles(reports: DataFrame, keep: list[str], side: int) -> DataFrame:
          .otherwise(F.col("reaction_names")).alias("reaction_names"),
         F.col("_t"),
     )
-    return tiles.repartition(_spread(reports.sparkSession),
-                             F.xxhash64(*[F.col(c) for c in keep], F.col("_t"))).drop("_t")
+    spread = _spread(reports.sparkSession)
+    if by_date:
+        share = F.pmod(F.xxhash64("report_id", "is_serious"), F.lit(DATE_SHARES))
+        return tiles.repartition(spread, F.xxhash64("receive_date", share, "_t")).drop("_t")
+    return tiles.repartition(spread, F.xxhash64(*[F.col(c) for c in keep], F.col("_t"))).drop("_t")
 
 
 def _spread(spark) -> int:
@@ -197,7 +205,7 @@ def _spread(spark) -> int:
 
 
 def stage_adverse_events(raw: DataFrame, strict: bool = False, keep_source: bool = False,
-                         tile_side: int | None = TILE_SIDE) -> DataFrame:
+                         tile_side: int | None = TILE_SIDE, by_date: bool = False) -> DataFrame:
     """One row per report x drug x reaction (both explodes are outer).
 
     Only the fields used downstream travel through the explodes: the drug
@@ -211,12 +219,13 @@ def stage_adverse_events(raw: DataFrame, strict: bool = False, keep_source: bool
     partitions, so a report holding a large share of all drug entries is
     expanded by many tasks, and the expansion and the aggregation after it
     run in parallel whatever the input's file layout. ``tile_side=None``
-    expands every report where it is read, with no shuffle.
+    expands every report where it is read, with no shuffle; ``by_date`` spreads
+    the tiles by date, for sums by date.
     """
     reports = stage_adverse_reports(raw, strict, keep_source)
     keep = [c for c in reports.columns if c not in ("drugs", "reaction_names", "_pairs")]
     if tile_side is not None:
-        reports = _tiles(reports, keep, tile_side)
+        reports = _tiles(reports, keep, tile_side, by_date)
     pairs = _expand_pairs(reports, keep)
     scalars = [c for c in keep if not c.startswith("_src")]
     sources = [c for c in keep if c.startswith("_src")]
@@ -243,9 +252,9 @@ def adverse_metrics(raw: DataFrame, rules: list[Rule], dataset: str = "clean_adv
     return rule_metrics(stage_adverse_reports(raw, keep_source=True), rules, dataset, weight="_pairs", output=output)
 
 
-def clean_adverse_events(raw: DataFrame, strict: bool = False) -> DataFrame:
+def clean_adverse_events(raw: DataFrame, strict: bool = False, by_date: bool = False) -> DataFrame:
     """``clean_adverse_events``: drug x reaction pairs; no key and no dedupe."""
-    return apply_rules(stage_adverse_events(raw, strict), ADVERSE_RULES).select(*ADVERSE_SILVER_COLUMNS)
+    return apply_rules(stage_adverse_events(raw, strict, by_date=by_date), ADVERSE_RULES).select(*ADVERSE_SILVER_COLUMNS)
 
 
 # ---- quality metrics of both populations -------------------------------------------

@@ -17,6 +17,7 @@ columns off a state.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -57,22 +58,38 @@ def summary(state: DataFrame) -> DataFrame:
         F.min(DATE).alias("earliest_report"), F.max(DATE).alias("latest_report"))
 
 
-def changed_reports(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+def counted_fields(raw: DataFrame) -> DataFrame:
+    """Raw reports with null in the fields that no entry is made of, so that they are not shuffled."""
+    patient = F.struct(
+        F.lit(None).cast("string").alias("patientsex"), F.lit(None).cast("string").alias("patientonsetage"),
+        F.transform("patient.drug", lambda d: F.struct(
+            d["medicinalproduct"].alias("medicinalproduct"), F.lit(None).cast("string").alias("drugindication"))).alias("drug"),
+        F.col("patient.reaction").alias("reaction"))
+    return raw.withColumn("patient", F.when(F.col("patient").isNotNull(), patient))
+
+
+def entries(raw: DataFrame, sign: int = 1) -> DataFrame:
+    """The ``units`` of raw reports, expanded by date: few partial sums a pair and date leave the tasks."""
+    return units(clean_adverse_events(counted_fields(raw), by_date=True), sign)
+
+
+def changed_reports(old: DataFrame, new: DataFrame, cut: Callable[[DataFrame], DataFrame] = lambda reports: reports) -> tuple[DataFrame, DataFrame]:
     """The raw reports of each of two snapshots that the other holds in another number.
 
-    Reports are compared by a digest of the whole record, so no key is needed
-    and repeated reports count as often as they occur; only digests are
-    shuffled. Copies that both snapshots hold stay on both sides and cancel out.
+    Reports are compared by a digest of the whole record (128 bits of its
+    SHA-256), so no key is needed and repeated reports count as often as they
+    occur. Digests are shuffled, then what ``cut`` leaves of the reports. Copies
+    that both snapshots hold stay on both sides and cancel out.
     """
     cols = sorted(new.columns)
-    digest = F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256)
+    digest = F.substring(F.unhex(F.sha2(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}), 256)), 1, 16)
     old, new = old.withColumn("_digest", digest), new.withColumn("_digest", digest)
     differ = (old.select("_digest", F.lit(-1).alias("n")).unionByName(new.select("_digest", F.lit(1).alias("n")))
               .groupBy("_digest").agg(F.sum("n").alias("n")).filter("n <> 0").select("_digest"))
-    return tuple(side.join(differ, "_digest", "left_semi").drop("_digest") for side in (old, new))
+    return tuple(cut(side).join(differ, "_digest", "left_semi").drop("_digest") for side in (old, new))
 
 
 def delta(old: DataFrame, new: DataFrame) -> DataFrame:
     """Entries that lead from the state of one raw snapshot to that of the next; only changed reports are expanded."""
-    gone, come = changed_reports(old, new)
-    return units(clean_adverse_events(come)).unionByName(units(clean_adverse_events(gone), -1))
+    gone, come = changed_reports(old, new, counted_fields)
+    return entries(come).unionByName(entries(gone, -1))

@@ -277,7 +277,7 @@ def _incremental_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pair summary after a second delivery, from the first one's state and the changed reports."""
     old = snapshot(fixtures.raw_adverse(spark, sf_dir), "reports")
     new = snapshot(fixtures.next_raw_adverse(old), "reports")
-    state = snapshot(pair_state.merged(pair_state.units(clean.clean_adverse_events(old))), "pair-state")
+    state = snapshot(pair_state.merged(pair_state.entries(old)), "pair-state")
     return pair_state.summary(pair_state.merged(state, pair_state.delta(old, new)))
 
 

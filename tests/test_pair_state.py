@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from safetylake import schemas
@@ -58,3 +59,27 @@ def test_only_changed_reports_are_expanded(spark):
     gone, come = pair_state.changed_reports(old, new)
     assert 0 < gone.count() < old.count() / 2 and 0 < come.count() < new.count() / 2
     assert [x.count() for x in pair_state.changed_reports(old, old)] == [0, 0]
+
+
+def test_entries_of_a_date_are_expanded_together(spark):
+    """A date's tiles lie in few partitions, so the sums by pair and date combine before their shuffle."""
+    rows = [(str(i), "1", f"2024010{i % 2 + 1}", ("0", "30", [("iron", "pain")], [("Rash",)])) for i in range(4000)]
+    raw = spark.createDataFrame(rows, REPORT)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        placed = pair_state.entries(raw).select("receive_date", F.spark_partition_id().alias("p"))
+        spread = {r.receive_date: r.n for r in placed.groupBy("receive_date").agg(F.countDistinct("p").alias("n")).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert len(spread) == 2 and all(1 < n <= clean.DATE_SHARES for n in spread.values())
+
+
+def test_digests_and_fields_without_entries_are_not_shuffled_whole(spark):
+    raw = spark.createDataFrame([("1", "1", "20240101", ("0", "30", [("iron", "pain")], [("Rash",)])), ("2", "1", None, None)], REPORT)
+    cut = pair_state.counted_fields(raw)
+    assert cut.schema.simpleString() == raw.schema.simpleString() and [r.patient and r.patient.drug[0].drugindication for r in cut.collect()] == [None, None]
+    # a change in a field that no entry is made of still makes another report, and changes no sum
+    new = raw.withColumn("patient", F.col("patient").withField("patientonsetage", F.lit("31")))
+    assert [x.count() for x in pair_state.changed_reports(raw, new, pair_state.counted_fields)] == [1, 1]
+    state = pair_state.merged(pair_state.entries(raw))
+    assert as_set(pair_state.merged(state, pair_state.delta(raw, new))) == as_set(state) != set()
