@@ -449,6 +449,43 @@ def test_adders_count_like_a_majority(spark, size):
         assert got[i] == (want - (1 << 64) if want >> 63 else want)
 
 
+def test_block_keys_tell_pair_and_bits(spark):
+    """One integer a pair of blocks: equal for two fingerprints where they agree on the pair's bits, and for no other pair."""
+    rng = random.Random(4)
+    fps = [rng.getrandbits(64) - (1 << 63) for _ in range(30)]
+    fps += [f ^ 1 << rng.randrange(63) for f in fps] + [0, -1, 1, -(1 << 63)]
+    for distance in (0, 1, 3, 8):
+        keys, slot = line_dedup.block_keys(F.col("fp"), distance)
+        masks = line_dedup.block_masks(distance)
+        table = spark.createDataFrame([(f,) for f in fps], "fp bigint")
+        rows = table.select("fp", F.posexplode(F.array(*keys))).select("fp", "pos", "col", slot(F.col("col")).alias("slot")).collect()
+        assert len(keys) == len(masks) and all(r.slot == r.pos for r in rows)
+        alike = {}
+        for r in rows:
+            alike.setdefault(r.col, set()).add((r.pos, r.fp & masks[r.pos]))
+        assert all(len(v) == 1 for v in alike.values())
+        assert len(alike) == len({v for some in alike.values() for v in some})
+
+
+def test_gaps_are_the_ranges_they_list(spark):
+    plain = (r"[\x00-\x2F\x3A-\x60\x7B-\x7F\u00A0-\u00A9\u00AB-\u00B4\u00B6-\u00B9\u00BB-\u00BF\u2000-\u206F\u3000-\u303F"
+             r"\uFF01-\uFF0F\uFF1A-\uFF20\uFF3B-\uFF40\uFF5B-\uFF65]+")
+    signs = spark.range(0x10000).where("id < 55296 OR id > 57343").select(F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')").alias("c"))
+    found = signs.select(*[F.length(F.regexp_replace("c", p, "")).alias(n) for n, p in (("a", plain), ("b", line_dedup.GAPS))])
+    assert found.where("a <> b").count() == 0 and found.where("b = 0").count() == 336
+
+
+def test_fingerprints_of_a_line_are_counted_without_wide_rows(spark):
+    """Sums of a line's words, not a column a word; repeated rows stay apart, lines without words have none."""
+    rows = [(1, [5, 7, 4]), (1, [5, 7, 4]), (2, []), (3, [-1] * 300)]
+    out = line_dedup.with_simhash(spark.createDataFrame(rows, "i int, h array<bigint>"), 1)
+    assert sorted(out.collect(), key=str) == sorted([(1, 5), (1, 5), (2, None), (3, -1)], key=str)
+
+    def widest(node):
+        return max([node.output().size()] + [widest(node.children().apply(k)) for k in range(node.children().size())])
+    assert widest(out._jdf.queryExecution().optimizedPlan()) < 40
+
+
 # --- 8: language model ----------------------------------------------------------------------------
 
 def test_elias_fano_reads_back():
