@@ -449,6 +449,17 @@ def test_adders_count_like_a_majority(spark, size):
         assert got[i] == (want - (1 << 64) if want >> 63 else want)
 
 
+def test_lines_that_differ_in_places_need_no_edit_distance(spark):
+    """A line of one word more goes on to the edit distance; changed places and a moved word count as edits."""
+    a = list(range(100, 160))
+    swapped = [*a[:10], -1, -2, *a[12:]]
+    moved = [*a[1:], a[0]]              # 60 places, two edits
+    pairs = spark.createDataFrame([(a, swapped, 2), (a, swapped, 1), (a, moved, 2), (a, moved, 1), (a, [*a, 7], 1), (a, [*a, 7], 0), ([], [], 0)],
+                                  "a array<bigint>, b array<bigint>, most int")
+    got = pairs.select(line_dedup.within(F.col("a"), F.col("b"), F.col("most")).alias("near")).collect()
+    assert [r.near for r in got] == [True, False, True, False, True, False, True]
+
+
 def test_block_keys_tell_pair_and_bits(spark):
     """One integer a pair of blocks: equal for two fingerprints where they agree on the pair's bits, and for no other pair."""
     rng = random.Random(4)
