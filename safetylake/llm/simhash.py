@@ -119,14 +119,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     fps = staged(fingerprints(docs, id_col, text_col, shingle, seed, uid_col), "simhash-fp")
     low = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_uid"))
-    groups = staged(fps.groupBy("fp").agg(low.alias("low")), "simhash-groups")
+    rows = fps.count()
+    groups = staged(fps.groupBy("fp").agg(low.alias("low")), "simhash-groups", rows)
     comp = components(links(groups.select("fp"), distance), "simhash-cc")
     known = (groups.join(comp.withColumnRenamed("id", "fp"), "fp", "left")
              .select("fp", "low", F.coalesce("component", "fp").alias("component")))
-    least = staged(known.groupBy("component").agg(F.min("low").alias("least")), "simhash-least")
+    least = staged(known.groupBy("component").agg(F.min("low").alias("least")), "simhash-least", rows)
     member = staged(known.select("fp", "component").join(least, "component")
                     .select("fp", F.col("least.id").alias("component_id"), F.col("least._uid").alias("keep_uid")),
-                    "simhash-member")
+                    "simhash-member", rows)
     return fps.join(member, "fp").select(
         "_uid", F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id", (F.col("_uid") == F.col("keep_uid")).alias("kept"))

@@ -497,6 +497,29 @@ def test_fingerprints_of_a_line_are_counted_without_wide_rows(spark):
     assert widest(out._jdf.queryExecution().optimizedPlan()) < 40
 
 
+def test_small_tables_are_written_in_few_files(spark):
+    """Groups of a few hundred rows are not written as a file for each shuffle partition."""
+    cores, held = spark.sparkContext.defaultParallelism, {"spark.sql.shuffle.partitions": str(8 * spark.sparkContext.defaultParallelism),
+                                                          "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in held}
+    shared = shared_dir(spark)
+    before = set(os.listdir(shared))
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        pairs = spark.range(600).select(F.col("id").alias("a"), (F.col("id") + F.when(F.col("id") % 5 == 4, 0).otherwise(1)).alias("b"))
+        got = {r.id: r.component for r in components(pairs, "few").collect()}
+        texts = [f"{prose(random.Random(i // 2), 30)} word{i % 2}" for i in range(200)]
+        assert line_dedup.dedup_lines(docs(spark, texts)).count() == 200
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == {i: i - i % 5 for i in range(600)}
+    files = {d: sum(f.endswith(".parquet") for f in os.listdir(f"{shared}/{d}")) for d in set(os.listdir(shared)) - before}
+    small = {d: n for d, n in files.items() if re.match(r"few-\d|line-(reps|fps|met|blocks|label|stay|repeated|drops|wanted|words|cc1-\d)", d)}
+    assert len(small) > 12 and max(small.values()) <= cores
+
+
 # --- 8: language model ----------------------------------------------------------------------------
 
 def test_elias_fano_reads_back():
