@@ -497,6 +497,40 @@ def test_fingerprints_of_a_line_are_counted_without_wide_rows(spark):
     assert widest(out._jdf.queryExecution().optimizedPlan()) < 40
 
 
+def test_lines_are_split_as_one_text(spark):
+    """Whole texts are lowered and cut at once: the words and keys are those of each line alone, and no line compiles a pattern."""
+    texts = ["ΟΔΟΣ\nΑΣ \nΣΑΣ ΑΣ. Β", "İI  ı\r\n\tTab,, x\u00a0y z\n", " lead and trail \n\n...\n a b c", "x\u2028y \U0001F600 z  w\n\U0001F600 a b", "",
+             None, "One  two\u3000three!four", "\n \n", "a,\nb ;c d\x0be\n* **"]
+    table = spark.createDataFrame(list(enumerate(texts)), "_uid bigint, _text string").withColumn("_id", F.col("_uid").cast("string"))
+    lines = table.select("_uid", F.posexplode(F.split("_text", "\n")).alias("pos", "line"))
+    words = lines.select("_uid", "pos", "line", F.array_remove(F.split(F.lower("line"), line_dedup.GAPS), "").alias("w")).collect()
+    for short in (False, True):
+        out = line_dedup.line_table(table, 3, short)
+        got = {(r._uid, r.pos): (r._id, bytes(r.key), r.n, r.fp is None) for r in out.collect()}
+        want = {}
+        for r in words:
+            signs = "\n" + re.sub(r"[\s\x00-\x1f\x7f-\x9f]+", "", r.line)
+            if len(r.w) >= 3 or short and (r.w or signs != "\n"):
+                want[r._uid, r.pos] = (str(r._uid), hashlib.md5((" ".join(r.w) if r.w else signs).encode()).digest(), len(r.w), len(r.w) < 3)
+        assert got == want and len(got) > 6
+        assert "split(lower(" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_edit_distance_of_random_lines(spark):
+    rng = random.Random(21)
+    rows = []
+    for _ in range(120):
+        a = [rng.randrange(6) for _ in range(rng.randrange(0, 14))]
+        b = list(a)
+        for _ in range(rng.randrange(4)):
+            at, kind = rng.randrange(len(b) + 1), rng.randrange(3)
+            b[at:at + (kind != 1)] = [] if kind == 2 else [rng.randrange(8)]
+        rows.append((a, b, rng.randrange(4)))
+    pairs = spark.createDataFrame(rows, "a array<bigint>, b array<bigint>, most int")
+    got = [r.near for r in pairs.select(line_dedup.within(F.col("a"), F.col("b"), F.col("most")).alias("near")).collect()]
+    assert got == [word_edits(a, b) <= most for a, b, most in rows] and {True, False} == set(got)
+
+
 def test_small_tables_are_written_in_few_files(spark):
     """Groups of a few hundred rows are not written as a file for each shuffle partition."""
     cores, held = spark.sparkContext.defaultParallelism, {"spark.sql.shuffle.partitions": str(8 * spark.sparkContext.defaultParallelism),
