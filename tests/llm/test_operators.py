@@ -417,6 +417,54 @@ def test_blocks_shared_by_chance_are_not_written(spark):
     assert got == {r.fp for r in table.collect() if r.copies in (0, 1, 200, 201)}
 
 
+def test_crowded_fingerprints_give_few_candidates(spark):
+    """Lines of one SimHash, or of close ones, whose words tell them apart are not compared word by word; similar ones still meet."""
+    rng = random.Random(12)
+    texts = [" ".join(["same"] * 45 + [f"w{i}v{k}" for k in range(40)]) for i in range(40)]
+    assert len(set(texts)) == 40
+    texts += [texts[7].replace("w7v3", "other")] + [f"{prose(rng, 30)} {i}" for i in range(3)]
+    shared = shared_dir(spark)
+    before = set(os.listdir(shared))
+    got = {r.doc_id: r.text for r in line_dedup.report(line_dedup.dedup_lines(docs(spark, texts))).collect()}
+    assert got == {i: "" if i == 40 else t for i, t in enumerate(texts)}
+    seen = [x for x in set(os.listdir(shared)) - before if x.startswith("line-cand-other-")]
+    assert len(seen) == 1 and spark.read.parquet(f"{shared}/{seen[0]}").count() < 40
+
+
+def test_pairs_of_buckets_are_those_of_all_lines(spark):
+    """Blocks, length bins and sketches lose no pair of lines that is near and similar, and give each once."""
+    rng = random.Random(13)
+    seeds = [rng.getrandbits(64) for _ in range(6)]
+    fps, lines = {}, []
+    for i in range(150):
+        fp = seeds[i % 6] if i >= 12 else rng.getrandbits(64)
+        for _ in range(rng.randrange(3)):
+            fp ^= 1 << rng.randrange(64)
+        fps[fp - (1 << 64) if fp >> 63 else fp] = 1
+    words = [rng.getrandbits(64) - (1 << 63) for _ in range(40)]
+    for fp in fps:
+        for _ in range(1 + (rng.random() < 0.2)):
+            h = [w if rng.random() > 0.1 else rng.getrandbits(64) - (1 << 63) for w in words[:rng.choice((3, 4, 5, 20, 25, 31, 40))]]
+            lines.append((fp, f"{len(lines):03}".encode(), h))
+    groups = {fp: b"g" for k, fp in enumerate(fps) if k % 5 == 0}
+    every = spark.createDataFrame(lines, "fp bigint, key binary, h array<bigint>")
+    lines_df = every.select("fp", "key", F.size("h").alias("n")).join(line_dedup.sketches(every.select("key", "h")), "key")
+    label = spark.createDataFrame(list(groups.items()), "fp bigint, group binary")
+    for distance, similarity in ((3, 0.8), (1, 0.5), (3, 1.0)):
+        table = line_dedup.block_table(spark.createDataFrame([(fp, 1) for fp in fps], "fp bigint, copies bigint"), distance)
+        got = Counter((bytes(r.key_a), bytes(r.key_b)) for r in line_dedup.other_pairs(table, label, lines_df, distance, similarity).collect())
+        twins = Counter((bytes(r.key_a), bytes(r.key_b)) for r in line_dedup.twin_pairs(lines_df, similarity).collect())
+        assert max([*got.values(), *twins.values()]) == 1
+        for i, (fp, key, h) in enumerate(lines):
+            for fp2, key2, h2 in lines[i + 1:]:
+                most = max(len(h), len(h2)) * (1 - similarity) + 1e-9
+                apart = max(len(set(h) - set(h2)), len(set(h2) - set(h)), abs(len(h) - len(h2))) > most
+                if fp == fp2:
+                    assert apart or (key, key2) in twins
+                elif not apart and bin((fp ^ fp2) & (1 << 64) - 1).count("1") <= distance and not (fp in groups and fp2 in groups):
+                    assert ((key, key2) in got) != ((key2, key) in got)
+
+
 def test_rows_of_a_stored_table_are_numbered_in_place(spark, scratch):
     """Row numbers of stored Parquet are the same however a scan is split, and nothing is written; other frames are written once."""
     df = spark.range(1000).select("id", (F.col("id") % 7).alias("row"), F.lit("x").alias("a.b"), F.lit(1).alias("_uid")).repartition(5)
