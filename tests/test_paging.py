@@ -1,9 +1,15 @@
 """Distributed row numbering and the paged-reader stop rule, against a plain loop."""
 
+import os
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from safetylake.operators.paging import pages_to_read, verify_pages
+from safetylake.session import shared_dir
+from safetylake.sources import pages as page_files
 from safetylake.sources.pages import cut_pages, row_index
 
 
@@ -62,6 +68,39 @@ def test_cut_pages_round_trip(spark):
     assert sorted(r.v for r in landed) == list(range(140))
 
 
+def stored_mb(folder):
+    return sum(os.path.getsize(f"{d}/{f}") for d, _, names in os.walk(folder) for f in names) / 1e6
+
+
+@pytest.mark.parametrize("short", [None, (3, 4)])
+def test_parts_of_pages_keep_order_and_ties(spark, monkeypatch, short):
+    """Null, repeated and equal keys at the edges of parts: pages are those of one sorted list."""
+    monkeypatch.setattr(page_files, "PART_ROWS", 20)
+    rng = random.Random(5)
+    rows = [(rng.choice([None, "", "a", "a'b", "b", "\u00e9", "z"]), rng.choice([None, *range(-3, 12)]), i % 4) for i in range(597)]
+    rows += [("k", 1, 9)] * 73 + [("m", i, 0) for i in range(130)]
+    df = spark.createDataFrame(rows, "k string, s bigint, v int").repartition(5)
+    assert len(page_files.page_starts(df.select("k", "s"), 10)[0]) > 5
+    order = sorted(rows, key=lambda r: (r[0] is not None, (r[0] or "").encode(), r[1] is not None, r[1] or 0))
+    got = {r.skip: [tuple(x)[:2] for x in r.results] for r in cut_pages(df, ["k", "s"], 10, short).collect()}
+    want = {i: [x[:2] for x in order[i:i + 10]] for i in range(0, len(rows) + 1, 10)}
+    if short:
+        want[30] = want[30][:4]
+    assert len(rows) % 10 == 0 and got == want
+    if not short:
+        assert Counter(tuple(x) for r in cut_pages(df, ["k", "s"], 10).collect() for x in r.results) == Counter(rows)
+
+
+def test_records_are_not_stored_to_be_numbered(spark):
+    """Only the columns that tell the order are written before the pages, not the records."""
+    rng = random.Random(6)
+    df = spark.range(3000).select("id", F.lit("x").alias("k")).rdd.map(lambda r: (r.id, r.k, rng.randbytes(700).hex())).toDF("id bigint, k string, wide string")
+    df = spark.createDataFrame(df.collect(), df.schema)
+    before = stored_mb(shared_dir(spark))
+    pages = cut_pages(df, ["id"])
+    assert pages.count() == 31 and stored_mb(shared_dir(spark)) - before < 1
+
+
 def test_offsets_beyond_int_range_are_kept(spark):
     far = 2147483700
     pages = [(far - 100, list(range(100))), (far, list(range(100, 200)))]
